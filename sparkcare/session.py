@@ -20,6 +20,7 @@ _LOCAL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.bindAddress": "127.0.0.1",
     "spark.driver.host": "127.0.0.1",
 }
