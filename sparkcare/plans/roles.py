@@ -22,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timefmt import format_elapsed
+from ..session import ensure_checkpoint_dir
+
+from ..functions.timefmt import format_elapsed, micros_ntz
 
 REGIONS = ["southwest", "southeast", "northwest", "northeast", "central"]
 START_JOB = "error"
@@ -128,7 +130,8 @@ def insurance(t):
 def job_runs(t):
     e = t["events"]
     secs = F.floor(F.col("value") * 60).cast("bigint")
-    start = F.date_trunc("second", F.col("ts"))
+    # whole seconds, staying timestamp_ntz (date_trunc would turn it into a zoned timestamp)
+    start = F.timestamp_add("MICROSECOND", -F.pmod(micros_ntz("ts"), F.lit(1_000_000)), F.col("ts"))
     return e.select(
         F.col("event_id"), F.col("user_id"), F.col("event_type").alias("job_name"),
         start.alias("start_ts"),
@@ -138,9 +141,13 @@ def job_runs(t):
         F.when(F.col("value") < 5, "Aborted").otherwise("Finished").alias("status"))
 
 
-def report_lines(t) -> DataFrame:
+def report_lines(t, captured: bool = True) -> DataFrame:
     """The runs printed as scheduler report lines (plus one header line per job),
-    with runs of blanks between some fields, as the report tool prints them."""
+    with runs of blanks between some fields, as the report tool prints them.
+
+    ``captured``: persist the lines with a reliable checkpoint, as captured report
+    files would be; parsing then starts from stored text (like ``read.text``)
+    instead of the optimizer folding the printing into every parse predicate."""
     r = job_runs(t)
 
     def parts(ts):
@@ -155,7 +162,11 @@ def report_lines(t) -> DataFrame:
     headers = t["events"].select("event_type").distinct().select(
         F.concat(F.lit("Job Name        Started   Finished   Elapsed  Project  Status  "),
                  F.col("event_type")).alias("value"))
-    return lines.unionByName(headers)
+    out = lines.unionByName(headers)
+    if captured:
+        ensure_checkpoint_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 # ---- W8: patient responses -------------------------------------------------------
