@@ -1 +1,92 @@
-"""Proof queries (models)."""
+"""Proof queries for the cost model (W3) and text vectors / classification."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import cost as C
+from ..operators import text as TX
+from . import oracle_roles as R
+from . import roles
+from .registry import register
+
+
+@register("hash_split", """
+SELECT o_orderkey, CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 10 < 7 AS is_train
+FROM orders""")
+def q_hash_split(t, spark):
+    """M2: deterministic 70/30 split by a hash of the order key."""
+    return C.hash_split(t["orders"].select("o_orderkey"), "o_orderkey")
+
+
+@register("r2_simple", f"""
+SELECT round(regr_slope(charges, age), 6) AS slope, round(regr_intercept(charges, age), 6) AS intercept,
+  round(regr_r2(charges, age), 6) AS r2, CAST(regr_count(charges, age) AS BIGINT) AS n
+FROM ({R.INSURANCE})""")
+def q_r2_simple(t, spark):
+    """One-variable least squares of charges on age as SQL aggregates."""
+    return C.simple_regression(roles.insurance(t), "charges", "age")
+
+
+def _split_features(t):
+    """Encoded insurance rows with a 70/30 split on the line key (order key, line number)."""
+    li = t["lineitem"]
+    key = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    rows = li.select(key.alias("_k"), F.col("l_quantity").alias("age"), F.col("l_discount").alias("bmi"),
+                     F.col("l_linenumber").alias("children"), F.col("l_extendedprice").alias("charges"),
+                     F.when(F.col("l_linestatus") == "F", "yes").otherwise("no").alias("smoker"),
+                     F.when(F.col("l_returnflag") == "A", "female").otherwise("male").alias("gender"),
+                     F.element_at(F.array(*[F.lit(r) for r in roles.REGIONS]),
+                                  (F.col("l_suppkey") % 5 + 1).cast("int")).alias("region"))
+    enc = C.encode_categories(C.hash_split(rows, "_k"))
+    return enc.select(*C.FEATURES, F.col("charges").alias("label"), "is_train")
+
+
+def _model(t):
+    data = _split_features(t)
+    return C.fit_cost_model(data.where("is_train")), data
+
+
+@register("cost_fit")
+def q_cost_fit(t, spark):
+    """M1/M3/M5: fitted coefficients, intercept and test R^2 (rows only)."""
+    model, data = _model(t)
+    pred = C.predict(model, data.where(~F.col("is_train")))
+    r2 = C.r2_frame(pred).first()["r2"]
+    rows = [(f, float(c)) for f, c in zip(C.FEATURES, model.coefficients)] + \
+        [("intercept", float(model.intercept)), ("r2_test", float(r2))]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
+@register("cost_predict")
+def q_cost_predict(t, spark):
+    """M4/M6: actual vs predicted charges on the test rows (rows only)."""
+    model, data = _model(t)
+    return C.predict(model, data.where(~F.col("is_train"))).select("label", "prediction")
+
+
+@register("cost_score_new")
+def q_cost_score_new(t, spark):
+    """Predicted cost of the five new customer profiles (rows only)."""
+    model, _ = _model(t)
+    return C.score_new(model, spark)
+
+
+@register("text_vectors")
+def q_text_vectors(t, spark):
+    """Mean word vector of every document (word vectors hashed from embeddings)."""
+    docs = t["documents"].select("doc_id", "text")
+    wv = TX.hashed_word_vectors(docs, "text", t["embeddings"], "vec_id", "embedding")
+    dv = TX.document_vectors(docs, "doc_id", "text", wv)
+    return dv.select("doc_id", vector_to_array("features").alias("vector"))
+
+
+@register("text_classify")
+def q_text_classify(t, spark):
+    """One-vs-rest linear SVM on embeddings; predictions for the test split."""
+    e = C.hash_split(t["embeddings"], "vec_id").select(
+        "vec_id", array_to_vector("embedding").alias("features"), F.col("label").cast("double").alias("label"),
+        "is_train")
+    model = TX.train_classifier(e.where("is_train"))
+    return TX.classify(model, e.where(~F.col("is_train"))).select("vec_id", "label", "prediction")

@@ -1 +1,70 @@
-"""Proof queries (text)."""
+"""Proof queries for patient free text (W8): sentiment ratings and the three periods."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import text as TX
+from . import roles
+from .registry import register
+
+
+def _lex_sql():
+    vals = ", ".join(f"('{w}', CAST({v} AS DECIMAL(6,3)))" for w, v in TX.DEFAULT_LEXICON)
+    return f"lex(word, valence) AS (VALUES {vals})"
+
+
+def _score_sql(base: str, key: str, text: str, extra: str = "") -> str:
+    """DuckDB twin of ``text.response_ratings`` over ``base`` (a CTE name)."""
+    return f"""
+tok AS (SELECT {key}, unnest(list_filter(string_split_regex(lower(coalesce({text}, '')), '[^a-z'']+'), lambda x: x <> '')) AS w
+        FROM {base}),
+agg AS (SELECT {key}, sum(coalesce(l.valence, 0)) AS s, sum(CASE WHEN l.valence > 0 THEN l.valence + 1 END) AS pos,
+          sum(CASE WHEN l.valence < 0 THEN l.valence - 1 END) AS neg,
+          count(*) FILTER (WHERE coalesce(l.valence, 0) = 0) AS neu
+        FROM tok LEFT JOIN lex l ON tok.w = l.word GROUP BY {key}),
+sc AS (SELECT b.*, CAST(coalesce(a.s, 0) AS DOUBLE) AS sd, CAST(coalesce(a.pos, 0) AS DOUBLE) AS p,
+          abs(CAST(coalesce(a.neg, 0) AS DOUBLE)) AS n, CAST(coalesce(a.neu, 0) AS DOUBLE) AS u
+       FROM {base} b LEFT JOIN agg a USING ({key})),
+r AS (SELECT *, p + n + u AS tot FROM sc),
+f AS (SELECT *, CASE WHEN tot > 0 THEN round(abs(n / tot), 3) ELSE 0.0 END AS neg_s,
+        CASE WHEN tot > 0 THEN round(abs(u / tot), 3) ELSE 0.0 END AS neu_s,
+        CASE WHEN tot > 0 THEN round(abs(p / tot), 3) ELSE 0.0 END AS pos_s,
+        round(sd / sqrt(sd * sd + 15.0), 4) AS compound FROM r)
+SELECT {text} AS outcome_response, neg_s AS neg, neu_s AS neu, pos_s AS pos, compound,
+  CAST(round(neg_s * 100.0, 2) AS VARCHAR) || '%' AS negative_rating,
+  CAST(round(neu_s * 100.0, 2) AS VARCHAR) || '%' AS neutral_rating,
+  CAST(round(pos_s * 100.0, 2) AS VARCHAR) || '%' AS positive_rating,
+  CASE WHEN compound >= 0.05 THEN 'Positive' WHEN compound <= -0.05 THEN 'Negative' ELSE 'Neutral' END AS overall_rating,
+  pat_id AS patient_id, or_case_id{extra}
+FROM f"""
+
+
+def _flat(df, extra=()):
+    return df.select("outcome_response", "total_sentiment_data.*", "negative_rating", "neutral_rating",
+                     "positive_rating", "overall_rating", "patient_id", "or_case_id", *extra)
+
+
+@register("sentiment", "WITH " + _lex_sql() + """,
+docs AS (SELECT doc_id AS or_case_id, source AS pat_id, text FROM documents),""" + _score_sql("docs", "or_case_id", "text"))
+def q_sentiment(t, spark):
+    """Lexicon sentiment of every whole document, with ratings."""
+    d = t["documents"].select(F.col("doc_id").alias("or_case_id"), F.col("source").alias("pat_id"), "text")
+    r = TX.response_ratings(d, "text", "pat_id", "or_case_id", TX.default_lexicon(spark))
+    return _flat(r)
+
+
+_PERIODS = {"preop": "preop_surgery_outcome", "m3": "m3_imp_outcome", "y1": "y1_imp_outcome"}
+
+
+@register("sentiment_union", "WITH " + _lex_sql() + """,
+pr AS (SELECT doc_id AS or_case_id, source AS pat_id, string_split(text, chr(10)) AS ls FROM documents),
+long AS (SELECT or_case_id, pat_id, 'preop' AS period, ls[1] AS response FROM pr
+         UNION ALL SELECT or_case_id, pat_id, 'm3', ls[2] FROM pr
+         UNION ALL SELECT or_case_id, pat_id, 'y1', ls[3] FROM pr),
+keyed AS (SELECT *, or_case_id || '|' || period AS k FROM long),""" + _score_sql("keyed", "k", "response", ", period"))
+def q_sentiment_union(t, spark):
+    """Preop, month-3 and year-1 answers scored in one pass and stacked."""
+    r = TX.all_period_ratings(roles.patient_responses(t), _PERIODS, "pat_id", "or_case_id",
+                              TX.default_lexicon(spark))
+    return _flat(r, ["period"])
