@@ -54,9 +54,11 @@ def parse_report(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """
     t = _tokens(lines, value_col)
     ok = t.where(~F.col(value_col).rlike(HEADER_PATTERN) & (F.size("_tok") >= MIN_TOKENS))
-    tok = F.col("_tok")
-    status = F.when(tok[9] != FINISHED, strip_last(tok[11])).otherwise(tok[9])
-    return ok.select(*[tok[i].alias(c) for i, c in enumerate(JOB_COLUMNS[:9])], status.alias("status"))
+    # get() is null past the end instead of failing: the optimizer may evaluate
+    # these before the length filter once predicates are pushed down
+    field = lambda i: F.get(F.col("_tok"), F.lit(i))
+    status = F.when(field(9) != FINISHED, strip_last(field(11))).otherwise(field(9))
+    return ok.select(*[field(i).alias(c) for i, c in enumerate(JOB_COLUMNS[:9])], status.alias("status"))
 
 
 def report_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
