@@ -141,10 +141,13 @@ def hashed_word_vectors(docs: DataFrame, text_col: str, vectors: DataFrame, id_c
 
 
 def train_classifier(train: DataFrame, features: str = "features", label: str = "label",
-                     max_iter: int = 20, reg: float = 0.01):
-    """Linear SVM, one-vs-rest over the classes (distributed gradient passes)."""
+                     max_iter: int = 20, reg: float = 0.01, parallelism: int = 4):
+    """Linear SVM, one-vs-rest over the classes.  Each binary model is fitted
+    with distributed gradient passes; ``parallelism`` fits several classes at once
+    so the small per-iteration jobs overlap instead of running one after another."""
     svc = LinearSVC(maxIter=max_iter, regParam=reg)
-    return OneVsRest(classifier=svc, featuresCol=features, labelCol=label).fit(train)
+    return OneVsRest(classifier=svc, featuresCol=features, labelCol=label,
+                     parallelism=parallelism).fit(train)
 
 
 def classify(model, df: DataFrame) -> DataFrame:
