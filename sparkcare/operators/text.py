@@ -56,27 +56,69 @@ def _checked_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+MAX_LITERAL_LEXICON_ROWS = 100_000
+
+
+def _finish_scores(s, pos, neg, neu) -> list[Column]:
+    """neg, neu, pos shares (rounded to 3) and compound (rounded to 4) from the
+    valence sum ``s``, positive sum, negative sum and neutral count (all in
+    thousandths of a valence point, exact integers)."""
+    s = s.cast("double") / 1000.0
+    pos = pos.cast("double") / 1000.0
+    neg = F.abs(neg.cast("double")) / 1000.0
+    neu = neu.cast("double")
+    total = pos + neg + neu
+    share = lambda x: F.when(total > 0, F.round(F.abs(x / total), 3)).otherwise(F.lit(0.0))
+    return [share(neg).alias("neg"), share(neu).alias("neu"), share(pos).alias("pos"),
+            F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("compound")]
+
+
+def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame,
+                   key_cols: list[str] | None = None) -> DataFrame:
+    """Adds neg, neu, pos and compound to every row of ``df``; null or
+    empty text scores 0.
+
+    A lexicon of at most ``MAX_LITERAL_LEXICON_ROWS`` words (checked by reading at
+    most that many + 1 rows) becomes a literal map shipped with the tasks: each
+    text is then scored inside its own row with higher-order functions - one scan,
+    no shuffle, whatever the data volume.  A larger lexicon takes the join path
+    (``sentiment_scores``) and needs ``key_cols`` identifying the rows."""
+    lex = lexicon.select(F.col("word"), (F.col("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("mv"))
+    words = lex.limit(MAX_LITERAL_LEXICON_ROWS + 1).collect()
+    if len(words) > MAX_LITERAL_LEXICON_ROWS:
+        if not key_cols:
+            raise ValueError("a lexicon this large is joined, which needs key_cols identifying the rows")
+        return df.join(sentiment_scores(df, text_col, key_cols, lexicon), key_cols)
+    m = F.create_map(*[x for r in words for x in (F.lit(r.word), F.lit(r.mv))]) if words else \
+        F.create_map().cast("map<string,bigint>")
+    zero = F.lit(0).cast("bigint")
+    vals = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))),
+                       lambda w: F.coalesce(F.try_element_at(m, w), zero))
+    s = F.aggregate(vals, zero, lambda a, v: a + v)
+    pos = F.aggregate(F.filter(vals, lambda v: v > 0), zero, lambda a, v: a + v + F.lit(1000))
+    neg = F.aggregate(F.filter(vals, lambda v: v < 0), zero, lambda a, v: a + v - F.lit(1000))
+    neu = F.size(F.filter(vals, lambda v: v == 0))
+    parts = df.withColumn("_sv", F.struct(s.alias("s"), pos.alias("p"), neg.alias("n"), neu.alias("u")))
+    return parts.select(*df.columns, *_finish_scores(F.col("_sv.s"), F.col("_sv.p"), F.col("_sv.n"), F.col("_sv.u")))
+
+
 def sentiment_scores(df: DataFrame, text_col: str, key_cols: list[str], lexicon: DataFrame) -> DataFrame:
-    """Per row of ``df`` (identified by ``key_cols``) the scores neg, neu,
-    pos (rounded to 3) and compound (rounded to 4); null or empty text scores 0."""
-    lex = _checked_small(lexicon.select(F.col("word").alias("_w"), F.col("valence").alias("_val")),
+    """Join form of ``with_sentiment`` for lexicons too large for a literal map:
+    tokens are exploded, broadcast-joined to the (size-checked) lexicon and summed
+    back per text with map-side partial aggregation.  One row per ``key_cols``."""
+    lex = _checked_small(lexicon.select(F.col("word").alias("_w"),
+                                        (F.col("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("_mv")),
                          MAX_BROADCAST_LEXICON_ROWS)
     tok = df.select(*key_cols, F.explode_outer(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("_w"))
-    scored = tok.join(lex, "_w", "left")
-    v = F.coalesce(F.col("_val"), F.lit(0).cast("decimal(6,3)"))
-    agg = scored.groupBy(*key_cols).agg(
+    v = F.coalesce(F.col("_mv"), F.lit(0).cast("bigint"))
+    agg = tok.join(lex, "_w", "left").groupBy(*key_cols).agg(
         F.sum(F.when(F.col("_w").isNotNull(), v)).alias("_s"),
-        F.sum(F.when(v > 0, v + 1)).alias("_pos"),
-        F.sum(F.when(v < 0, v - 1)).alias("_neg"),
+        F.sum(F.when(v > 0, v + 1000)).alias("_pos"),
+        F.sum(F.when(v < 0, v - 1000)).alias("_neg"),
         F.count(F.when(F.col("_w").isNotNull() & (v == 0), 1)).alias("_neu"))
-    s = F.coalesce(F.col("_s"), F.lit(0)).cast("double")
-    pos = F.coalesce(F.col("_pos"), F.lit(0)).cast("double")
-    neg = F.abs(F.coalesce(F.col("_neg"), F.lit(0)).cast("double"))
-    neu = F.col("_neu").cast("double")
-    total = pos + neg + neu
-    share = lambda x: F.when(total > 0, F.round(F.abs(x / total), 3)).otherwise(F.lit(0.0))
-    return agg.select(*key_cols, share(neg).alias("neg"), share(neu).alias("neu"), share(pos).alias("pos"),
-                      F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("compound"))
+    z = F.lit(0)
+    return agg.select(*key_cols, *_finish_scores(F.coalesce("_s", z), F.coalesce("_pos", z),
+                                                 F.coalesce("_neg", z), F.col("_neu")))
 
 
 def overall_rating(compound: Column) -> Column:
@@ -89,9 +131,7 @@ def response_ratings(df: DataFrame, text_col: str, patient_col: str, case_col: s
                      keep_cols: list[str] | None = None) -> DataFrame:
     """outcome_response, total_sentiment_data (struct), negative/neutral/
     positive_rating ('47.3%'), overall_rating, patient_id, or_case_id."""
-    keys = key_cols or [case_col]
-    sc = sentiment_scores(df, text_col, keys, lexicon)
-    j = df.join(sc, keys)
+    j = with_sentiment(df, text_col, lexicon, key_cols or [case_col])
     return j.select(
         F.col(text_col).alias("outcome_response"),
         F.struct("neg", "neu", "pos", "compound").alias("total_sentiment_data"),
