@@ -56,7 +56,9 @@ def _checked_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-MAX_LITERAL_LEXICON_ROWS = 100_000
+# A literal map is probed by a scan over its keys, so only small lexicons take the
+# one-pass path; larger ones are hash-joined (``sentiment_scores``).
+MAX_LITERAL_LEXICON_ROWS = 2_000
 
 
 def _finish_scores(s, pos, neg, neu) -> list[Column]:
@@ -92,14 +94,20 @@ def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame,
     m = F.create_map(*[x for r in words for x in (F.lit(r.word), F.lit(r.mv))]) if words else \
         F.create_map().cast("map<string,bigint>")
     zero = F.lit(0).cast("bigint")
-    vals = F.transform(tokens(F.coalesce(F.col(text_col), F.lit(""))),
-                       lambda w: F.coalesce(F.try_element_at(m, w), zero))
-    s = F.aggregate(vals, zero, lambda a, v: a + v)
-    pos = F.aggregate(F.filter(vals, lambda v: v > 0), zero, lambda a, v: a + v + F.lit(1000))
-    neg = F.aggregate(F.filter(vals, lambda v: v < 0), zero, lambda a, v: a + v - F.lit(1000))
-    neu = F.size(F.filter(vals, lambda v: v == 0))
-    parts = df.withColumn("_sv", F.struct(s.alias("s"), pos.alias("p"), neg.alias("n"), neu.alias("u")))
-    return parts.select(*df.columns, *_finish_scores(F.col("_sv.s"), F.col("_sv.p"), F.col("_sv.n"), F.col("_sv.u")))
+    # Split once, keep only the lexicon hits (a few per text), then fold the hits.
+    # Each step is its own column so the optimizer does not inline (and repeat)
+    # the split or the lookups in the four folds.
+    toks = df.withColumn("_tok", tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    hits = toks.withColumn("_n", F.size("_tok")).withColumn(
+        "_hit", F.filter(F.transform("_tok", lambda w: F.try_element_at(m, w)), lambda v: v.isNotNull()))
+    nz = F.size(F.filter("_hit", lambda v: v != 0))
+    parts = hits.select(
+        *df.columns,
+        F.aggregate("_hit", zero, lambda a, v: a + v).alias("_s"),
+        F.aggregate(F.filter("_hit", lambda v: v > 0), zero, lambda a, v: a + v + F.lit(1000)).alias("_p"),
+        F.aggregate(F.filter("_hit", lambda v: v < 0), zero, lambda a, v: a + v - F.lit(1000)).alias("_ng"),
+        (F.col("_n") - nz).alias("_u"))
+    return parts.select(*df.columns, *_finish_scores(F.col("_s"), F.col("_p"), F.col("_ng"), F.col("_u")))
 
 
 def sentiment_scores(df: DataFrame, text_col: str, key_cols: list[str], lexicon: DataFrame) -> DataFrame:
