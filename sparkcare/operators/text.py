@@ -162,19 +162,46 @@ def all_period_ratings(df: DataFrame, periods: dict[str, str], patient_col: str,
                             keep_cols=["period"])
 
 
+MAX_BROADCAST_VECTOR_ROWS = 200_000
+
+
+def _term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, _w, _tf): occurrences of every word per document (hash aggregate with
+    map-side combine; empty tokens are dropped after the explode, in codegen)."""
+    return docs.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)).alias("_w")) \
+        .where(F.col("_w") != "") \
+        .groupBy(id_col, "_w").agg(F.count(F.lit(1)).cast("double").alias("_tf"))
+
+
 def document_vectors(docs: DataFrame, id_col: str, text_col: str, word_vectors: DataFrame,
                      word_col: str = "word", vector_col: str = "vector") -> DataFrame:
     """Document vector = mean of its word vectors (words without a vector are
     skipped).  Tokens are counted per (document, word) first, then joined to the
     vectors and averaged with ``Summarizer.mean`` (weighted by the count) - a
     mergeable aggregate, so no document's tokens are gathered in one place."""
-    tf = docs.select(id_col, F.explode(tokens(F.col(text_col))).alias("_w")) \
-        .groupBy(id_col, "_w").agg(F.count(F.lit(1)).cast("double").alias("_tf"))
     wv = word_vectors.select(F.col(word_col).alias("_w"), array_to_vector(F.col(vector_col)).alias("_vec"))
-    j = tf.join(wv, "_w")
+    j = _term_counts(docs, id_col, text_col).join(wv, "_w")
     return j.groupBy(id_col).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
 
 
+def hashed_document_vectors(docs: DataFrame, id_col: str, text_col: str, vectors: DataFrame,
+                            vec_id_col: str, vector_col: str) -> DataFrame:
+    """M12 with feature hashing: every word takes the vector whose id is
+    md5(word) mod (number of vectors); the document vector is the count-weighted
+    mean.  Same result as ``document_vectors`` over ``hashed_word_vectors`` but the
+    text is tokenized once and the term counts meet the vectors directly on the
+    hashed id.  The vector table is broadcast only when its row count is proven
+    under ``MAX_BROADCAST_VECTOR_ROWS``; beyond that it is a shuffle join (AQE
+    splits a hot id)."""
+    from .cost import hash_bucket
+    n = vectors.count()
+    vz = _checked_small(vectors.select(F.col(vec_id_col).alias("_vid"),
+                                       array_to_vector(F.col(vector_col)).alias("_vec")),
+                        MAX_BROADCAST_VECTOR_ROWS)
+    tf = _term_counts(docs, id_col, text_col).withColumn("_vid", hash_bucket("_w", n))
+    return tf.join(vz, "_vid").groupBy(id_col).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
+
+
 def hashed_word_vectors(docs: DataFrame, text_col: str, vectors: DataFrame, id_col: str,
                         vector_col: str) -> DataFrame:
     """A word-vector table for the words of ``docs``: each distinct word takes the

@@ -77,8 +77,7 @@ def q_cost_score_new(t, spark):
 def q_text_vectors(t, spark):
     """Mean word vector of every document (word vectors hashed from embeddings)."""
     docs = t["documents"].select("doc_id", "text")
-    wv = TX.hashed_word_vectors(docs, "text", t["embeddings"], "vec_id", "embedding")
-    dv = TX.document_vectors(docs, "doc_id", "text", wv)
+    dv = TX.hashed_document_vectors(docs, "doc_id", "text", t["embeddings"], "vec_id", "embedding")
     return dv.select("doc_id", vector_to_array("features").alias("vector"))
 
 

@@ -64,3 +64,16 @@ def test_document_vectors_and_classifier(spark):
     m = TX.train_classifier(tr, max_iter=50)
     acc = TX.classify(m, tr).where("label = prediction").count() / tr.count()
     assert acc >= 0.6
+
+
+def test_hashed_document_vectors_match_two_step(spark):
+    docs = spark.createDataFrame([(1, "Pain is better, much better"), (2, "no pain"), (3, "x")],
+                                 "doc_id int, text string")
+    vecs = spark.createDataFrame([(i, [float(i), float(i * i % 7)]) for i in range(5)],
+                                 "vec_id int, embedding array<double>")
+    wv = TX.hashed_word_vectors(docs, "text", vecs, "vec_id", "embedding")
+    two = {r.doc_id: list(r.features) for r in TX.document_vectors(docs, "doc_id", "text", wv).collect()}
+    one = {r.doc_id: list(r.features)
+           for r in TX.hashed_document_vectors(docs, "doc_id", "text", vecs, "vec_id", "embedding").collect()}
+    assert two.keys() == one.keys() == {1, 2, 3}
+    assert all(np.allclose(two[k], one[k]) for k in two)
