@@ -46,6 +46,8 @@ def position(df: DataFrame, order_cols: list, group_cols: list[str] | None = Non
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    # Checkpointed straight after the range shuffle: the write job re-reads the
+    # shuffle files rather than recomputing the input, so no persist is needed.
     numbered = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn(PID, F.spark_partition_id())

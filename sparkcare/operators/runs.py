@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import basename, collapse_ws, split_ws, strip_last
 from ..functions.timefmt import format_elapsed, micros_ntz, parse_date_time_ntz
 from .joins import range_argmax_join
+from ..session import reliable_checkpoint
 from .ranking import with_sequence
 
 # The report's positional fields and the scheduler's status word.
@@ -93,7 +94,10 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
     ``keep_unmatched``).  Ties on the end instant go to the smallest job name;
     the printed fields depend only on the end instant.
     """
-    fin = runs.where(F.col("status") == FINISHED)
+    # The join reads the runs in several branches (starts, ends, probes, payload);
+    # store the finished runs once, reliably, so the parse is not repeated per branch.
+    fin = reliable_checkpoint(runs.where(F.col("status") == FINISHED).select(
+        "job_name", "start_date", "start_time", "start_day", "end_date", "end_time", "end_day"))
     starts = fin.where(F.col("job_name") == start_job).select(
         "start_date", "start_time", "start_day",
         micros_ntz(parse_date_time_ntz("start_date", "start_time")).alias("_s_us"))

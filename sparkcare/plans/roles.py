@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import reliable_checkpoint
 
 from ..functions.timefmt import format_elapsed, micros_ntz
 
@@ -164,8 +164,7 @@ def report_lines(t, captured: bool = True) -> DataFrame:
                  F.col("event_type")).alias("value"))
     out = lines.unionByName(headers)
     if captured:
-        ensure_checkpoint_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+        out = reliable_checkpoint(out)
     return out
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
@@ -58,3 +59,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="sparkcare-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's reliable checkpoint folder, lineage cut.
+
+    Writing a checkpoint runs its own job over the data; persisting first lets
+    that job read the blocks the eager count just produced instead of computing
+    ``df`` a second time.  The persisted copy is dropped once the files exist (a
+    lost block is then re-read from the checkpoint, not recomputed)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()
