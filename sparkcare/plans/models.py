@@ -73,7 +73,15 @@ def q_cost_score_new(t, spark):
     return C.score_new(model, spark)
 
 
-@register("text_vectors")
+@register("text_vectors", """
+WITH n AS (SELECT count(*) AS n FROM embeddings),
+tok AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z'']+')) AS w FROM documents),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM tok WHERE w <> '' GROUP BY doc_id, w),
+h AS (SELECT doc_id, tf, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % (SELECT n FROM n) AS vid FROM tf),
+x AS (SELECT h.doc_id, h.tf, CAST(unnest(e.embedding) AS DOUBLE) AS v, generate_subscripts(e.embedding, 1) AS i
+      FROM h JOIN embeddings e ON e.vec_id = h.vid),
+m AS (SELECT doc_id, i, sum(v * tf) / sum(tf) AS v FROM x GROUP BY doc_id, i)
+SELECT doc_id, list(v ORDER BY i) AS vector FROM m GROUP BY doc_id""")
 def q_text_vectors(t, spark):
     """Mean word vector of every document (word vectors hashed from embeddings)."""
     docs = t["documents"].select("doc_id", "text")
