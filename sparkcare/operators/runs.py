@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.text import basename, collapse_ws, split_ws, strip_last
 from ..functions.timefmt import format_elapsed, micros_ntz, parse_date_time_ntz
 from .joins import range_argmax_join
-from ..session import reliable_checkpoint
+from ..session import stored_copy
 from .ranking import with_sequence
 
 # The report's positional fields and the scheduler's status word.
@@ -20,6 +20,7 @@ FINISHED = "Finished"
 HEADER_PATTERN = r"^\s*Job\s+Name\b"
 MIN_TOKENS = 12
 DAY_US = 86_400_000_000
+DAY_S = 86_400
 
 # The two job lists of the warehouse load (processing log and box log).
 CDW_JOBS = [
@@ -59,7 +60,11 @@ def parse_report(lines: DataFrame, value_col: str = "value") -> DataFrame:
     # these before the length filter once predicates are pushed down
     field = lambda i: F.get(F.col("_tok"), F.lit(i))
     status = F.when(field(9) != FINISHED, strip_last(field(11))).otherwise(field(9))
-    return ok.select(*[field(i).alias(c) for i, c in enumerate(JOB_COLUMNS[:9])], status.alias("status"))
+    # The fields leave through a generator: a later filter on them (status, job
+    # name) cannot be pushed below it, where the optimizer would substitute the
+    # tokenizing regexes into the predicate once per field reference.
+    row = F.struct(*[field(i).alias(c) for i, c in enumerate(JOB_COLUMNS[:9])], status.alias("status"))
+    return ok.select(F.inline(F.array(row)))
 
 
 def report_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -96,22 +101,26 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
     """
     # The join reads the runs in several branches (starts, ends, probes, payload);
     # store the finished runs once, reliably, so the parse is not repeated per branch.
-    fin = reliable_checkpoint(runs.where(F.col("status") == FINISHED).select(
+    fin = stored_copy(runs.where(F.col("status") == FINISHED).select(
         "job_name", "start_date", "start_time", "start_day", "end_date", "end_time", "end_day"))
+    # The report prints whole seconds, so the range join runs on epoch seconds: an
+    # exact coordinate with 20 fewer bits than microseconds, hence fewer block
+    # levels and fewer probes per start.
+    def seconds(d, t):
+        return F.floor(micros_ntz(parse_date_time_ntz(d, t)) / F.lit(1_000_000)).cast("bigint")
+
     starts = fin.where(F.col("job_name") == start_job).select(
-        "start_date", "start_time", "start_day",
-        micros_ntz(parse_date_time_ntz("start_date", "start_time")).alias("_s_us"))
-    starts = starts.withColumn("_h_us", F.col("_s_us") + F.lit(window_days * DAY_US))
+        "start_date", "start_time", "start_day", seconds("start_date", "start_time").alias("_s_s"))
+    starts = starts.withColumn("_h_s", F.col("_s_s") + F.lit(window_days * DAY_S))
     ends = fin.where(F.col("job_name") != start_job).select(
-        "job_name", "end_date", "end_time", "end_day",
-        micros_ntz(parse_date_time_ntz("end_date", "end_time")).alias("_e_us"))
-    m = range_argmax_join(starts, ends, "_s_us", "_h_us", "_e_us", ["end_date", "end_time", "end_day"],
-                          max_width=window_days * DAY_US, tie_cols=["job_name"],
+        "job_name", "end_date", "end_time", "end_day", seconds("end_date", "end_time").alias("_e_s"))
+    m = range_argmax_join(starts, ends, "_s_s", "_h_s", "_e_s", ["end_date", "end_time", "end_day"],
+                          max_width=window_days * DAY_S, tie_cols=["job_name"],
                           how="left" if keep_unmatched else "inner")
     return m.select("start_date", "start_time", "start_day",
                     F.col("m_end_date").alias("end_date"), F.col("m_end_time").alias("end_time"),
                     F.col("m_end_day").alias("end_day"),
-                    format_elapsed(F.col("m__e_us") - F.col("_s_us")).alias("total_elapsed_time"),
+                    format_elapsed((F.col("m__e_s") - F.col("_s_s")) * F.lit(1_000_000)).alias("total_elapsed_time"),
                     F.lit("").alias("run_data"))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -74,3 +75,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
         return kept.checkpoint(eager=True)
     finally:
         kept.unpersist()
+
+
+def stored_copy(df: DataFrame) -> DataFrame:
+    """``df`` written once as a parquet table under the session's reliable
+    checkpoint folder and read back: the lineage is cut like ``checkpoint()``, but
+    the data is computed by a single write job, stored columnar and compressed, and
+    the planner sees file sizes (for join strategy) when it is read again."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
