@@ -10,10 +10,12 @@ skip:
   MATCHES pairs with them;
 * the rest of a node's pairs is ordered by frequency, and only the rarest of them, all but
   MATCHES - 1, are posted: two nodes that share MATCHES pairs share one of these;
-* members of a posting meet its pivot first.  Collisions are counted on the signatures,
-  links confirmed on the full sets, and linked nodes get one label; this repeats with
-  other pivots.  What remains is exact: every member meets every other one with another
-  label, which leaves out the pairs inside a component, the square of a group's size.
+* members of a posting meet its pivot first (one pair per member).  Collisions are counted
+  on the signatures, links confirmed on the full sets, and linked nodes get one label;
+* what remains is exact: members with different labels meet in every posting that holds
+  several labels.  Short postings give their pairs; the nodes of long ones are cut into
+  blocks of BLOCK_NODES, and pairs of blocks are compared inside one task, which emits
+  links only, so a large group is neither gathered in one task nor written out as pairs.
 
 The result is the components of the graph of links: pairs inside one class need not be
 looked at, but no link between two classes is left out.
@@ -41,8 +43,9 @@ from .graph import components
 
 COORDINATES = 40
 MATCHES = 18
-PIVOT_ROUNDS = 3
-BLOCK = 4096
+SHORT = 32
+BLOCK_NODES = 128
+CHUNK = 4096
 
 
 def shingle_set(text: bytes | None, words: int) -> np.ndarray:
@@ -52,8 +55,8 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
 def signature(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """One key per coordinate, made of the coordinate and its smallest hash."""
     least = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), BLOCK):
-        part = (shingles[at:at + BLOCK, None] ^ seeds) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(shingles), CHUNK):
+        part = (shingles[at:at + CHUNK, None] ^ seeds) * np.uint64(0x9E3779B97F4A7C15)
         np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
     return mixed(least + seeds)
 
@@ -105,15 +108,78 @@ def confirm(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, matches: int
             .where(both * 100 >= (F.size("su") + F.size("sv") - both) * percent).select("u", "v"))
 
 
+def meet_pivot(now: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each member of a posting and the posting's pivot."""
+    pivot = now.groupBy("token").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("other"),
+                                     F.count("*").alias("c")).where("c > 1")
+    return _ordered(now.join(pivot, "token"), percent)
+
+
+def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
+    return (pairs.where((F.col("node") != F.col("other.node")) & _similar_size("n", "other.n", percent))
+            .select(F.least("node", "other.node").alias("u"), F.greatest("node", "other.node").alias("v")).distinct())
+
+
+def meet_in_short(now: DataFrame, percent: int) -> DataFrame:
+    """(u, v) with different labels in the same posting of at most SHORT members."""
+    other = now.select("token", F.struct("node", "n").alias("other"), F.col("label").alias("other_label"))
+    return _ordered(now.join(other, "token").where("label < other_label"), percent)
+
+
+def link_blocks(now: DataFrame, sketches: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
+    """The links (u, v) between different labels among the members of long postings."""
+    home = now.groupBy("node", "label").agg(F.max(F.struct("c", "token")).alias("most"))
+    home = home.select("node", "label", F.col("most.token").alias("home"))
+    salts = home.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("salts"))
+    home = stored(home.join(salts, "home").select(
+        "node", "label", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("salts"))).alias("block")))
+    spread = now.select("token", "node").join(home.select("node", "block"), "node").select("token", "block").distinct()
+    meet = (spread.select("token", F.col("block").alias("b1")).join(spread.select("token", F.col("block").alias("b2")), "token")
+            .where("b1 <= b2").select("b1", "b2").distinct())
+    sides = meet.select("b1", "b2", F.explode(F.array_distinct(F.array("b1", "b2"))).alias("block"))
+    full = home.join(sketches, "node").join(sets, "node")
+    return (sides.join(full, "block").groupBy("b1", "b2")
+            .applyInArrow(lambda group: compare_blocks(group, matches, percent), "u binary, v binary"))
+
+
+def compare_blocks(group: pa.Table, matches: int, percent: int) -> pa.Table:
+    """Links between the two blocks of a group (or inside one, if they are the same)."""
+    group = group.combine_chunks()
+    blocks, b1, b2 = (group.column(n).to_numpy() for n in ("block", "b1", "b2"))
+    nodes, labels = (group.column(n).to_pylist() for n in ("node", "label"))
+    label = np.unique(labels, return_inverse=True)[1] if labels else np.zeros(0, int)
+    sketch = np.array(group.column("signature").to_pylist(), np.int64)
+    lists = group.column("shingles").chunk(0) if group.num_rows else None
+    ends = lists.offsets.to_numpy() if lists is not None else np.zeros(1, int)
+    flat = lists.values.to_numpy().view(np.uint64) if lists is not None else np.zeros(0, np.uint64)
+    size = np.diff(ends)
+    left, right = np.flatnonzero(blocks == b1), np.flatnonzero(blocks == b2)
+    us, vs = [], []
+    for i in left:
+        others = right[right > i] if b1[0] == b2[0] else right
+        others = others[(label[others] != label[i])
+                        & (np.minimum(size[others], size[i]) * 100 >= np.maximum(size[others], size[i]) * percent)]
+        others = others[(sketch[others] == sketch[i]).sum(axis=1) >= matches] if len(others) else others
+        if not len(others):
+            continue
+        mine = flat[ends[i]:ends[i + 1]]
+        theirs = np.concatenate([flat[ends[j]:ends[j + 1]] for j in others])
+        at = np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)
+        both = np.add.reduceat((mine[at] == theirs).astype(np.int64), np.concatenate([[0], np.cumsum(size[others])[:-1]]))
+        for j in others[both * 100 >= (size[others] + size[i] - both) * percent]:
+            us.append(nodes[i])
+            vs.append(nodes[j])
+    return pa.table([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES,
-                    pivot_rounds: int = PIVOT_ROUNDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, row_key.  Documents
-    are linked at a similarity of ``percent`` / 100 of their sets of ``words`` words."""
+                    percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept, row_key, class_key.
+    Documents are linked at a similarity of ``percent`` / 100 of their sets of ``words`` words."""
     rows = two_columns(docs, id_col, text_col)
     rows = rows.select(row_key("doc_id", "text").alias("row_key"), "doc_id", "text")
     seen = stored(signatures(rows, words, coordinates))
-    members = seen.where("node is not null").select("node", "doc_id", "n_shingles", "row_key", "signature")
+    members = seen.where("node is not null")
     nodes = stored(members.groupBy("node").agg(F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n_shingles"),
                                                F.first("signature").alias("signature")))
     posted = stored(postings(nodes, matches))
@@ -121,47 +187,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stored(full_sets(rows, wanted, words))
     sketches = wanted.select("node", "signature")
 
-    labels, links = None, None
-    for turn in range(pivot_rounds + 1):
-        now = posted if labels is None else posted.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node"))
-        if labels is None:
-            now = now.withColumn("label", F.col("node"))
-        now = stored(now)
-        if turn < pivot_rounds:
-            best = F.min_by(F.struct("node", "n", "label"), F.xxhash64("node", F.lit(turn)))
-            meet = now.groupBy("token").agg(best.alias("other"), F.min("label").alias("a"), F.max("label").alias("b"))
-            meet = meet.where("a <> b").select("token", "other")
-            left = now
-        else:
-            # everything in the most frequent label of a posting is done among itself
-            main = (now.groupBy("token", "label").agg(F.count("*").alias("c"))
-                    .groupBy("token").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("k"))
-                    .where("k > 1").select("token", "main"))
-            now = now.join(main, "token")
-            left = now.where("label <> main")
-            meet = now.select("token", F.struct("node", "n", "label").alias("other"))
-        pairs = (left.select("token", "node", "n", "label").join(meet, "token")
-                 .where(F.col("label") != F.col("other.label"))
-                 .where(_similar_size("n", "other.n", percent))
-                 .select(F.least("node", "other.node").alias("u"), F.greatest("node", "other.node").alias("v")).distinct())
-        found = confirm(pairs, sketches, sets, matches, percent)
-        links = found if links is None else found.unionAll(labels.select(F.col("node").alias("u"), F.col("label").alias("v")))
-        labels = stored(components(links))
+    links = confirm(meet_pivot(posted, percent), sketches, sets, matches, percent)
+    labels = stored(components(links))
+    now = posted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = (now.groupBy("token").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
+               .where("a <> b").select("token", "c"))
+    now = stored(now.join(several, "token"))
+    links = stored(confirm(meet_in_short(now.where(F.col("c") <= SHORT), percent), sketches, sets, matches, percent)
+                   .unionByName(link_blocks(now.where(F.col("c") > SHORT), sketches, sets, matches, percent)))
+    if not links.isEmpty():
+        labels = stored(components(links.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v")))))
 
     of_node = nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     least = (members.select("node", "doc_id").join(of_node, "node").groupBy("label")
              .agg(F.min("doc_id").alias("component_id")))
-    class_of = of_node.join(least, "label").select("node", "component_id")
+    class_of = of_node.join(least, "label").select("node", "label", "component_id")
     out = seen.select("row_key", "doc_id", "n_shingles", "node").join(class_of, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key",
+                      F.coalesce("label", F.col("row_key").cast("binary")).alias("class_key"))
 
 
 def full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted``, from the one row that stands for each.
-    A filter of bounded size leaves most other rows out before the shuffle."""
+    """(node, shingles), sorted, of the nodes in ``wanted``, from the one row that stands
+    for each.  Rows are chosen by a filter of bounded size, so no text is shuffled; a set
+    that passes without being wanted is never joined."""
     chosen = key_filter(wanted.select("row_key"), wanted.count(), bits_per_key=16)
     chosen = rows.sparkSession.sparkContext.broadcast(chosen)
 
@@ -169,22 +220,17 @@ def full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         known = KeyFilter(*chosen.value)
         for batch in slices(batches):
             keep = known.test(batch.column("row_key").to_numpy().view(np.uint64))
-            batch = batch.filter(pa.array(keep))
-            sets = [shingle_set(t, words) for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node_of(s) for s in sets], pa.binary()), batch.column("row_key"), int64_lists(sets)],
-                ["node", "row_key", "shingles"])
+            sets = [shingle_set(t, words) for t in as_bytes(batch.filter(pa.array(keep)).column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.binary()), int64_lists(sets)],
+                                             ["node", "shingles"])
 
-    got = rows.mapInArrow(run, "node binary, row_key long, shingles array<long>")
-    return (got.join(wanted.select("node", "row_key"), ["node", "row_key"]).select("node", "shingles")
-            .dropDuplicates(["node"]))
+    return rows.mapInArrow(run, "node binary, shingles array<long>")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One document of each class, all columns as they are: the one with the smallest id,
     of rows that share it the one with the smallest hash, of equal rows one."""
     found = near_duplicates(docs, id_col, text_col, **how)
-    first = found.where("kept").groupBy(F.col("component_id").alias("__id")).agg(F.min("row_key").alias("__key"))
+    first = found.where("kept").groupBy("class_key").agg(F.min("row_key").alias("__key")).select("__key")
     keyed = docs.withColumn("__row", row_key(id_col, text_col))
-    return (keyed.join(first, keyed[id_col].eqNullSafe(first["__id"]) & (keyed["__row"] == first["__key"]), "left_semi")
-            .dropDuplicates(["__row"]).drop("__row"))
+    return keyed.join(first, keyed["__row"] == first["__key"], "left_semi").dropDuplicates(["__row"]).drop("__row")
