@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"), "row_key",
-                      F.coalesce("label", F.col("row_key").cast("binary")).alias("class_key"))
+                      F.coalesce("label", F.encode(F.hex("row_key"), "utf-8")).alias("class_key"))
 
 
 def full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
