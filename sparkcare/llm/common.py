@@ -12,12 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stored_copy as stored  # noqa: F401  (written table in the shared folder)
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def row_key(id_col: str, text_col: str) -> Column:
@@ -26,8 +26,20 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
 
 
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_ROWS rows at most: whole texts are long, and a batch is held
+    by the JVM and by a Python worker for each running task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under fixed names, whatever else ``df`` holds."""
+    small_batches(df.sparkSession)
     return df.select(df[id_col].alias("doc_id"), df[text_col].cast("string").alias("text"))
 
 

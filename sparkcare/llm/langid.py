@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 SMOOTHING = 0.5
@@ -68,6 +70,7 @@ def learn(rows: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tu
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used),
                                               pa.array(counts[used])], ["lang", "bucket", "n"])
 
+    small_batches(rows.sparkSession)
     known = rows.select(rows[lang_col].alias("lang"), rows[text_col].alias("text")).dropna()
     cells = (known.mapInArrow(count, "lang string, bucket long, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))

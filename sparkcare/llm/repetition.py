@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import as_bytes, slices, two_columns, word_hashes
+from .common import as_bytes, slices, small_batches, two_columns, word_hashes
 
 WINDOW = 8
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
@@ -152,4 +152,5 @@ def keep_good(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()
             keep = [measure(t or b"", limits)[-1] for t in as_bytes(batch.column(text_col))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -119,16 +120,17 @@ def block_table(rows: DataFrame, window: int, gram: int, piece: int = PIECE) ->
     return rows.select("row_key", "text").mapInArrow(run, "anchor long, body long, row_key long, start int, count int")
 
 
-def passing(frame: DataFrame, column: str, keys: DataFrame, wanted: bool = True, bits_per_key: int = 16) -> DataFrame:
-    """The rows of ``frame`` whose ``column`` may be in ``keys`` (or, not wanted, the ones
-    that are surely not)."""
-    known = frame.sparkSession.sparkContext.broadcast(key_filter(keys, keys.count(), bits_per_key))
+def filter_of(keys: DataFrame, bits_per_key: int = 16) -> Broadcast:
+    return keys.sparkSession.sparkContext.broadcast(key_filter(keys, keys.count(), bits_per_key))
 
+
+def passing(frame: DataFrame, column: str, known: Broadcast) -> DataFrame:
+    """The rows of ``frame`` whose ``column`` may be among the keys of a broadcast filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = KeyFilter(*known.value)
         for batch in batches:
             hit = test.test(batch.column(column).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit == wanted))
+            yield batch.filter(pa.array(hit))
 
     return frame.mapInArrow(run, frame.schema)
 
@@ -136,7 +138,7 @@ def passing(frame: DataFrame, column: str, keys: DataFrame, wanted: bool = True,
 def boundary_windows(rows: DataFrame, blocks: DataFrame, window: int, piece: int = PIECE) -> DataFrame:
     """(anchor, hash, row_key, at, single) of every window of the given blocks."""
     todo = blocks.groupBy("row_key").agg(F.collect_set(F.struct("anchor", "start", "count", "single")).alias("blocks"))
-    texts = passing(rows, "row_key", todo.select("row_key")).join(todo, "row_key")
+    texts = passing(rows, "row_key", filter_of(todo.select("row_key"))).join(todo, "row_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -169,7 +171,7 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, piec
     elsewhere; of whole blocks with the reference they were matched to."""
     blocks = stored(block_table(rows, window, gram, piece))
     again = stored(blocks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    blocks = passing(blocks, "anchor", again)
+    blocks = passing(blocks, "anchor", filter_of(again))
     bodies = stored(blocks.groupBy("anchor", "body").agg(
         F.count("*").alias("n"), F.min("row_key").alias("ref_key"), F.min("start").alias("ref_start")))
     whole = bodies.where("n > 1").select("anchor", "body", "ref_key", "ref_start")
@@ -211,8 +213,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spans = stored(repeated_spans(rows, window, gram, piece).groupBy("row_key").agg(
         F.collect_set(F.struct("start", "end", "ref_key", "ref_start")).alias("spans")))
 
+    known = filter_of(spans.select("row_key"))
+
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = KeyFilter(*known.value)
         for batch in slices(batches):
+            if "spans" not in batch.schema.names:
+                hit = test.test(batch.column("row_key").to_numpy().view(np.uint64))
+                batch = batch.filter(pa.array(~hit))
             out = []
             marks = batch.column("spans").to_pylist() if "spans" in batch.schema.names else [None] * batch.num_rows
             for text, mark in zip(as_bytes(batch.column("text")), marks):
@@ -231,6 +239,5 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     shape = (StructType().add(rest.schema["doc_id"]).add("text", "string").add("n_words", "long")
              .add("n_removed", "long").add("n_factors", "long").add(rest.schema["rest"]))
-    clean = passing(rest, "row_key", spans.select("row_key"), wanted=False)
-    touched = passing(rest, "row_key", spans.select("row_key")).join(spans, "row_key", "left")
-    return clean.mapInArrow(finish, shape).unionByName(touched.mapInArrow(finish, shape))
+    touched = passing(rest, "row_key", known).join(spans, "row_key", "left")
+    return rest.mapInArrow(finish, shape).unionByName(touched.mapInArrow(finish, shape))

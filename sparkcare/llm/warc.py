@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import stored
+from .common import small_batches, stored
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -154,6 +154,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, _CANDIDATE)
 
     kinds = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean"}
+    small_batches(spark)
     return pieces(spark, path).mapInArrow(run, ", ".join(f"{f.name} {kinds[f.type]}" for f in _CANDIDATE))
 
 
