@@ -29,6 +29,14 @@ def conform(df: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
         for s in specs])
 
 
+def conform_rejects(df: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
+    """The rows of ``df`` with a value that its target type cannot hold, plus
+    ``rejected_columns``: what ``conform`` would turn into null.  Count them before a join."""
+    lost = [F.when(F.col(s.source).isNotNull() & F.col(s.source).try_cast(s.dtype).isNull(), F.lit(s.name))
+            for s in specs]
+    return df.withColumn("rejected_columns", F.array_compact(F.array(*lost))).where(F.size("rejected_columns") > 0)
+
+
 def schema_of(specs: list[ColumnSpec]) -> str:
     """DDL text of the conformed schema (for empty frames and CSV readers)."""
     return ", ".join(f"{s.name} {s.dtype}" for s in specs)
@@ -44,48 +52,48 @@ def data_dictionary(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 # The eight claim-system entities.  Source column names and target names/types
-# are fixed values of the claims model; person_no is BIGINT, not FLOAT (a 32-bit
-# float cannot hold every person number, so two people could join as one).
+# are fixed values of the claims model; keys are BIGINT, not INT or FLOAT, so that a
+# large key neither turns null (and vanishes in a join) nor meets another one.
 SPECS: dict[str, list[ColumnSpec]] = {
     "adjudicatedsvcs": [
-        ColumnSpec("CLMNUM", "claim_no", "int", "Claim number"),
-        ColumnSpec("ENCTRSVCSVCNUM", "enc_ser_no", "int", "Service line number within the encounter"),
-        ColumnSpec("PROF", "phy_id", "int", "Internal physician identifier"),
-        ColumnSpec("CGBEFOREADJAMTPREPAID", "pre_paid_amt", "int", "Pre-paid amount of the service line"),
+        ColumnSpec("CLMNUM", "claim_no", "bigint", "Claim number"),
+        ColumnSpec("ENCTRSVCSVCNUM", "enc_ser_no", "bigint", "Service line number within the encounter"),
+        ColumnSpec("PROF", "phy_id", "bigint", "Internal physician identifier"),
+        ColumnSpec("CGBEFOREADJAMTPREPAID", "pre_paid_amt", "bigint", "Pre-paid amount of the service line"),
     ],
     "benefitpkg": [
         ColumnSpec("PkgCode", "ben_pkg_cd", "string", "Benefit package code of the coverage"),
-        ColumnSpec("PkgNum", "package_no", "int", "Benefit package number"),
+        ColumnSpec("PkgNum", "package_no", "bigint", "Benefit package number"),
     ],
     "claims": [
-        ColumnSpec("CLMNUM", "claim_no", "int", "Claim number"),
+        ColumnSpec("CLMNUM", "claim_no", "bigint", "Claim number"),
         ColumnSpec("ACCEPTANCESTATUS", "accept_stat_cd", "string", "Claim acceptance status code"),
-        ColumnSpec("ENCTRNUM", "enc_no", "int", "Encounter number (one billed healthcare event)"),
-        ColumnSpec("FRPNUM", "frp_seq_no", "int", "Order of payer responsibility on the encounter"),
+        ColumnSpec("ENCTRNUM", "enc_no", "bigint", "Encounter number (one billed healthcare event)"),
+        ColumnSpec("FRPNUM", "frp_seq_no", "bigint", "Order of payer responsibility on the encounter"),
     ],
     "encounters": [
         ColumnSpec("CLMVARCLMFORMTYPE", "claim_form_tp_cd", "string", "Claim form type code"),
-        ColumnSpec("ENCTRNUM", "enc_no", "int", "Encounter number (one billed healthcare event)"),
-        ColumnSpec("FAC", "facil_id", "int", "Internal facility identifier of the billing entity"),
+        ColumnSpec("ENCTRNUM", "enc_no", "bigint", "Encounter number (one billed healthcare event)"),
+        ColumnSpec("FAC", "facil_id", "bigint", "Internal facility identifier of the billing entity"),
         ColumnSpec("PERSONNUM", "person_no", "bigint", "Internal person identifier"),
     ],
     "enctrfrppackages": [
-        ColumnSpec("ENCTRNUM", "enc_no", "int", "Encounter number (one billed healthcare event)"),
-        ColumnSpec("DeliveryNetwk", "delivery_network_id", "int", "Delivery network identifier of the coverage"),
-        ColumnSpec("PkgNum", "package_no", "int", "Benefit package number"),
-        ColumnSpec("Product", "prod_id", "int", "Internal product identifier"),
+        ColumnSpec("ENCTRNUM", "enc_no", "bigint", "Encounter number (one billed healthcare event)"),
+        ColumnSpec("DeliveryNetwk", "delivery_network_id", "bigint", "Delivery network identifier of the coverage"),
+        ColumnSpec("PkgNum", "package_no", "bigint", "Benefit package number"),
+        ColumnSpec("Product", "prod_id", "bigint", "Internal product identifier"),
     ],
     "enctrsvcs": [
         ColumnSpec("CPT4HCPCSGRPPLACEOFSVC", "place_of_serv_cd", "string", "Type of place the service was performed at"),
-        ColumnSpec("ENCTRNUM", "enc_no", "int", "Encounter number (one billed healthcare event)"),
+        ColumnSpec("ENCTRNUM", "enc_no", "bigint", "Encounter number (one billed healthcare event)"),
     ],
     "person": [
-        ColumnSpec("DemographicsExternalIdNum", "external_person_id", "int", "External member number"),
+        ColumnSpec("DemographicsExternalIdNum", "external_person_id", "bigint", "External member number"),
         ColumnSpec("PersonNum", "person_no", "bigint", "Internal person identifier"),
     ],
     "products": [
         ColumnSpec("PurchaserSubtypePurchaserSubtype", "purch_sub_tp_nm", "string", "Product purchaser subtype name"),
         ColumnSpec("PurchaserType", "purch_tp_nm", "string", "Product purchaser type name"),
-        ColumnSpec("ProductNum", "prod_id", "int", "Internal product identifier"),
+        ColumnSpec("ProductNum", "prod_id", "bigint", "Internal product identifier"),
     ],
 }

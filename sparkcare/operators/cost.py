@@ -67,9 +67,12 @@ def fit_cost_model(train: DataFrame, features: list[str] = FEATURES) -> LinearRe
 
 
 def predict(model: LinearRegressionModel, df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """M4/M6: adds ``prediction``."""
+    """M4/M6: adds ``prediction``; null for a row with a null feature, as such rows are
+    skipped in training too."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return model.transform(asm.transform(df)).drop("features")
+    scored = model.transform(asm.transform(df)).drop("features")
+    missing = F.array_contains(F.array(*(F.col(c).isNull() for c in features)), True)
+    return scored.withColumn("prediction", F.when(~missing, F.col("prediction")))
 
 
 def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
@@ -78,12 +81,13 @@ def r2(pred: DataFrame, label: str = "label", prediction: str = "prediction") ->
 
 
 def r2_frame(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """A16 as one aggregate pass: 1 - SS_res / SS_tot."""
-    y, p = F.col(label), F.col(prediction)
-    g = pred.agg(F.sum((y - p) * (y - p)).alias("ss_res"), F.avg(y).alias("ybar"),
-                 F.sum(y * y).alias("syy"), F.count(y).alias("n"))
-    ss_tot = F.col("syy") - F.col("n") * F.col("ybar") * F.col("ybar")
-    return g.select((1 - F.col("ss_res") / ss_tot).alias("r2"), "n")
+    """A16 as one aggregate pass over the scored rows: 1 - SS_res / SS_tot, their number
+    ``n`` and that of the rows without label or prediction, ``unscored``."""
+    y = F.when(F.col(prediction).isNotNull(), F.col(label))
+    p = F.col(prediction)
+    g = pred.agg(F.sum((y - p) * (y - p)).alias("ss_res"), (F.var_pop(y) * F.count(y)).alias("ss_tot"),
+                 F.count(y).alias("n"), F.count("*").alias("rows"))
+    return g.select((1 - F.col("ss_res") / F.col("ss_tot")).alias("r2"), "n", (F.col("rows") - F.col("n")).alias("unscored"))
 
 
 def simple_regression(df: DataFrame, y: str, x: str, digits: int = 6) -> DataFrame:

@@ -138,7 +138,7 @@ def group_mean(df: DataFrame, keys: list[str], value: str, digits: int = 4, ci:
     return g.select(*out)
 
 
-def letter_values(df: DataFrame, value: str, group_col: str, digits: int = 4) -> DataFrame:
+def letter_values(df: DataFrame, value: str, group_col: str, digits: int = 6) -> DataFrame:
     """A10: letter-value quantiles (1/16 ... 15/16) of ``value`` per group; exact."""
     q = exact_quantiles(df, value, LETTER_VALUE_PROBS, [group_col])
     return q.select(group_col, F.round("prob", 6).alias("prob"), "n", F.round("value", digits).alias("value"))

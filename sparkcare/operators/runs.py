@@ -104,8 +104,7 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
     fin = stored_copy(runs.where(F.col("status") == FINISHED).select(
         "job_name", "start_date", "start_time", "start_day", "end_date", "end_time", "end_day"))
     # The report prints whole seconds, so the range join runs on epoch seconds: an
-    # exact coordinate with 20 fewer bits than microseconds, hence fewer block
-    # levels and fewer probes per start.
+    # exact coordinate with 20 fewer bits than microseconds, hence fewer bucket levels.
     def seconds(d, t):
         return F.floor(micros_ntz(parse_date_time_ntz(d, t)) / F.lit(1_000_000)).cast("bigint")
 
@@ -115,7 +114,7 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
     ends = fin.where(F.col("job_name") != start_job).select(
         "job_name", "end_date", "end_time", "end_day", seconds("end_date", "end_time").alias("_e_s"))
     m = range_argmax_join(starts, ends, "_s_s", "_h_s", "_e_s", ["end_date", "end_time", "end_day"],
-                          max_width=window_days * DAY_S, tie_cols=["job_name"],
+                          tie_cols=["job_name"],
                           how="left" if keep_unmatched else "inner")
     return m.select("start_date", "start_time", "start_day",
                     F.col("m_end_date").alias("end_date"), F.col("m_end_time").alias("end_time"),

@@ -2,8 +2,7 @@
 
 Sentiment is lexicon based (the published valence-sum method: compound =
 s / sqrt(s^2 + 15); positive / negative / neutral shares from per-token
-valences).  The word list is a table; joining tokens to it is a broadcast hash
-join because a lexicon is small and its size is checked first.  The rule
+valences).  The word list is a table of any size.  The rule
 heuristics of the original package (negation, boosters, capitals) and its word
 list are not reproduced, so scores are not claimed equal to it.
 
@@ -24,7 +23,6 @@ from ..functions.text import percent_text
 TOKEN_SPLIT = r"[^a-z']+"
 ALPHA = 15.0
 POSITIVE_AT, NEGATIVE_AT = 0.05, -0.05
-MAX_BROADCAST_LEXICON_ROWS = 1_000_000
 
 # A small general-purpose English valence list (scale -4 .. +4).
 DEFAULT_LEXICON = [
@@ -49,18 +47,6 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT, -1), lambda w: w != F.lit(""))
 
 
-def _checked_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows
-    (reading at most max_rows + 1 rows); otherwise let the planner shuffle-join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# A literal map is probed by a scan over its keys, so only small lexicons take the
-# one-pass path; larger ones are hash-joined (``sentiment_scores``).
-MAX_LITERAL_LEXICON_ROWS = 2_000
-
-
 def _finish_scores(s, pos, neg, neu) -> list[Column]:
     """neg, neu, pos shares (rounded to 3) and compound (rounded to 4) from the
     valence sum ``s``, positive sum, negative sum and neutral count (all in
@@ -75,58 +61,30 @@ def _finish_scores(s, pos, neg, neu) -> list[Column]:
             F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("compound")]
 
 
-def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame,
-                   key_cols: list[str] | None = None) -> DataFrame:
+def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame) -> DataFrame:
     """Adds neg, neu, pos and compound to every row of ``df``; null or
-    empty text scores 0.
-
-    A lexicon of at most ``MAX_LITERAL_LEXICON_ROWS`` words (checked by reading at
-    most that many + 1 rows) becomes a literal map shipped with the tasks: each
-    text is then scored inside its own row with higher-order functions - one scan,
-    no shuffle, whatever the data volume.  A larger lexicon takes the join path
-    (``sentiment_scores``) and needs ``key_cols`` identifying the rows."""
-    lex = lexicon.select(F.col("word"), (F.col("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("mv"))
-    words = lex.limit(MAX_LITERAL_LEXICON_ROWS + 1).collect()
-    if len(words) > MAX_LITERAL_LEXICON_ROWS:
-        if not key_cols:
-            raise ValueError("a lexicon this large is joined, which needs key_cols identifying the rows")
-        return df.join(sentiment_scores(df, text_col, key_cols, lexicon), key_cols)
-    m = F.create_map(*[x for r in words for x in (F.lit(r.word), F.lit(r.mv))]) if words else \
-        F.create_map().cast("map<string,bigint>")
-    zero = F.lit(0).cast("bigint")
-    # Split once, keep only the lexicon hits (a few per text), then fold the hits.
-    # Each step is its own column so the optimizer does not inline (and repeat)
-    # the split or the lookups in the four folds.
-    toks = df.withColumn("_tok", tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    hits = toks.withColumn("_n", F.size("_tok")).withColumn(
-        "_hit", F.filter(F.transform("_tok", lambda w: F.try_element_at(m, w)), lambda v: v.isNotNull()))
-    nz = F.size(F.filter("_hit", lambda v: v != 0))
-    parts = hits.select(
-        *df.columns,
-        F.aggregate("_hit", zero, lambda a, v: a + v).alias("_s"),
-        F.aggregate(F.filter("_hit", lambda v: v > 0), zero, lambda a, v: a + v + F.lit(1000)).alias("_p"),
-        F.aggregate(F.filter("_hit", lambda v: v < 0), zero, lambda a, v: a + v - F.lit(1000)).alias("_ng"),
-        (F.col("_n") - nz).alias("_u"))
-    return parts.select(*df.columns, *_finish_scores(F.col("_s"), F.col("_p"), F.col("_ng"), F.col("_u")))
-
-
-def sentiment_scores(df: DataFrame, text_col: str, key_cols: list[str], lexicon: DataFrame) -> DataFrame:
-    """Join form of ``with_sentiment`` for lexicons too large for a literal map:
-    tokens are exploded, broadcast-joined to the (size-checked) lexicon and summed
-    back per text with map-side partial aggregation.  One row per ``key_cols``."""
-    lex = _checked_small(lexicon.select(F.col("word").alias("_w"),
-                                        (F.col("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("_mv")),
-                         MAX_BROADCAST_LEXICON_ROWS)
-    tok = df.select(*key_cols, F.explode_outer(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("_w"))
+    empty text scores 0.  A word listed twice in the lexicon counts once (its largest
+    valence).
+
+    A score depends on the text alone, so texts are scored by their digest: tokens are
+    exploded, joined to the lexicon (any size; the planner picks the join) and summed per
+    digest with map-side partial aggregation, then joined back to the rows.  Repeated
+    texts add up to a whole multiple that the count of their first tokens divides out, so
+    row ids, null or repeated, play no part."""
+    lex = (lexicon.groupBy(F.col("word").alias("_w"))
+           .agg((F.max("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("_mv")))
+    rows = df.withColumn("_text_md5", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    tok = rows.select("_text_md5", F.posexplode_outer(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("_at", "_w"))
     v = F.coalesce(F.col("_mv"), F.lit(0).cast("bigint"))
-    agg = tok.join(lex, "_w", "left").groupBy(*key_cols).agg(
-        F.sum(F.when(F.col("_w").isNotNull(), v)).alias("_s"),
-        F.sum(F.when(v > 0, v + 1000)).alias("_pos"),
-        F.sum(F.when(v < 0, v - 1000)).alias("_neg"),
-        F.count(F.when(F.col("_w").isNotNull() & (v == 0), 1)).alias("_neu"))
-    z = F.lit(0)
-    return agg.select(*key_cols, *_finish_scores(F.coalesce("_s", z), F.coalesce("_pos", z),
-                                                 F.coalesce("_neg", z), F.col("_neu")))
+    total = lambda when: F.coalesce(F.sum(when), F.lit(0).cast("bigint"))
+    sums = tok.join(lex, "_w", "left").groupBy("_text_md5").agg(
+        total(F.when(F.col("_w").isNotNull(), v)).alias("_s"), total(F.when(v > 0, v + 1000)).alias("_pos"),
+        total(F.when(v < 0, v - 1000)).alias("_neg"),
+        F.count(F.when(F.col("_w").isNotNull() & (v == 0), 1)).alias("_neu"),
+        F.count(F.when(F.coalesce(F.col("_at"), F.lit(0)) == 0, 1)).alias("_m"))
+    once = [F.expr(f"{c} div _m") for c in ("_s", "_pos", "_neg", "_neu")]
+    scores = sums.select("_text_md5", *_finish_scores(*once))
+    return rows.join(scores, "_text_md5").select(*df.columns, "neg", "neu", "pos", "compound")
 
 
 def overall_rating(compound: Column) -> Column:
@@ -135,11 +93,11 @@ def overall_rating(compound: Column) -> Column:
 
 
 def response_ratings(df: DataFrame, text_col: str, patient_col: str, case_col: str,
-                     lexicon: DataFrame, key_cols: list[str] | None = None,
+                     lexicon: DataFrame,
                      keep_cols: list[str] | None = None) -> DataFrame:
     """outcome_response, total_sentiment_data (struct), negative/neutral/
     positive_rating ('47.3%'), overall_rating, patient_id, or_case_id."""
-    j = with_sentiment(df, text_col, lexicon, key_cols or [case_col])
+    j = with_sentiment(df, text_col, lexicon)
     return j.select(
         F.col(text_col).alias("outcome_response"),
         F.struct("neg", "neu", "pos", "compound").alias("total_sentiment_data"),
@@ -158,11 +116,7 @@ def all_period_ratings(df: DataFrame, periods: dict[str, str], patient_col: str,
     long = df.select(patient_col, case_col, F.explode(F.array(*[
         F.struct(F.lit(p).alias("period"), F.col(c).alias("response")) for p, c in periods.items()])).alias("_x")) \
         .select(patient_col, case_col, "_x.period", "_x.response")
-    return response_ratings(long, "response", patient_col, case_col, lexicon, key_cols=[case_col, "period"],
-                            keep_cols=["period"])
-
-
-MAX_BROADCAST_VECTOR_ROWS = 200_000
+    return response_ratings(long, "response", patient_col, case_col, lexicon, keep_cols=["period"])
 
 
 def _term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -176,43 +130,51 @@ def _term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def document_vectors(docs: DataFrame, id_col: str, text_col: str, word_vectors: DataFrame,
                      word_col: str = "word", vector_col: str = "vector") -> DataFrame:
     """Document vector = mean of its word vectors (words without a vector are
-    skipped).  Tokens are counted per (document, word) first, then joined to the
+    skipped; a document without any has the zero vector).  Tokens are counted per (document, word) first, then joined to the
     vectors and averaged with ``Summarizer.mean`` (weighted by the count) - a
     mergeable aggregate, so no document's tokens are gathered in one place."""
     wv = word_vectors.select(F.col(word_col).alias("_w"), array_to_vector(F.col(vector_col)).alias("_vec"))
     j = _term_counts(docs, id_col, text_col).join(wv, "_w")
-    return j.groupBy(id_col).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
+    mean = j.groupBy(F.col(id_col).alias("_key")).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
+    dims = word_vectors.agg(F.max(F.size(vector_col))).first()[0] or 0
+    empty = array_to_vector(F.array_repeat(F.lit(0.0), max(dims, 0)))
+    return docs.select(id_col).join(mean, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
+        id_col, F.coalesce("features", empty).alias("features"))
+
+
+VECTOR_SCALE = 1 << 20
 
 
 def hashed_document_vectors(docs: DataFrame, id_col: str, text_col: str, vectors: DataFrame,
                             vec_id_col: str, vector_col: str) -> DataFrame:
-    """M12 with feature hashing: every word takes the vector whose id is
-    md5(word) mod (number of vectors); the document vector is the count-weighted
-    mean.  Same result as ``document_vectors`` over ``hashed_word_vectors`` but the
-    text is tokenized once and the term counts meet the vectors directly on the
-    hashed id.  The vector table is broadcast only when its row count is proven
-    under ``MAX_BROADCAST_VECTOR_ROWS``; beyond that it is a shuffle join (AQE
-    splits a hot id)."""
-    from .cost import hash_bucket
-    n = vectors.count()
-    vz = _checked_small(vectors.select(F.col(vec_id_col).alias("_vid"),
-                                       array_to_vector(F.col(vector_col)).alias("_vec")),
-                        MAX_BROADCAST_VECTOR_ROWS)
-    tf = _term_counts(docs, id_col, text_col).withColumn("_vid", hash_bucket("_w", n))
-    return tf.join(vz, "_vid").groupBy(id_col).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
-
-
-def hashed_word_vectors(docs: DataFrame, text_col: str, vectors: DataFrame, id_col: str,
-                        vector_col: str) -> DataFrame:
-    """A word-vector table for the words of ``docs``: each distinct word takes the
-    vector whose id is md5(word) mod (number of vectors) - feature hashing into a
-    given vector table."""
+    """M12 with feature hashing: every word takes one vector of the table, the one whose
+    rank among the ids is md5(word) mod (number of vectors); the document vector
+    (``features``, array<double>) is the count-weighted mean.
+
+    Vectors are scaled to whole numbers (2**-20 steps), so sums are exact in any order and
+    the only rounding is the final division.  Text is tokenized once and counted by
+    (document, hashed rank); the word itself is not needed.  A document without words has
+    the zero vector."""
     from .cost import hash_bucket
-    n = vectors.count()
-    words = docs.select(F.explode(tokens(F.col(text_col))).alias("word")).distinct()
-    keyed = words.withColumn("_vid", hash_bucket("word", n))
-    vz = vectors.select(F.col(id_col).alias("_vid"), F.col(vector_col).alias("vector"))
-    return keyed.join(vz, "_vid").select("word", "vector")
+    ranked = with_rank(vectors.select(F.col(vec_id_col).alias("_id"), F.col(vector_col).alias("_v")), ["_id"], "_rank")
+    size = ranked.agg(F.max("_rank").alias("n"), F.max(F.size("_v")).alias("dims")).first()
+    n, dims = size["n"] or 0, max(size["dims"] or 0, 0)
+    whole = ranked.select((F.col("_rank") - 1).alias("_vid"), F.transform(
+        "_v", lambda x: F.round(x.cast("double") * VECTOR_SCALE).cast("bigint")).alias("_v"))
+    words = docs.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)).alias("_w")).where("_w <> ''")
+    counts = words.select(id_col, hash_bucket("_w", max(n, 1)).alias("_vid")).groupBy(id_col, "_vid").agg(F.count("*").alias("_tf"))
+    sums = counts.join(whole, "_vid").groupBy(id_col).agg(
+        F.sum("_tf").alias("_all"), *(F.sum(F.col("_v")[i] * F.col("_tf")).alias(f"_d{i}") for i in range(dims)))
+    mean = F.array(*(F.coalesce(F.col(f"_d{i}") / (F.col("_all") * VECTOR_SCALE), F.lit(0.0)) for i in range(dims)))
+    known = sums.withColumnRenamed(id_col, "_key")
+    return docs.select(id_col).join(known, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
+        id_col, mean.alias("features"))
+
+
+def with_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """1, 2, ... in ``order`` over the whole frame, without a single-task window."""
+    from .ranking import with_sequence
+    return with_sequence(df, order, name)
 
 
 def train_classifier(train: DataFrame, features: str = "features", label: str = "label",

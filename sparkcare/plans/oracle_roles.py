@@ -20,7 +20,7 @@ INSURANCE = """SELECT l_quantity AS age, l_discount AS bmi, l_linenumber AS chil
   l_extendedprice AS charges,
   CASE WHEN l_linestatus = 'F' THEN 'yes' ELSE 'no' END AS smoker,
   CASE WHEN l_returnflag = 'A' THEN 'female' ELSE 'male' END AS gender,
-  ['southwest', 'southeast', 'northwest', 'northeast', 'central'][CAST(l_suppkey % 5 + 1 AS INTEGER)] AS region
+  ['southwest', 'southeast', 'northwest', 'northeast'][CAST(l_suppkey % 4 + 1 AS INTEGER)] AS region
 FROM lineitem"""
 
 JOB_RUNS = """SELECT event_id, user_id, event_type AS job_name,

@@ -153,7 +153,7 @@ _LV = "[0.0625, 0.125, 0.25, 0.5, 0.75, 0.875, 0.9375]"
 @register("letter_values", f"""
 WITH ins AS ({R.INSURANCE}),
 q AS (SELECT smoker, count(charges) AS n, quantile_cont(charges, {_LV}::DOUBLE[]) AS qs FROM ins GROUP BY smoker)
-SELECT smoker, round(unnest({_LV}::DOUBLE[]), 6) AS prob, n, round(unnest(qs), 4) AS value FROM q""")
+SELECT smoker, round(unnest({_LV}::DOUBLE[]), 6) AS prob, n, round(unnest(qs), 6) AS value FROM q""")
 def q_letter_values(t, spark):
     """A10: letter-value quantiles of charges per smoker group (exact)."""
     return P.letter_values(roles.insurance(t), "charges", "smoker")

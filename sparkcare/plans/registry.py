@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import load_tables
+from ..sources.tables import LazyTables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,7 +17,7 @@ def register(name: str, sql: str | None = None):
     """Register ``fn(t: dict[str, DataFrame], spark) -> DataFrame`` under ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(load_tables(spark, sf_dir), spark)
+            return fn(LazyTables(spark, sf_dir), spark)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

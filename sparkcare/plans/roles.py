@@ -26,7 +26,7 @@ from ..session import reliable_checkpoint
 
 from ..functions.timefmt import format_elapsed, micros_ntz
 
-REGIONS = ["southwest", "southeast", "northwest", "northeast", "central"]
+REGIONS = ["southwest", "southeast", "northwest", "northeast"]
 START_JOB = "error"
 WINDOW_DAYS = 5
 
@@ -52,13 +52,13 @@ def raw_encounters(t):
 
 
 def raw_enctrfrppackages(t):
-    li = t["lineitem"].where(F.col("l_linenumber") == 1)
+    li = t["lineitem"].groupBy("l_orderkey", "l_partkey").agg(F.min("l_suppkey").alias("l_suppkey"))
     return li.select(F.col("l_orderkey").alias("ENCTRNUM"), F.col("l_suppkey").alias("DeliveryNetwk"),
                      (F.col("l_suppkey") % 25).alias("PkgNum"), F.col("l_partkey").alias("Product"))
 
 
 def raw_enctrsvcs(t):
-    li = t["lineitem"].where(F.col("l_linenumber") <= 2)
+    li = t["lineitem"].select("l_orderkey", "l_returnflag").distinct()
     return li.select(F.col("l_returnflag").alias("CPT4HCPCSGRPPLACEOFSVC"), F.col("l_orderkey").alias("ENCTRNUM"))
 
 
@@ -123,7 +123,7 @@ def insurance(t):
         F.col("l_extendedprice").alias("charges"),
         F.when(F.col("l_linestatus") == "F", "yes").otherwise("no").alias("smoker"),
         F.when(F.col("l_returnflag") == "A", "female").otherwise("male").alias("gender"),
-        F.element_at(regions, (F.col("l_suppkey") % 5 + 1).cast("int")).alias("region"))
+        F.element_at(regions, (F.col("l_suppkey") % len(REGIONS) + 1).cast("int")).alias("region"))
 
 
 # ---- W7: job runs and the report lines a scheduler would print -------------------
@@ -170,12 +170,14 @@ def report_lines(t, captured: bool = True) -> DataFrame:
 
 # ---- W8: patient responses -------------------------------------------------------
 def patient_responses(t):
-    """One row per document: or_case_id, pat_id and three answers (text lines 1-3)."""
+    """One row per document: or_case_id, pat_id and three answers: the first,
+    second and last third of the lines, which together are the whole text."""
     d = t["documents"]
     lines = F.split(F.col("text"), "\n", -1)
+    third = F.ceil(F.size(lines) / 3).cast("int")
     return d.select(
         F.col("doc_id").alias("or_case_id"),
         F.col("source").alias("pat_id"),
-        F.try_element_at(lines, F.lit(1)).alias("preop_surgery_outcome"),
-        F.try_element_at(lines, F.lit(2)).alias("m3_imp_outcome"),
-        F.try_element_at(lines, F.lit(3)).alias("y1_imp_outcome"))
+        F.array_join(F.slice(lines, F.lit(1), third), "\n").alias("preop_surgery_outcome"),
+        F.array_join(F.slice(lines, third + 1, third), "\n").alias("m3_imp_outcome"),
+        F.array_join(F.slice(lines, third * 2 + 1, third), "\n").alias("y1_imp_outcome"))

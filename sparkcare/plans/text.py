@@ -58,10 +58,11 @@ _PERIODS = {"preop": "preop_surgery_outcome", "m3": "m3_imp_outcome", "y1": "y1_
 
 
 @register("sentiment_union", "WITH " + _lex_sql() + """,
-pr AS (SELECT doc_id AS or_case_id, source AS pat_id, string_split(text, chr(10)) AS ls FROM documents),
-long AS (SELECT or_case_id, pat_id, 'preop' AS period, ls[1] AS response FROM pr
-         UNION ALL SELECT or_case_id, pat_id, 'm3', ls[2] FROM pr
-         UNION ALL SELECT or_case_id, pat_id, 'y1', ls[3] FROM pr),
+sp AS (SELECT doc_id AS or_case_id, source AS pat_id, string_split(text, chr(10)) AS ls FROM documents),
+pr AS (SELECT *, CAST(ceil(len(ls) / 3.0) AS INTEGER) AS k FROM sp),
+long AS (SELECT or_case_id, pat_id, 'preop' AS period, array_to_string(ls[1:k], chr(10)) AS response FROM pr
+         UNION ALL SELECT or_case_id, pat_id, 'm3', array_to_string(ls[k + 1:2 * k], chr(10)) FROM pr
+         UNION ALL SELECT or_case_id, pat_id, 'y1', array_to_string(ls[2 * k + 1:3 * k], chr(10)) FROM pr),
 keyed AS (SELECT *, or_case_id || '|' || period AS k FROM long),""" + _score_sql("keyed", "k", "response", ", period"))
 def q_sentiment_union(t, spark):
     """Preop, month-3 and year-1 answers scored in one pass and stacked."""

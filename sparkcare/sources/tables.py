@@ -15,6 +15,20 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(clean)
 
 
+class LazyTables(dict):
+    """name -> parquet DataFrame under a folder; a table is opened when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._open = lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in TABLE_NAMES:
+            raise KeyError(name)
+        self[name] = self._open(name)
+        return self[name]
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
     """One lazily read parquet DataFrame per table name under ``sf_dir``."""
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}

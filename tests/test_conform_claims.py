@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
-from sparkcare.operators.claims import CLAIMS_DEMOGRAPHICS_SQL, WIDE_COLUMNS, claims_demographics, medical_wide
-from sparkcare.operators.conform import SPECS, ColumnSpec, conform, data_dictionary
+from sparkcare.operators.claims import WIDE_COLUMNS, claims_demographics, medical_wide
+from sparkcare.operators.conform import SPECS, conform, conform_rejects, data_dictionary
+from sparkcare.sources.files import run_sql
 
 
 def test_conform_casts_renames_and_documents(spark):
@@ -9,7 +10,7 @@ def test_conform_casts_renames_and_documents(spark):
                                 "CLMNUM string, ACCEPTANCESTATUS string, ENCTRNUM string, FRPNUM string")
     out = conform(raw, SPECS["claims"])
     assert out.columns == ["claim_no", "accept_stat_cd", "enc_no", "frp_seq_no"]
-    assert dict(out.dtypes) == {"claim_no": "int", "accept_stat_cd": "string", "enc_no": "int", "frp_seq_no": "int"}
+    assert dict(out.dtypes) == {"claim_no": "bigint", "accept_stat_cd": "string", "enc_no": "bigint", "frp_seq_no": "bigint"}
     rows = [tuple(r) for r in out.collect()]
     assert rows == [(12, "A", 7, 1), (None, "", None, None)]
     assert out.schema["claim_no"].metadata["comment"] == "Claim number"
@@ -18,7 +19,7 @@ def test_conform_casts_renames_and_documents(spark):
 def test_data_dictionary(spark):
     out = conform(spark.createDataFrame([(1, 2)], "PersonNum long, DemographicsExternalIdNum long"), SPECS["person"])
     dd = {r.Name: (r.Type, r.Comments) for r in data_dictionary(spark, out).collect()}
-    assert dd["person_no"][0] == "bigint" and dd["external_person_id"][0] == "int"
+    assert dd["person_no"][0] == "bigint" and dd["external_person_id"][0] == "bigint"
     assert dd["person_no"][1] == "Internal person identifier"
 
 
@@ -66,8 +67,19 @@ def test_claims_demographics_defaults(spark):
     assert a.totalcharges_amt == 0.0 and a.gender_txt == "MISSING"
     b = got[12]
     assert str(b.birthdate_dt) == "1980-02-03" and b.county_txt == "Hennepin" and b.race_no == 3
-    # the SQL text form gives the same rows
-    for n, d in (("e", enc), ("c", cl), ("p", per)):
-        d.createOrReplaceTempView(n)
-    sql_rows = spark.sql(CLAIMS_DEMOGRAPHICS_SQL.format(encounters="e", claims="c", person="p")).collect()
-    assert sorted(map(tuple, sql_rows), key=str) == sorted(map(tuple, got.values()), key=str)
+
+
+def test_large_keys_survive_and_rejects_are_counted(spark):
+    big = 3_000_000_000
+    raw = spark.createDataFrame([(str(big), "A", str(big), "1"), ("x1", "B", "2", "1")],
+                                "CLMNUM string, ACCEPTANCESTATUS string, ENCTRNUM string, FRPNUM string")
+    out = conform(raw, SPECS["claims"]).collect()
+    assert [r.claim_no for r in out] == [big, None] and out[0].enc_no == big
+    bad = conform_rejects(raw, SPECS["claims"]).collect()
+    assert [(r.CLMNUM, r.rejected_columns) for r in bad] == [("x1", ["claim_no"])]
+
+
+def test_sql_source_runs_a_statement(spark):
+    spark.range(3).createOrReplaceTempView("three")
+    assert run_sql(spark, "SELECT sum(id) AS s FROM three").first().s == 3
+    assert spark.range(0).isEmpty() and not spark.range(1).isEmpty()  # A14

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from sparkcare.operators.joins import asof_join, cover_blocks, interval_join, range_argmax_join
+from sparkcare.operators.joins import asof_join, interval_join, range_argmax_join
 from sparkcare.operators.ranking import exact_quantiles, rank_rows, with_sequence
 
 
@@ -28,7 +28,7 @@ def test_range_argmax_equals_brute_force(spark, seed):
     left = spark.createDataFrame(L, "id long, lo long, hi long")
     right = spark.createDataFrame(R, "rid long, k long, name string")
     got = {r.id: (r.m_k, r.m_name) for r in
-           range_argmax_join(left, right, "lo", "hi", "k", ["rid"], 900, tie_cols=["name"], bits=2).collect()}
+           range_argmax_join(left, right, "lo", "hi", "k", ["rid"], tie_cols=["name"]).collect()}
     assert got == _brute_best(L, R)
     pairs = interval_join(left, right, "lo", "hi", "k", 300).count()
     assert pairs == sum(1 for _, lo, hi in L for _, k, _n in R if lo < k <= hi)
@@ -40,7 +40,7 @@ def test_interval_edges_and_asof(spark):
     right = spark.createDataFrame([(1, 100, "x"), (2, 100 + 5 * day, "b"), (3, 100 + 5 * day, "a"),
                                    (4, 100 + 5 * day + 1, "z")], "rid long, e long, job string")
     m = {r.id: (r.m_e, r.m_job) for r in
-         range_argmax_join(left, right, "s", "h", "e", ["rid"], 5 * day, tie_cols=["job"], how="left").collect()}
+         range_argmax_join(left, right, "s", "h", "e", ["rid"], tie_cols=["job"], how="left").collect()}
     # an end exactly at the start is excluded, one at start + 5 days included, ties -> smallest job
     assert m[1] == (100 + 5 * day, "a")
     assert m[2] == (100 + 5 * day + 1, "z")
@@ -51,15 +51,11 @@ def test_interval_edges_and_asof(spark):
     assert got == {1: "p", 2: "q"}
 
 
-def test_cover_blocks_cover_exactly(spark):
-    rows = [(lo, lo + w) for lo, w in [(-17, 40), (0, 0), (5, 1), (1000, 4096), (-1, 1)]]
-    df = spark.createDataFrame(rows, "lo long, hi long")
-    for r in df.select("lo", "hi", cover_blocks(F.col("lo"), F.col("hi"), 6, 2).alias("c")).collect():
-        pts = []
-        for b in r.c:
-            size = 1 << (2 * b.level)
-            pts += range(b.block * size, (b.block + 1) * size)
-        assert sorted(pts) == list(range(r.lo + 1, r.hi + 1))
+def test_ranges_of_any_width(spark):
+    left = spark.createDataFrame([(1, 0, 10**15), (2, -10**15, -1), (3, 5, 5), (4, None, 3), (5, 0, None)], "id long, lo long, hi long")
+    right = spark.createDataFrame([(1, 7, "a"), (2, -10**14, "b"), (3, None, "c")], "rid long, k long, name string")
+    got = {r.id: r.m_k for r in range_argmax_join(left, right, "lo", "hi", "k", ["rid"], how="left").collect()}
+    assert got == {1: 7, 2: -10**14, 3: None, 4: None, 5: None}
 
 
 def test_with_sequence_is_global_order(spark):

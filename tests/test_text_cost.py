@@ -66,14 +66,32 @@ def test_document_vectors_and_classifier(spark):
     assert acc >= 0.6
 
 
-def test_hashed_document_vectors_match_two_step(spark):
-    docs = spark.createDataFrame([(1, "Pain is better, much better"), (2, "no pain"), (3, "x")],
-                                 "doc_id int, text string")
-    vecs = spark.createDataFrame([(i, [float(i), float(i * i % 7)]) for i in range(5)],
-                                 "vec_id int, embedding array<double>")
-    wv = TX.hashed_word_vectors(docs, "text", vecs, "vec_id", "embedding")
-    two = {r.doc_id: list(r.features) for r in TX.document_vectors(docs, "doc_id", "text", wv).collect()}
-    one = {r.doc_id: list(r.features)
-           for r in TX.hashed_document_vectors(docs, "doc_id", "text", vecs, "vec_id", "embedding").collect()}
-    assert two.keys() == one.keys() == {1, 2, 3}
-    assert all(np.allclose(two[k], one[k]) for k in two)
+def test_sentiment_any_ids_and_lexicon_size(spark):
+    words = [(f"w{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}", 0.5) for i in range(10_000)]
+    for extra in ([], words):
+        lex = spark.createDataFrame([("good", 1.9), ("good", 1.5), ("bad", -2.5), *extra], "word string, valence double")
+        df = spark.createDataFrame([(1, "good"), (1, "bad bad"), (None, "good"), (2, None)], "id int, text string")
+        got = sorted((r.text or "", r.compound) for r in TX.with_sentiment(df, "text", lex).collect())
+        assert [t for t, _ in got] == ["", "bad bad", "good", "good"]
+        assert got[0][1] == 0.0 and got[1][1] == round(-5 / np.sqrt(25 + 15), 4)
+        assert got[2][1] == got[3][1] == round(1.9 / np.sqrt(1.9 ** 2 + 15), 4)
+
+
+def test_unscored_rows_are_null_and_counted(spark):
+    rows = [(float(i), 1.0, i % 3, i % 2, 1 + i % 4, 3.0 * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "age double, bmi double, children int, smoker int, region int, label double")
+    pred = C.predict(C.fit_cost_model(df), df.unionByName(df.limit(2).withColumn("region", F.lit(None).cast("int"))))
+    assert pred.where("prediction is null").count() == 2 and pred.where("isnan(prediction)").count() == 0
+    r = C.r2_frame(pred).first()
+    assert (r.n, r.unscored) == (40, 2) and abs(r.r2 - 1) < 1e-9
+
+
+def test_hashed_document_vectors(spark):
+    import hashlib
+    docs = spark.createDataFrame([(1, "Pain is better, much better"), (2, ""), (3, "x"), (None, None)], "doc_id int, text string")
+    table = {10: [0.5, 1.0], 11: [2.0, -1.0], 50: [4.0, 0.25]}  # ids need not be 0..n-1
+    vecs = spark.createDataFrame(list(table.items()), "vec_id int, embedding array<double>")
+    got = {r.doc_id: r.features for r in TX.hashed_document_vectors(docs, "doc_id", "text", vecs, "vec_id", "embedding").collect()}
+    pick = lambda w: list(table.values())[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 3]
+    want = np.mean([pick(w) for w in ("pain", "is", "better", "much", "better")], axis=0)
+    assert np.allclose(got[1], want) and got[2] == got[None] == [0.0, 0.0] and got[3] == pick("x")
