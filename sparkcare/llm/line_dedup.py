@@ -181,8 +181,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = texts.schema["doc_id"].dataType.simpleString()
     doc = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"))
     seen = stored(texts.mapInArrow(suspects, f"doc_id {kind}, key binary"))
-    repeated = (seen.groupBy("key").agg(F.min(doc).alias("least"), F.max(doc).alias("most"))
-                .where(F.col("least") != F.col("most")).select("key", "least"))
+    # written, so that the join below deals both sides anew and a hot line's part can be split
+    repeated = stored(seen.groupBy("key").agg(F.min(doc).alias("least"), F.max(doc).alias("most"))
+                      .where(F.col("least") != F.col("most")).select("key", "least"))
     losses = (seen.join(repeated, "key").where(doc != F.col("least"))
               .groupBy("doc_id").agg(F.collect_set("key").alias("lost")))
 
