@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -92,10 +93,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(class, start, end) of strings that look like identifiers and touch no base span;
     class 0 is written like an address, class 1 is a number of 7 digits or more."""
-    held = sorted((a, b) for a, _, b in taken)
+    starts, ends = [], []  # the spans merged, so that each test is one bisection
+    for a, b in sorted((a, b) for a, _, b in taken):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
 
     def free(a: int, b: int) -> bool:
-        return all(b <= x or a >= y for x, y in held)
+        i = bisect_right(ends, a)
+        return i == len(ends) or starts[i] >= b
 
     for m in AT_SIGN.finditer(text):
         a, b = m.start(), m.end()
