@@ -4,11 +4,18 @@ One pass over the texts finds the base entities (email, ip, card, phone) and, be
 them, candidates: strings with the characters of an identifier that no base pattern
 takes.  Each entity and candidate is an edge between an instance (its text) and a
 lexical pattern (its class and the two words before it).  The base entities are the
-seeds.  Spark then scores this graph in rounds: a pattern's confidence in a kind is the
-share of that kind's trust among its instances (an untrusted candidate and a virtual
-foreign instance weigh a half each), asked for only if MIN_SUPPORT distinct trusted instances support it; an instance's confidence is the
-noisy-or of its accepted patterns.  Candidates that end at ACCEPT or more become spans
-of that kind wherever they occur; base spans stay as they are.
+seeds.  Spark then scores this graph in rounds.
+
+A pattern is asked for a kind if MIN_SUPPORT distinct instances claimed by that kind stand
+in it and the kind's share of trust is ACCEPT / 2 or more, where the undecided part of a
+candidate and a virtual foreign instance weigh a half each.  A pattern so accepted claims
+its undecided candidates, which raise its confidence in turn: the confidence is the fixed
+point of trust of the kind / (trust of all kinds + undecided / 2 + 1/2), the undecided
+candidates trusted as much as the pattern itself.  So many candidates beside the seeds do
+not speak against a pattern by themselves, but those claimed by another kind do.  An
+instance's trust is the noisy-or of its accepted patterns; all of it goes into the next
+round, where it supports further patterns.  After the last round, candidates at ACCEPT or
+more become spans of that kind wherever they occur; base spans stay as they are.
 
 Only hashes and offsets of entities and candidates leave the texts, so the graph and the
 final join move no text.
@@ -105,12 +112,16 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[i
         i = bisect_right(ends, a)
         return i == len(ends) or starts[i] >= b
 
+    last = 0  # the end of the run of the sign before: a run is one candidate, read once
     for m in AT_SIGN.finditer(text):
+        if m.start() < last:
+            continue
         a, b = m.start(), m.end()
-        while a > 0 and text[a - 1] not in SPACES and m.start() - a < 64:
+        while a > last and text[a - 1] not in SPACES:
             a -= 1
-        while b < len(text) and text[b] not in SPACES and b - m.end() < 64:
+        while b < len(text) and text[b] not in SPACES:
             b += 1
+        last = b
         while a < m.start() and text[a] in EDGES:
             a += 1
         while b > m.end() and text[b - 1] in EDGES:
@@ -175,27 +186,36 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUP
     context, instance) identifies.  A pattern with fewer than ``min_support`` instances can
     never be accepted, so only the others stay in the graph."""
     graph = edges.groupBy("class", "context", "instance").agg(F.max("kind").alias("seed"))
-    known, open_ = (F.sum((F.col("seed") >= 0).cast("int")), F.sum((F.col("seed") < 0).cast("int")))
-    wide = (graph.groupBy("class", "context").agg(known.alias("known"), open_.alias("open"))
-            .where((F.col("known") + F.col("open") >= min_support) & (F.col("open") > 0))
-            .select("class", "context", (F.col("known") + F.col("open") / 2 + 0.5).alias("n")))
+    open_ = F.sum((F.col("seed") < 0).cast("int"))
+    wide = (graph.groupBy("class", "context").agg(F.count("*").alias("n"), open_.alias("open"))
+            .where((F.col("n") >= min_support) & (F.col("open") > 0)).drop("open"))
     graph = stored(graph.join(wide, ["class", "context"]))
     seeds = (graph.where("seed >= 0").select("class", "instance", F.col("seed").alias("kind"))
              .distinct().withColumn("trust", F.lit(1.0)))
     trusted, found = seeds, None
     for _ in range(rounds):
-        patterns = (graph.join(trusted, ["class", "instance"])
-                    .groupBy("class", "context", "kind", "n")
-                    .agg(F.sum("trust").alias("mass"), F.sum((F.col("trust") >= accept).cast("int")).alias("support"))
-                    .withColumn("confidence", F.least(F.col("mass") / F.col("n"), F.lit(1.0)))
-                    .where((F.col("support") >= min_support) & (F.col("confidence") >= accept / 2)))
+        claims = trusted.groupBy("class", "instance").agg(*(
+            F.coalesce(F.max(F.when(F.col("kind") == k, F.col("trust"))), F.lit(0.0)).alias(f"t{k}")
+            for k in range(len(KINDS))))
+        total = sum((F.col(f"t{k}") for k in range(len(KINDS))), F.lit(0.0))
+        sums = graph.join(claims, ["class", "instance"]).groupBy("class", "context", "n").agg(
+            F.sum(F.least(total, F.lit(1.0))).alias("claimed"),
+            F.array(*(F.struct(F.lit(k).alias("kind"), F.sum(f"t{k}").alias("own"),
+                               F.sum((F.col(f"t{k}") > 0).cast("int")).alias("support"))
+                      for k in range(len(KINDS)))).alias("kinds"))
+        own, undecided = F.col("own"), F.greatest(F.col("n") - F.col("claimed"), F.lit(0.0))
+        most = F.greatest(F.col("claimed"), own) + 0.5  # trust of all kinds, with the virtual one
+        half = most - undecided / 2
+        patterns = (sums.select("class", "context", "n", "claimed", F.inline("kinds"))
+                    .where((F.col("support") >= min_support) & (own / (most + undecided / 2) >= accept / 2))
+                    .withColumn("confidence", 2 * own / (half + F.sqrt(half * half + 2 * undecided * own))))
         found = (graph.where("seed < 0").join(patterns.select("class", "context", "kind", "confidence"),
                                               ["class", "context"])
                  .groupBy("class", "instance", "kind")
                  .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("trust")))
-        found = stored(found.where(F.col("trust") >= accept))
+        found = stored(found)
         trusted = seeds.unionByName(found)
-    best = found.groupBy("class", "instance").agg(
+    best = found.where(F.col("trust") >= accept).groupBy("class", "instance").agg(
         F.max_by("kind", F.struct("trust", -F.col("kind"))).alias("kind"))
     return best
 

@@ -78,6 +78,38 @@ def test_contexts_discover_unseen_identifiers(spark, odd):
     assert pii.find_personal_data(odd).count() == len(ODD) and pii.find_personal_data(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seeds,unseen", [(5, 1), (5, 5), (10, 10), (50, 11), (100, 100)])
+def test_many_unseen_identifiers_beside_the_seeds(spark, seeds, unseen):
+    rows = [(i, f"call me at +1 (415) 555-{1000 + i} now") for i in range(seeds)]
+    rows += [(1000 + i, f"call me at 555 010 {2000 + i} now") for i in range(unseen)]
+    rows += [(2000 + i, f"see chapter 5550{300000 + i} there") for i in range(20)]
+    # as many addresses as numbers of their kind: no kind has the pattern
+    rows += [(3000 + i, f"the number is +1 (415) 556-{1000 + i} now") for i in range(10)]
+    rows += [(4000 + i, f"the number is 10.0.0.{i} now") for i in range(10)]
+    rows += [(5000 + i, f"the number is 555 011 {2000 + i} now") for i in range(5)]
+    rows += [(6000 + i, f"the total of +1 (415) 557-{1000 + i} now") for i in range(5)]
+    rows += [(7000 + i, f"the total of 777 011 {2000 + i} now") for i in range(60)]
+    got = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.n_found} == {1000 + i for i in range(unseen)}
+    assert all(r.spans == "phone:11:23" for r in got if r.n_found)
+
+
+def test_found_identifiers_support_further_patterns(spark):
+    rows = [(i, f"call me at +1 (415) 555-{1000 + i} now") for i in range(10)]
+    rows += [(100 + i, f"call me at 555 010 {2000 + i} or ring up 555 010 {2000 + i} today") for i in range(6)]
+    rows += [(200, "or ring up 555 010 7777 today")]  # its pattern has no seed
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {k: {r.doc_id: r.n_found for r in pii.find_personal_data(docs, rounds=k).collect()} for k in (1, 2, 3)}
+    assert found[1][200] == 0 and found[2][200] == 1 and found[3][200] == 1
+    assert all(found[1][100 + i] == 2 for i in range(6))
+
+
+def test_address_runs_are_whole():
+    long = "x" * 100 + "(at)" + "y" * 100 + ".org"
+    assert list(pii.candidates(f"to <{long}>, ok", [])) == [(0, 4, 4 + len(long))]
+    assert list(pii.candidates("a[at]b(at)c.org " + "@" * 50_000, []))[0] == (0, 0, 15)
+
+
 def _covered(words, m):
     n, seen, gone = len(words), Counter(tuple(words[i:i + m]) for i in range(len(words) - m + 1)), [False] * len(words)
     for i in range(n - m + 1):
