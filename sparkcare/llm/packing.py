@@ -1,10 +1,12 @@
 """Packing into optimal length buckets.
 
+A length is the number of tokens of the whole text, as ``tokens.count_tokens`` counts it.
 A histogram of all lengths goes to the driver.  Its size is bounded: lengths up to EXACT
-have a cell each, longer ones share cells of 1/CELLS_PER_OCTAVE of their power of two.
-Dynamic programming over the cells chooses the bucket boundaries that minimise the
-padding of all documents (every document padded to its bucket's length).  Inside a
-bucket documents form batches of ``token_budget // bucket length`` documents, one at
+have a cell each, longer ones share cells of 1/CELLS_PER_OCTAVE of their power of two; a
+cell stands for the largest length that occurs in it, so every bucket ends at the length
+of a document.  Dynamic programming over the cells chooses, among the boundaries between
+cells, those that minimise the padding of all documents (every document padded to its
+bucket's length).  Inside a bucket documents form batches of ``token_budget // bucket length`` documents, one at
 least, so that no padded batch is over the budget unless one document is.
 
 A bucket may hold any share of the rows, so it is split into shards by a hash of the
@@ -25,17 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import row_key, stored, two_columns
+from .tokens import VOCABULARY, count_tokens
 
 EXACT = 2048
 CELLS_PER_OCTAVE = 64
 SHARD_ROWS = 20_000
 
 
-def word_count(text: Column) -> Column:
-    """Number of runs of characters other than space and \\t..\\r."""
-    return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")).cast("long"), F.lit(0).cast("long"))
-
-
 def cell_of(length: Column) -> Column:
     """Upper end of the length's histogram cell."""
     octave = F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")))
@@ -86,16 +84,18 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = 16,
-         token_budget: int = 16_384, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per document: doc_id, n_tokens (words), bucket_len (the padded length),
+         token_budget: int = 16_384, shard_rows: int = SHARD_ROWS, vocabulary: str = VOCABULARY) -> DataFrame:
+    """One row per document: doc_id, n_tokens, bucket_len (the padded length),
     shard, batch (its number within bucket and shard), slot (its place in the batch)
     and padding."""
     rows = two_columns(docs, id_col, text_col)
-    rows = stored(rows.select("doc_id", word_count(F.col("text")).alias("n_tokens"),
-                              row_key("doc_id", "text").alias("row_key")))
+    # the key goes through the count as its id, next to the id proper
+    keyed = rows.select(F.struct("doc_id", row_key("doc_id", "text").alias("row_key")).alias("doc_id"), "text")
+    rows = stored(count_tokens(keyed, vocabulary).select("doc_id.doc_id", "n_tokens", "doc_id.row_key"))
     rows = rows.withColumn("cell", cell_of(F.col("n_tokens")))
-    histogram = rows.groupBy("cell").agg(F.count("*").alias("n")).orderBy("cell").collect()
-    cells = np.array([r["cell"] for r in histogram], np.int64)
+    histogram = (rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest"))
+                 .orderBy("cell").collect())
+    cells = np.array([r["longest"] for r in histogram], np.int64)
     counts = np.array([r["n"] for r in histogram], np.int64)
     ends = boundaries(cells, counts, buckets)
     held = [int(counts[(cells <= e) & (cells > b)].sum()) for b, e in zip([-1, *ends[:-1]], ends)]
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
         "bucket_len long, shards int, per_batch int")  # one row per bucket
     bucket = F.lit(None).cast("long")
     for e in reversed(ends):
-        bucket = F.when(F.col("cell") <= e, F.lit(e).cast("long")).otherwise(bucket)
+        bucket = F.when(F.col("n_tokens") <= e, F.lit(e).cast("long")).otherwise(bucket)
     placed = (rows.withColumn("bucket_len", bucket).join(F.broadcast(table), "bucket_len")
               .withColumn("shard", F.pmod(F.xxhash64("row_key", "n_tokens"), F.col("shards")).cast("int")))
     place = F.row_number().over(Window.partitionBy("bucket_len", "shard").orderBy("doc_id", "row_key")) - 1

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, langid, line_dedup, minhash, packing, pii, repetition, substring, tokens, warc
 
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY = tokens.VOCABULARY
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -182,3 +182,17 @@ def test_packing(spark, odd):
     for (length, _, _), size in Counter((r.bucket_len, r.shard, r.batch) for r in rows).items():
         assert size == 1 or size * length <= 100
     assert packing.pack(odd).count() == len(ODD) and packing.pack(odd.limit(0)).count() == 0
+
+
+def test_packing_counts_tokens_and_ends_at_real_lengths(spark):
+    rnd = random.Random(2)
+    texts = ["漢字" * 300, "日本語のテキスト" * 40, "x1Y" * 500, "don't unbelievableness", None, ""]
+    texts += ["w " * n for n in (3001, 3002, 3003, 5001, 5555)] + ["漢" * rnd.randrange(1, 400) for _ in range(60)]
+    tok = tokens.load(queries.VOCABULARY)
+    want = [len(tok.encode(t or "", add_special_tokens=False)) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(docs, buckets=6, token_budget=500, shard_rows=20).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == dict(enumerate(want))
+    assert {r.bucket_len for r in rows} <= set(want) and all(r.padding == r.bucket_len - r.n_tokens >= 0 for r in rows)
+    sizes = Counter((r.bucket_len, r.shard, r.batch) for r in rows)
+    assert all(size == 1 or size * length <= 500 for (length, _, _), size in sizes.items())
