@@ -51,7 +51,8 @@ def top_values(df: DataFrame, col: str, k: int = 5) -> DataFrame:
 
 
 def group_lists(df: DataFrame, key: str, cols: list[str], chunk_size: int = 10_000) -> DataFrame:
-    """A4: per key, the count and the sorted values of each column as lists.
+    """A4, text form (as the twin compares it): per key, the count and the sorted non-null
+    values of each column, joined by '|'.  ``group_arrays`` has the values themselves.
 
     A group can be arbitrarily large, so its list is cut into chunks of at most
     ``chunk_size`` values (rows: key, column_name, chunk_no, n_values, values).
@@ -68,6 +69,43 @@ def group_lists(df: DataFrame, key: str, cols: list[str], chunk_size: int = 10_0
                  F.array_join(F.sort_array(F.collect_list("v")), "|").alias("values")))
 
 
+def _in_chunks(df: DataFrame, key: str, item: Column, order: str, chunk_size: int) -> DataFrame:
+    """k, chunk_no, items: per key the items in the order of a column, nulls first and kept,
+    in arrays of at most ``chunk_size``."""
+    rows = df.select(F.col(key).alias("k"), F.col(order).alias("o"), item.alias("item"))
+    ranked = rank_rows(rows, ["o"], ["k"], rank_col="pos", start=0)
+    chunk = F.floor(F.col("pos") / chunk_size).cast("bigint").alias("chunk_no")
+    # the item inside a struct, because collect_list drops a bare null
+    return ranked.groupBy("k", chunk).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]).alias("items"))
+
+
+def group_arrays(df: DataFrame, key: str, cols: list[str], chunk_size: int = 10_000) -> DataFrame:
+    """A4: per key, its row count and each column's values as an array of the column's own
+    type, sorted, nulls first: key, chunk_no, group_count, then ``cols``.
+
+    Arrays are cut at ``chunk_size`` like the lists of ``group_lists``; every column of a
+    key has the same number of values, so its chunks line up.  A null key is a group."""
+    sizes = df.groupBy(F.col(key).alias("k")).agg(_count().alias("group_count"))
+    out = None
+    for i, c in enumerate(cols):
+        part = _in_chunks(df, key, F.col(c), c, chunk_size).withColumnsRenamed(
+            {"k": f"k{i}", "chunk_no": f"c{i}", "items": f"v{i}"})
+        out = part if out is None else out.join(
+            part, F.col("k0").eqNullSafe(F.col(f"k{i}")) & (F.col("c0") == F.col(f"c{i}")))
+    return out.join(sizes, F.col("k0").eqNullSafe(F.col("k"))).select(
+        F.col("k0").alias(key), F.col("c0").alias("chunk_no"), "group_count",
+        *(F.col(f"v{i}").alias(c) for i, c in enumerate(cols)))
+
+
+def group_value_counts(df: DataFrame, key: str, col: str, chunk_size: int = 10_000) -> DataFrame:
+    """A4: per key, the distinct values of a column with their counts as an array of
+    ``struct(value, count)`` in value order, a null among them: key, chunk_no, value_counts."""
+    counts = df.groupBy(F.col(key).alias("k"), F.col(col).alias("value")).agg(_count().alias("count"))
+    return _in_chunks(counts, "k", F.struct("value", "count"), "value", chunk_size).select(
+        F.col("k").alias(key), "chunk_no", F.col("items").alias("value_counts"))
+
+
 def group_sizes(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(_count().alias("count"))
 

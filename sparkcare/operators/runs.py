@@ -123,26 +123,57 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
                     F.lit("").alias("run_data"))
 
 
+REGISTRY_TIMES = {"batch_system_id": "bigint", "insert_ts": "timestamp", "mod_ts": "timestamp",
+                  "delete_ts": "timestamp"}
+
+
 def register_new(registry: DataFrame, programs: DataFrame, path_col: str = "program",
-                 id_col: str = "batch_run_id", name_col: str = "batch_name") -> DataFrame:
+                 id_col: str = "batch_run_id", name_col: str = "batch_name", now=None) -> DataFrame:
     """Add every program (by file name) not yet in the batch registry.
 
     Returns the whole registry: existing rows (``is_new`` false) and the new
-    names with ids continuing after the largest existing id, in name order."""
+    names with ids continuing after the largest existing id, in name order.  With ``now``
+    (a timestamp) also the columns of REGISTRY_TIMES: existing rows keep theirs (null if
+    the registry has none), new rows get ``now`` as insert and mod time, the rest null."""
     names = programs.select(basename(F.col(path_col)).alias(name_col)).distinct()
     new = names.join(registry.select(name_col), name_col, "left_anti")
     top = registry.agg(F.max(id_col)).first()[0] or 0   # one number
     new_rows = with_sequence(new, [F.col(name_col)], id_col, start=int(top) + 1)
-    return (registry.select(id_col, name_col, F.lit(False).alias("is_new"))
-            .unionByName(new_rows.select(id_col, name_col, F.lit(True).alias("is_new"))))
+    old, fresh = [], []
+    if now is not None:
+        for c, kind in REGISTRY_TIMES.items():
+            if c in registry.columns:
+                kind = registry.schema[c].dataType
+            old.append((F.col(c) if c in registry.columns else F.lit(None)).cast(kind).alias(c))
+            fresh.append(F.lit(now if c in ("insert_ts", "mod_ts") else None).cast(kind).alias(c))
+    return (registry.select(id_col, name_col, F.lit(False).alias("is_new"), *old)
+            .unionByName(new_rows.select(id_col, name_col, F.lit(True).alias("is_new"), *fresh)))
 
 
 def run_summary(step_events: DataFrame, run_col: str = "run_id", step_col: str = "step",
-                ts_col: str = "ts", status_col: str = "status") -> DataFrame:
-    """T5: start/stop records of batch runs and steps -> one row per (run, step):
-    first and last event time, duration (microseconds), event count and the status
-    of the latest event.  One hash aggregate (partial aggregation map-side)."""
+                ts_col: str = "ts", status_col: str = "status", event_col: str | None = None,
+                stop_status: str = "FS") -> DataFrame:
+    """T5: records of batch runs and steps -> one row per (run, step): first and last time,
+    duration (microseconds), event count and the status of the latest event.  One hash
+    aggregate (partial aggregation map-side).
+
+    With ``event_col`` (``start`` or ``stop``) the finish is the latest stop, and null as
+    long as none follows the latest start; so is the duration.  A stop at the same instant
+    as the start follows it; a stop without a status has ``stop_status``.  A run's own
+    records have a null step.  Without ``event_col`` the records have no kind, and the last
+    one counts as the finish.  Equal times are decided by kind, then by status."""
+    ts, status = F.col(ts_col), F.col(status_col)
+    if event_col is None:
+        started, finished = F.min(ts), F.max(ts)
+        latest = F.max_by(status, F.struct(ts, status))
+    else:
+        is_start, is_stop = F.col(event_col) == "start", F.col(event_col) == "stop"
+        status = F.when(is_stop, F.coalesce(status, F.lit(stop_status))).otherwise(status)
+        last_start, last_stop = F.max(F.when(is_start, ts)), F.max(F.when(is_stop, ts))
+        started = F.min(F.when(is_start, ts))
+        finished = F.when(last_start.isNull() | (last_stop >= last_start), last_stop)
+        latest = F.max_by(status, F.struct(ts, F.coalesce(is_stop, F.lit(False)), status))
     g = step_events.groupBy(run_col, step_col).agg(
-        F.min(ts_col).alias("started_ts"), F.max(ts_col).alias("finished_ts"),
-        F.count(F.lit(1)).alias("n_events"), F.max_by(status_col, ts_col).alias("last_status"))
+        started.alias("started_ts"), finished.alias("finished_ts"),
+        F.count(F.lit(1)).alias("n_events"), latest.alias("last_status"))
     return g.withColumn("duration_us", F.timestamp_diff("MICROSECOND", F.col("started_ts"), F.col("finished_ts")))

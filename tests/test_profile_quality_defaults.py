@@ -30,6 +30,22 @@ def test_group_lists_chunks_keep_every_value(spark):
     assert allv == list(range(25))
 
 
+def test_group_arrays_keep_types_nulls_and_bars(spark):
+    rows = [("k", i, f"v|{i % 3}" if i % 2 else None) for i in range(25)] + [("j", None, "a|b"), (None, 1, None)]
+    df = spark.createDataFrame(rows, "key string, n int, t string")
+    out = sorted(P.group_arrays(df, "key", ["n", "t"], chunk_size=10).collect(), key=lambda r: (str(r.key), r.chunk_no))
+    k = [r for r in out if r.key == "k"]
+    assert [(len(r.n), len(r.t), r.group_count) for r in k] == [(10, 10, 25), (10, 10, 25), (5, 5, 25)]
+    assert sum((r.n for r in k), []) == list(range(25))
+    assert sum((r.t for r in k), []) == [None] * 13 + sorted(t for _, _, t in rows[:25] if t)
+    assert [tuple(r) for r in out if r.key == "j"] == [("j", 0, 1, [None], ["a|b"])]
+    assert [tuple(r) for r in out if r.key is None] == [(None, 0, 1, [1], [None])]
+    counts = P.group_value_counts(df, "key", "t", chunk_size=3).collect()
+    got = {(r.key, r.chunk_no): [tuple(x) for x in r.value_counts] for r in counts}
+    assert got == {("k", 0): [(None, 13), ("v|0", 4), ("v|1", 4)], ("k", 1): [("v|2", 4)],
+                   ("j", 0): [("a|b", 1)], (None, 0): [(None, 1)]}
+
+
 def test_profiles(spark):
     rnd = np.random.default_rng(0)
     x, y = rnd.normal(size=200), rnd.normal(size=200)

@@ -67,3 +67,30 @@ def test_register_new_and_run_summary(spark):
                                "run_id long, step string, ts timestamp_ntz, status string")
     s = RUN.run_summary(ev).first()
     assert s.n_events == 2 and s.last_status == "FL" and s.duration_us == 90_000_000
+
+
+def test_run_summary_of_start_and_stop_events(spark):
+    at = [dt.datetime(2024, 1, 1, 0, 0, x) for x in range(10)]
+    rows = [(1, "load", "start", at[0], "RN"), (1, "load", "stop", at[3], None),
+            (1, "open", "start", at[1], "RN"),
+            (1, "again", "start", at[0], "RN"), (1, "again", "stop", at[2], "FL"), (1, "again", "start", at[4], "RN"),
+            (1, "tie", "stop", at[5], "FS"), (1, "tie", "start", at[5], "RN"),
+            (1, "stray", "stop", at[6], "FL"), (1, None, "start", at[0], "RN")]
+    df = spark.createDataFrame(rows, "run_id long, step string, event string, ts timestamp_ntz, status string")
+    got = {r.step: (r.started_ts, r.finished_ts, r.duration_us, r.last_status)
+           for r in RUN.run_summary(df, event_col="event").collect()}
+    assert got == {"load": (at[0], at[3], 3_000_000, "FS"), "open": (at[1], None, None, "RN"),
+                   "again": (at[0], None, None, "RN"), "tie": (at[5], at[5], 0, "FS"),
+                   "stray": (None, at[6], None, "FL"), None: (at[0], None, None, "RN")}
+    for order in (rows, rows[::-1]):  # records without a kind: equal times are decided by status
+        same = spark.createDataFrame([(1, "s", at[0], r[4]) for r in order if r[4]],
+                                     "run_id long, step string, ts timestamp_ntz, status string")
+        assert RUN.run_summary(same).first().last_status == "RN"
+
+
+def test_register_new_with_times(spark):
+    now, then = dt.datetime(2024, 5, 1), dt.datetime(2023, 1, 1)
+    reg = spark.createDataFrame([(1, "a.py", 7, then)], "batch_run_id long, batch_name string, batch_system_id int, insert_ts timestamp_ntz")
+    out = {r.batch_name: tuple(r)[3:] for r in RUN.register_new(
+        reg, spark.createDataFrame([("/x/a.py",), ("/x/b.py",)], "program string"), now=now).collect()}
+    assert out == {"a.py": (7, then, None, None), "b.py": (None, now, now, None)}
