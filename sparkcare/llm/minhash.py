@@ -211,8 +211,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, shingles), sorted, of the nodes in ``wanted``, from the one row that stands
-    for each.  Rows are chosen by a filter of bounded size, so no text is shuffled; a set
-    that passes without being wanted is never joined."""
+    for each.  Rows are chosen by a filter of bounded size, so no text is shuffled, and of the
+    sets that pass only those of wanted rows stay, one for each node: other copies of a
+    wanted node pass the filter too, and a join by node would multiply them."""
     chosen = key_filter(wanted.select("row_key"), wanted.count(), bits_per_key=16)
     chosen = rows.sparkSession.sparkContext.broadcast(chosen)
 
@@ -221,10 +222,13 @@ def full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in slices(batches):
             keep = known.test(batch.column("row_key").to_numpy().view(np.uint64))
             sets = [shingle_set(t, words) for t in as_bytes(batch.filter(pa.array(keep)).column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.binary()), int64_lists(sets)],
-                                             ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row_key").filter(pa.array(keep)), pa.array([node_of(s) for s in sets], pa.binary()),
+                 int64_lists(sets)], ["row_key", "node", "shingles"])
 
-    return rows.mapInArrow(run, "node binary, shingles array<long>")
+    passed = rows.mapInArrow(run, "row_key long, node binary, shingles array<long>")
+    return (passed.join(wanted.select("row_key"), "row_key", "left_semi")
+            .dropDuplicates(["row_key", "node"]).select("node", "shingles"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

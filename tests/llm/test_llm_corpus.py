@@ -165,6 +165,22 @@ def test_archives_round_trip(spark, compression, split):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_one_full_set_for_each_node(spark):
+    texts = ["a b c d e f g"] * 300 + ["a b c d e f h"] * 300 + ["q r s t u v w"]
+    docs = spark.createDataFrame([(i % 200, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = docs.select(minhash.row_key("doc_id", "text").alias("row_key"), "doc_id", "text")
+    nodes = minhash.signatures(rows, 2, minhash.COORDINATES).groupBy("node").agg(F.min("row_key").alias("row_key"))
+    spread = rows.groupBy("text").agg(F.min("row_key").alias("row_key"))
+    keys = [r.row_key for r in rows.select("row_key").distinct().collect()]
+    before = minhash.key_filter
+    minhash.key_filter = lambda *a, **k: before(spark.createDataFrame([(k,) for k in keys], "row_key long"), len(keys))
+    try:  # every copy passes the filter
+        got = minhash.full_sets(rows, nodes.join(spread, "row_key", "left_semi"), 2).collect()
+    finally:
+        minhash.key_filter = before
+    assert len(got) == 3 == len({bytes(r.node) for r in got}) and all(len(r.shingles) == 6 for r in got)
+
+
 def test_pipeline_stages(spark):
     docs = queries.table(spark, SF, "documents")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontaminate", "pack"]
