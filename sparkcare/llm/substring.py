@@ -1,19 +1,21 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by hashes of content-cut blocks and of windows.
 
-Every document is parsed against blocks of all documents.  Blocks are cut by content: of
+No greedy relative Lempel-Ziv parse takes place: words go because a block or a window
+occurs twice.  Every document is cut into blocks by content: of
 the word 8-grams in each window of ``window`` words the one with the smallest hash is
 its anchor, and the words of all consecutive windows with the same anchor are one block.
 Equal windows have equal anchors, so the anchor is the index under which a copy of any
 window must stand.
 
 * Blocks whose anchor occurs once in the corpus match nothing.
-* A block that occurs again as a whole is matched as a whole, and the parse extends a
-  factor greedily over neighbouring blocks with the same reference document and offset.
-* Where a copy ends inside a block (the boundary of a factor), the blocks under the same
-  anchor differ; there one representative of each is looked at window by window.
-
-Words covered by a factor of at least ``window`` words or by a matching window at its
-boundary are removed.  Identity is that of two independent 64-bit hashes (anchor and
+* A block that occurs again as a whole is matched as a whole.
+* Where a copy ends inside a block, the blocks under the same anchor differ; there one
+  representative of each is looked at window by window.
+
+Words covered by a matched block or window are removed.  ``n_factors`` counts the spans
+afterwards, overlapping or touching neighbours with the same reference and offset as one;
+the reference (smallest row key and smallest start of the equal blocks) need not be one
+occurrence.  Identity is that of two independent 64-bit hashes (anchor and
 block, or anchor and window).
 
 Shuffled are one short row per block with a repeated anchor, the texts of documents with
