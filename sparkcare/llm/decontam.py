@@ -122,6 +122,16 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
     """doc_id, item_id, n_shared, n_shingles (of the item), containment: each item of
     which at least ``threshold`` of the shingles stand in the document."""
+    exact = leaking_rows(docs, items, id_col, text_col, item_id_col, item_text_col, words, threshold, miss)
+    best = F.max(F.struct((F.col("n_shared") / F.col("n_shingles")).alias("containment"), "n_shared", "n_shingles"))
+    return exact.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+        "doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
+
+
+def leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_id_col: str = "item_id", item_text_col: str = "text", words: int = WORDS,
+                 threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
+    """row_key, doc_id, item_id, n_shared, n_shingles: the leaks of ``find_leaks`` by row."""
     count = coordinates(threshold, miss)
     table = stored(item_table(items, item_id_col, item_text_col, words, count))
     spread = table.agg(F.collect_set("size").alias("sizes"), F.sum(F.size("shingles")).alias("n"),
@@ -150,17 +160,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     pairs = (hit.select("row_key", F.explode("tokens").alias("token"))
              .join(table.select("item_key", F.explode("tokens").alias("token")), "token")
              .select("row_key", "item_key").distinct())
-    exact = (pairs.join(hit.select("row_key", "doc_id", "inside"), "row_key")
-             .join(table.select("item_key", "item_id", "shingles"), "item_key")
-             .select("doc_id", "item_id", F.size(F.array_intersect("inside", "shingles")).cast("long").alias("n_shared"),
-                     F.size("shingles").cast("long").alias("n_shingles"))
-             .where(F.col("n_shared") * 1000 >= F.col("n_shingles") * round(threshold * 1000)))
-    best = F.max(F.struct((F.col("n_shared") / F.col("n_shingles")).alias("containment"), "n_shared", "n_shingles"))
-    return exact.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
-        "doc_id", "item_id", "best.n_shared", "best.n_shingles", "best.containment")
-
-
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents that hold an item, all columns as they are."""
-    leaks = find_leaks(docs, items, id_col, **how).select(F.col("doc_id").alias("__leaking")).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["__leaking"]), "left_anti")
+    return (pairs.join(hit.select("row_key", "doc_id", "inside"), "row_key")
+            .join(table.select("item_key", "item_id", "shingles"), "item_key")
+            .select("row_key", "doc_id", "item_id",
+                    F.size(F.array_intersect("inside", "shingles")).cast("long").alias("n_shared"),
+                    F.size("shingles").cast("long").alias("n_shingles"))
+            .where(F.col("n_shared") * 1000 >= F.col("n_shingles") * round(threshold * 1000)))
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` without the rows that hold an item, all columns as they are; another row
+    with the same or a null id stays."""
+    leaks = leaking_rows(docs, items, id_col, text_col, **how).select(F.col("row_key").alias("__leaking")).distinct()
+    keyed = docs.withColumn("__row", row_key(id_col, text_col))
+    return keyed.join(leaks, keyed["__row"] == leaks["__leaking"], "left_anti").drop("__row")

@@ -181,6 +181,22 @@ def test_one_full_set_for_each_node(spark):
     assert len(got) == 3 == len({bytes(r.node) for r in got}) and all(len(r.shingles) == 6 for r in got)
 
 
+def test_only_leaking_rows_go(spark):
+    item = "one two three four five six seven eight nine ten"
+    texts = [(None, "x " + item + " y"), (None, "clean without id"), (5, item.upper()), (5, "clean with the same id"),
+             (6, "one two three four five six only"), (None, None), (7, ""), (7, item), (7, item)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(texts)], "doc_id long, text string, n int")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[j:j + decontam.WORDS]) for j in range(len(w) - decontam.WORDS + 1)}
+    want = {n for n, (_, t) in enumerate(texts)
+            if len(shingles(t) & shingles(item)) < decontam.THRESHOLD * len(shingles(item))}
+    got = decontam.drop_leaks(docs, items)
+    assert got.columns == docs.columns and sorted(r.n for r in got.collect()) == sorted(want) == [1, 3, 4, 5, 6]
+
+
 def test_pipeline_stages(spark):
     docs = queries.table(spark, SF, "documents")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontaminate", "pack"]
