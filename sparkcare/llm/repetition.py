@@ -6,7 +6,8 @@ longest common prefix with either neighbour is at least ``min_repeat`` words sta
 occurrence of a maximal repeated substring; the union of these spans is the repeated
 part.  The method rejects a text whose repeated part covers more than ``max_covered``
 percent of its words, or whose longest repeat is both longer than ``longest_words`` and
-more than ``longest_percent`` percent of its words.  The base rule rejects texts of
+more than ``longest_percent`` percent of its words, or longer than ``longest_ever`` words
+whatever its share.  The base rule rejects texts of
 fewer than ``min_words`` words and those with more than 30 percent of their words in
 repeated 8-word windows (the union of the repeats of 8 words or more).
 
@@ -41,6 +42,7 @@ class Limits:
     max_covered: int = 25
     longest_words: int = 50
     longest_percent: int = 10
+    longest_ever: int = 500
 
 
 def ranks(keys: np.ndarray) -> list[np.ndarray]:
@@ -119,7 +121,8 @@ def measure(text: bytes, limits: Limits) -> tuple:
     longest = int(lengths.max(initial=0))
     base_failed = n < limits.min_words or 100 * in_windows > limits.base_repeat_percent * n
     fails = 100 * in_repeats > limits.max_covered * n or (
-        longest > limits.longest_words and 100 * longest > limits.longest_percent * n)
+        longest > limits.longest_words and 100 * longest > limits.longest_percent * n) or (
+        longest > limits.longest_ever)
     return (n, chars, symbols, len(lines) - len(set(lines)), in_windows, in_repeats, longest,
             base_failed, not (base_failed or fails))
 

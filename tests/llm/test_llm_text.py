@@ -150,6 +150,15 @@ def test_quality_table(spark, odd):
     assert repetition.keep_good(odd).columns == odd.columns and repetition.keep_good(odd.limit(0)).count() == 0
 
 
+def test_long_repeats_in_long_texts_are_rejected():
+    def text(n, passage):  # the passage stands twice among n words that are all different
+        words = [b"w%d" % i for i in range(n - passage)]
+        return b" ".join(words[:n // 2] + words[:passage] + words[n // 2:])
+    assert not repetition.measure(text(20_000, 1_900), repetition.Limits())[-1]
+    assert not repetition.measure(text(20_000, 501), repetition.Limits())[-1]
+    assert repetition.measure(text(20_000, 500), repetition.Limits())[-1]
+
+
 def test_language_of_held_out_documents(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = queries.op10_language_id(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").collect()
