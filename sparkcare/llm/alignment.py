@@ -6,7 +6,7 @@ groups, and every A token of a group is linked with every B token of it.
 Encoding: a single space between two characters that are no white space is a boundary for both
 tokenizers (checked for the pieces of B when they are loaded; a vocabulary that fails is
 asked for whole texts), so a text is a sequence of segments, equal segments align alike, and each
-is encoded once per worker while a memo of MEMO segments holds it.
+is encoded once per worker while a memo of MEMO segments (and MEMO_PAIRS pairs) holds it.
 
 Counting: a task turns its documents into pair-document records and, whenever it holds SPILL of
 them, partitions them by the radix of their A id, sorts each part by (A, B, document) and
@@ -30,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -45,8 +46,9 @@ from .common import as_bytes, slices, stored, two_columns
 from .tokens import vocabulary_path
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-MEMO = 200_000
-MEMO_CHARS = 64
+MEMO, MEMO_PAIRS = 300_000, 4_000_000
+JOINED = 1 << 15
+TROUBLE = re.compile(r"\A\s|\s\Z| \s|\s ")  # a blank next to white space or at an end
 SPILL = 1 << 20
 RADIX = 64
 FAN = 64
@@ -91,6 +93,14 @@ class Pair:
         first = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         return list(zip(first, self.b.encode(texts, num_threads=1)))
 
+    def ends_at(self, a: list[int], b: list[int], sizes: list[int], text: str) -> bool:
+        """Whether both give back the bytes of ``text``, with tokens that end after each size."""
+        want = text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
+            return False
+        ends = np.cumsum(sizes)
+        return bool(np.isin(ends, np.cumsum(self.a_length[a])).all() and np.isin(ends, np.cumsum(self.b_length[b])).all())
+
 
 @lru_cache(maxsize=2)
 def load(a_name: str, b_name: str) -> Pair:
@@ -102,7 +112,7 @@ def segments(text: str) -> list[str]:
     if "▁" in text:  # the character that B writes for a space
         return [text]
     parts = text.split(" ")
-    if not any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+    if not TROUBLE.search(text):
         return parts
     out = [parts[0]]
     for p in parts[1:]:
@@ -113,99 +123,120 @@ def segments(text: str) -> list[str]:
     return out
 
 
-class Segment:
-    """What one segment adds to its document."""
-    __slots__ = ("n_a", "n_b", "n_groups", "n_links", "groups", "keys", "links")
+class Aligner:
+    """What each segment adds to its document, in columns, for a bounded number of segments.
+
+    ``counts`` has n_a, n_b, n_groups and n_links, ``groups`` the text of the groups, and a
+    segment's distinct pairs with their links are ``keys`` and ``links`` from ``begin`` on."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.groups: list[str | None] = []  # None: the tokens don't give back the bytes
+        self.counts = np.zeros((0, 4), np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.keys, self.links = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def numbers(self, texts: list[str]) -> list[list[int]]:
+        """The segments of each text, by number."""
+        cut = [(segments(t) if self.pair.cut else [t]) if t else [] for t in texts]
+        if len(self.known) > MEMO or len(self.keys) > MEMO_PAIRS:
+            self.forget()
+        self.learn(list(set().union(*cut).difference(self.known)))
+        self.begin = np.cumsum(self.length) - self.length
+        return [list(map(self.known.__getitem__, c)) for c in cut]
+
+    def learn(self, new: list[str]) -> None:
+        """Encode segments: those without white space at an end as one text, for they follow one
+        another like words of a text; the others, and where that fails, one by one."""
+        whole = [t for t in new if self.pair.cut and t and not (t[0].isspace() or t[-1].isspace() or "▁" in t)]
+        alone = list(set(new).difference(whole))
+        held, a, b = [], [], []
+        lo = size = 0
+        for hi, t in enumerate(whole, start=1):
+            size += len(t)
+            if size < JOINED and hi < len(whole):
+                continue
+            some = whole[lo:hi]
+            (x, y), = self.pair.encode([" ".join(some)])
+            if self.pair.ends_at(x, y, [len(t.encode()) + 1 for t in some], " " + " ".join(some)):
+                held += some
+                a += x
+                b += y
+            else:
+                alone += some
+            lo, size = hi, 0
+        for at in range(0, len(alone), 1024):
+            some = alone[at:at + 1024]
+            for t, (x, y) in zip(some, self.pair.encode(some)):
+                if self.pair.ends_at(x, y, [len(t.encode()) + 1], " " + t):
+                    held.append(t)
+                    a += x
+                    b += y
+                else:
+                    self.known[t] = len(self.groups)
+                    self.groups.append(None)
+                    self.counts = np.concatenate([self.counts, np.zeros((1, 4), np.int64)])
+                    self.length = np.append(self.length, 0)
+        if held:
+            self.align(held, np.array(a, np.int64), np.array(b, np.int64))
 
-    def __init__(self, pair: Pair, text: str, a: list[int], b: list[int]):
-        want = b" " + text.encode()
-        self.groups = None  # the tokens don't give back the bytes
-        if b"".join(map(pair.a_bytes.__getitem__, a)) != want or b"".join(map(pair.b_bytes.__getitem__, b)) != want:
-            return
-        self.n_a, self.n_b = len(a), len(b)
-        a_ends, b_ends = np.cumsum(pair.a_length[a]), np.cumsum(pair.b_length[b])
+    def align(self, held: list[str], a: np.ndarray, b: np.ndarray) -> None:
+        """Groups and links of segments that stand end to end."""
+        ends = np.cumsum([len(t.encode()) + 1 for t in held])
+        a_ends, b_ends = np.cumsum(self.pair.a_length[a]), np.cumsum(self.pair.b_length[b])
         both, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        self.n_groups, links = len(both), {}
+        of_group = np.searchsorted(ends, both)
+        n_a, n_b = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
+        n = n_a * n_b
+        group = np.repeat(np.arange(len(both)), n)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+        mine = a[(i - n_a + 1)[group] + place // n_b[group]]
+        theirs = b[(j - n_b + 1)[group] + place % n_b[group]]
+        pairs, links = _summed((of_group[group].astype(np.uint64) << SHIFT) | (mine.astype(np.uint64) << np.uint64(16))
+                               | theirs.astype(np.uint64), np.ones(len(group), np.int64))
+        m = len(held)
+        count = lambda weights: np.bincount(of_group, weights, m).astype(np.int64)
+        self.counts = np.concatenate([self.counts, np.stack([count(n_a), count(n_b), count(None), count(n)], axis=1)])
+        self.length = np.concatenate([self.length, np.bincount((pairs >> SHIFT).astype(np.int64), minlength=m)])
+        self.keys = np.concatenate([self.keys, (pairs & LOW).astype(np.uint32)])
+        self.links = np.concatenate([self.links, links])
+
+        a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         texts, lo, at = [], 0, 0
         for hi, to in zip((i + 1).tolist(), (j + 1).tolist()):
-            mine, theirs = a[lo:hi], b[at:to]
-            texts.append(",".join(map(str, mine)) + "|" + ",".join(map(str, theirs)))
-            if len(mine) == 1 and len(theirs) == 1:
-                key = (mine[0] << 16) | theirs[0]
-                links[key] = links.get(key, 0) + 1
-            else:
-                for x, nx in _counted(mine):
-                    for y, ny in _counted(theirs):
-                        key = (x << 16) | y
-                        links[key] = links.get(key, 0) + nx * ny
+            texts.append(a[lo] + "|" + b[at] if hi - lo == 1 == to - at else ",".join(a[lo:hi]) + "|" + ",".join(b[at:to]))
             lo, at = hi, to
-        self.groups = ";".join(texts)
-        self.keys = np.fromiter(links.keys(), np.uint32, len(links))
-        self.links = np.fromiter(links.values(), np.int64, len(links))
-        self.n_links = int(self.links.sum())
-
-
-def _counted(ids: list[int]) -> list[tuple[int, int]]:
-    found: dict[int, int] = {}
-    for i in ids:
-        found[i] = found.get(i, 0) + 1
-    return list(found.items())
-
-
-class Aligner:
-    """Segments to what they add, with a memo of bounded size."""
-
-    def __init__(self, pair: Pair):
-        self.pair, self.known = pair, {}
-
-    def parts(self, texts: list[str]) -> list[list[Segment]]:
-        cut = [(segments(t) if self.pair.cut else [t]) if t else [] for t in texts]
-        if len(self.known) > MEMO:
-            self.known.clear()
-        new = list(set().union(*cut).difference(self.known))
-        fresh: dict[str, Segment] = {}
-        for at in range(0, len(new), 1024):
-            some = new[at:at + 1024]
-            fresh.update((t, Segment(self.pair, t, a, b)) for t, (a, b) in zip(some, self.pair.encode(some)))
-        for t in [t for t in fresh if len(t) <= MEMO_CHARS]:
-            self.known[t] = fresh.pop(t)
-        return [[self.known.get(t) or fresh[t] for t in c] for c in cut]
-
-
-def document(parts: list[Segment]) -> tuple[int, int, int, int, str]:
-    """n_a, n_b, n_groups, n_links, groups_sha256."""
-    if not parts or any(p.groups is None for p in parts):
-        return 0, 0, 0, 0, ""
-    text = ";".join(p.groups for p in parts)
-    return (sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts),
-            sum(p.n_links for p in parts), hashlib.sha256(text.encode()).hexdigest())
-
-
-def records(docs: list[list[Segment]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, pair, links) of all documents, each pair of a document once."""
-    place: dict[int, int] = {}
-    held: list[Segment] = []
-    ids, sizes = [], np.zeros(len(docs), np.int64)
-    for d, parts in enumerate(docs):
-        sizes[d] = len(parts)
-        for p in parts:
-            k = id(p)
-            if k not in place:
-                place[k] = len(held)
-                held.append(p)
-            ids.append(place[k])
-    if not held:
-        return np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    both = (np.repeat(np.arange(len(docs), dtype=np.uint64), sizes) << SHIFT) | np.array(ids, np.uint64)
-    both, times = np.unique(both, return_counts=True)
-    doc, seg = both >> SHIFT, (both & LOW).astype(np.int64)
-    length = np.array([len(p.keys) for p in held], np.int64)
-    begin = np.cumsum(length) - length
-    keys, links = np.concatenate([p.keys for p in held]), np.concatenate([p.links for p in held])
-    n = length[seg]
-    at = np.repeat(begin[seg] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    key, rows = _summed((np.repeat(doc, n) << SHIFT) | keys[at].astype(np.uint64), links[at] * np.repeat(times, n))
-    return (key >> SHIFT).astype(np.uint32), (key & LOW).astype(np.uint32), rows
+        stops = np.searchsorted(of_group, np.arange(m), "right").tolist()
+        first = len(self.groups)
+        self.known.update(zip(held, range(first, first + m)))
+        self.groups += [";".join(texts[x:y]) for x, y in zip([0, *stops], stops)]
+
+    def measures(self, docs: list[list[int]]) -> list[tuple[int, int, int, int, str]]:
+        """n_a, n_b, n_groups, n_links, groups_sha256 of each text."""
+        out = []
+        for numbers in docs:
+            texts = [self.groups[k] for k in numbers]
+            if not texts or None in texts:
+                out.append((0, 0, 0, 0, ""))
+            else:
+                out.append((*self.counts[numbers].sum(axis=0).tolist(),
+                            hashlib.sha256(";".join(texts).encode()).hexdigest()))
+        return out
+
+    def records(self, docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, pair, links) of all documents, each pair of a document once."""
+        sizes = np.array([len(d) for d in docs], np.int64)
+        flat = np.fromiter((k for d in docs for k in d), np.uint64, int(sizes.sum()))
+        both, times = np.unique((np.repeat(np.arange(len(docs), dtype=np.uint64), sizes) << SHIFT) | flat, return_counts=True)
+        doc, seg = both >> SHIFT, (both & LOW).astype(np.int64)
+        n = self.length[seg]
+        at = np.repeat(self.begin[seg] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        key, links = _summed((np.repeat(doc, n) << SHIFT) | self.keys[at].astype(np.uint64), self.links[at] * np.repeat(times, n))
+        return (key >> SHIFT).astype(np.uint32), (key & LOW).astype(np.uint32), links
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,9 +312,9 @@ def encode_and_spill(docs: DataFrame, a_vocabulary: str, b_vocabulary: str, spil
                                    + [(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
                                    + [("groups_sha256", pa.string()), ("part", pa.int32()), ("run", pa.int64()),
                                       ("head", pa.binary()), ("body", pa.binary())])
-            parts = aligner.parts([(t or b"").decode() for t in as_bytes(batch.column("text"))])
-            measures = [document(p) for p in parts]
-            doc, key, links = records([p if m[0] else [] for p, m in zip(parts, measures)])
+            parts = aligner.numbers([(t or b"").decode() for t in as_bytes(batch.column("text"))])
+            measures = aligner.measures(parts)
+            doc, key, links = aligner.records([p if m[0] else [] for p, m in zip(parts, measures)])
             if len(doc):
                 held.append((doc + np.uint32(place), key, links))
             n = batch.num_rows
