@@ -21,9 +21,17 @@ SLICE_BYTES = 2 << 20
 
 
 def row_key(id_col: str, text_col: str) -> Column:
-    """A key that two rows share only if id and text are the same (nulls included).
-    Unlike a generated id it is the same when a lost task runs again."""
-    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    """64-bit key of a row's id and text.  Nulls count (a hash alone skips them).  Unlike a
+    generated id it is the same when a lost task runs again."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.col(id_col).isNull(), F.col(text_col).isNull())
+
+
+def row_digest(id_: Column, text: Column) -> Column:
+    """128-bit key of a row's id and text, nulls included, for decisions about rows: two rows
+    share it only if both are the same.  A text's digest has 32 digits, an id follows its mark."""
+    return F.unhex(F.md5(F.concat(
+        F.when(text.isNull(), F.lit("-")).otherwise(F.md5(text.cast("string").cast("binary"))),
+        F.when(id_.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), id_.cast("string"))))))
 
 
 BATCH_ROWS = 1_000

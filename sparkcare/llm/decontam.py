@@ -15,8 +15,10 @@ Documents are read once.  A task tests window values and shingles against two fi
 bounded size made from the items, and emits only what passes, so what is shuffled are
 the likely hits; the items themselves are joined, not broadcast.
 
-Defined cases: words are lower-cased (A-Z); an item of fewer words than a shingle has no
-shingles and matches nothing, as do null and empty texts; rows that share a doc_id (or
+An item of fewer words than a shingle is one shingle, its whole word sequence, and is found
+wherever a document holds that sequence.
+
+Defined cases: words are lower-cased (A-Z); null and empty texts match nothing; rows that share a doc_id (or
 item_id), null ids included, count as one document (item) whose best row counts; an
 empty table gives an empty result; other columns are not read, whatever their names.
 """
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (KeyFilter, as_bytes, int64_lists, key_filter, mixed, row_key, shingle_hashes, slices,
+from .common import (KeyFilter, as_bytes, int64_lists, key_filter, mixed, row_digest, shingle_hashes, slices,
                      stored, two_columns, word_hashes)
 
 WORDS = 5
@@ -43,11 +45,6 @@ def coordinates(threshold: float, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - threshold / (5 - threshold)))
 
 
-def shingles_of(text: bytes | None, words: int) -> np.ndarray:
-    hashes = word_hashes((text or b"").lower().split())
-    return shingle_hashes(hashes, words) if len(hashes) >= words else hashes[:0]
-
-
 def size_class(n: int) -> int:
     return n.bit_length() - 1
 
@@ -62,27 +59,33 @@ def token(values: np.ndarray, coordinate: int, size: int) -> np.ndarray:
 
 
 def item_table(items: DataFrame, id_col: str, text_col: str, words: int, count: int) -> DataFrame:
-    """item_key, item_id, size, shingles (distinct), tokens (one per coordinate)."""
+    """item_key, item_id, size (class; minus the words of a short item), shingles (distinct),
+    tokens (one per coordinate; a short item's shingle)."""
     factors = multipliers(count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [np.unique(shingles_of(t, words)) for t in as_bytes(batch.column("text"))]
-            keep = [i for i, s in enumerate(sets) if len(s)]
-            sets = [sets[i] for i in keep]
+            hashes = [word_hashes((t or b"").lower().split()) for t in as_bytes(batch.column("text"))]
+            keep = [i for i, h in enumerate(hashes) if len(h)]
+            sets = [np.unique(shingle_hashes(hashes[i], words)) for i in keep]
+            few = [len(hashes[i]) if len(hashes[i]) < words else 0 for i in keep]
             tokens = []
-            for s in sets:
+            for s, short in zip(sets, few):
+                if short:  # found by itself
+                    tokens.append(s)
+                    continue
                 low = (s >> np.uint64(32)).astype(np.uint32)
                 tokens.append(np.concatenate([token((low * f).min(keepdims=True), k, size_class(len(s)))
                                               for k, f in enumerate(factors)]))
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("item_key"), part.column("doc_id"), pa.array([size_class(len(s)) for s in sets], pa.int32()),
+                [part.column("item_key"), part.column("doc_id"),
+                 pa.array([-short if short else size_class(len(s)) for s, short in zip(sets, few)], pa.int32()),
                  int64_lists(sets), int64_lists(tokens)], ["item_key", "item_id", "size", "shingles", "tokens"])
 
-    rows = two_columns(items, id_col, text_col).select(row_key("doc_id", "text").alias("item_key"), "doc_id", "text")
+    rows = two_columns(items, id_col, text_col).select(row_digest(F.col("doc_id"), F.col("text")).alias("item_key"), "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"item_key long, item_id {kind}, size int, shingles array<long>, "
+    return rows.mapInArrow(run, f"item_key binary, item_id {kind}, size int, shingles array<long>, "
                                 "tokens array<long>").dropDuplicates(["item_key"])
 
 
@@ -136,7 +139,8 @@ def leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     table = stored(item_table(items, item_id_col, item_text_col, words, count))
     spread = table.agg(F.collect_set("size").alias("sizes"), F.sum(F.size("shingles")).alias("n"),
                        F.count("*").alias("items")).first()
-    sizes = sorted(spread["sizes"])  # at most one per power of two
+    sizes = sorted(n for n in spread["sizes"] if n >= 0)  # at most one per power of two
+    short = sorted(-n for n in spread["sizes"] if n < 0)  # below ``words``
     tokens = key_filter(table.select(F.explode("tokens")), (spread["items"] or 0) * count)
     parts = key_filter(table.select(F.explode("shingles")), spread["n"] or 0)
     shared = docs.sparkSession.sparkContext.broadcast((tokens, parts))
@@ -145,8 +149,15 @@ def leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_token, by_part = (KeyFilter(*f) for f in shared.value)
         for batch in slices(batches):
-            lists = [shingles_of(t, words) for t in as_bytes(batch.column("text"))]
+            hashes = [word_hashes((t or b"").lower().split()) for t in as_bytes(batch.column("text"))]
+            lists = [shingle_hashes(h, words) if len(h) >= words else h[:0] for h in hashes]
             hits = window_hits(lists, sizes, factors, by_token)
+            for k in short:
+                for i, h in enumerate(hashes):
+                    if len(h) >= k:
+                        own = shingle_hashes(h, k)
+                        own = np.unique(own[by_part.test(own)])
+                        hits[i], lists[i] = np.concatenate([hits[i], own]), np.concatenate([lists[i], own])
             keep = [i for i, h in enumerate(hits) if len(h)]
             inside = [np.unique(s[by_part.test(s)]) for s in (lists[i] for i in keep)]
             part = batch.take(pa.array(keep, pa.int64()))
@@ -154,9 +165,9 @@ def leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                 [part.column("row_key"), part.column("doc_id"), int64_lists([hits[i] for i in keep]),
                  int64_lists(inside)], ["row_key", "doc_id", "tokens", "inside"])
 
-    rows = two_columns(docs, id_col, text_col).select(row_key("doc_id", "text").alias("row_key"), "doc_id", "text")
+    rows = two_columns(docs, id_col, text_col).select(row_digest(F.col("doc_id"), F.col("text")).alias("row_key"), "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    hit = stored(rows.mapInArrow(run, f"row_key long, doc_id {kind}, tokens array<long>, inside array<long>"))
+    hit = stored(rows.mapInArrow(run, f"row_key binary, doc_id {kind}, tokens array<long>, inside array<long>"))
     pairs = (hit.select("row_key", F.explode("tokens").alias("token"))
              .join(table.select("item_key", F.explode("tokens").alias("token")), "token")
              .select("row_key", "item_key").distinct())
@@ -171,6 +182,7 @@ def leaking_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the rows that hold an item, all columns as they are; another row
     with the same or a null id stays."""
-    leaks = leaking_rows(docs, items, id_col, text_col, **how).select(F.col("row_key").alias("__leaking")).distinct()
-    keyed = docs.withColumn("__row", row_key(id_col, text_col))
-    return keyed.join(leaks, keyed["__row"] == leaks["__leaking"], "left_anti").drop("__row")
+    leaks = leaking_rows(docs, items, id_col, text_col, **how).select(F.col("row_key").alias("leaking")).distinct()
+    keyed = docs.select(row_digest(docs[id_col], docs[text_col]).alias("key"),
+                        F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    return keyed.join(leaks, keyed["key"] == leaks["leaking"], "left_anti").select("row.*")

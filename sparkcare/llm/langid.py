@@ -18,7 +18,6 @@ read, whatever their names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import slices, small_batches
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -34,7 +33,6 @@ SMOOTHING = 0.5
 PENALTY = 4.0
 ROUNDS = 25
 MAX_LANGUAGES = 500
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -104,7 +102,7 @@ def mixture(weights: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, float]:
 
 def infer(text: str | None, logs: np.ndarray) -> tuple[int, float, list[int]]:
     """(index of the language, its proportion, the set selected); index -1: und."""
-    if not text or not len(logs) or not LETTER.search(text):
+    if not text or not len(logs) or not any(map(str.isalpha, text)):
         return -1, 0.0, []
     used, weights = np.unique(trigrams(text), return_counts=True)
     columns = logs[:, used].T
@@ -128,7 +126,7 @@ def identify(docs: DataFrame, languages: list[str], logs: np.ndarray, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = share.value.astype(np.float64)
-        for batch in batches:
+        for batch in slices(batches):
             got = [infer(t, model) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"),
@@ -138,7 +136,7 @@ def identify(docs: DataFrame, languages: list[str], logs: np.ndarray, id_col: st
                 ["doc_id", "held_out", "lang_pred", "score", "langs"])
 
     rows = docs.select(docs[id_col].alias("doc_id"), held_out(docs[id_col]).alias("held_out"),
-                       docs[text_col].alias("text"))
+                       docs[text_col].cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, "
                                 "langs array<string>")

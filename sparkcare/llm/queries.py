@@ -227,10 +227,11 @@ FROM p LEFT JOIN f USING (d)""",
     "op6_decontamination": f"""
 WITH dw AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
 bw AS (SELECT item_id, {_WORDS.format(_LOWER)} AS ws FROM benchmark),
-d AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(ws) - 4),
-             lambda i: array_to_string(ws[i:i + 4], ' '))) AS s FROM dw),
-b AS (SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, len(ws) - 4),
-             lambda i: array_to_string(ws[i:i + 4], ' '))) AS s FROM bw),
+k AS (SELECT DISTINCT least(5, len(ws)) AS k FROM bw WHERE len(ws) > 0),
+d AS (SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(ws) - k + 1),
+             lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS s FROM dw, k WHERE len(ws) >= k),
+b AS (SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, len(ws) - least(5, len(ws)) + 1),
+             lambda i: array_to_string(ws[i:i + least(5, len(ws)) - 1], ' '))) AS s FROM bw WHERE len(ws) > 0),
 n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingles,
        count(*)::DOUBLE / any_value(n_shingles) AS containment

@@ -91,6 +91,80 @@ def test_near_duplicates_equal_brute_force(spark, odd):
     assert minhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def _components(sets):
+    """Smallest member of each row's component, links by exact overlap of all pairs."""
+    import numpy as np
+    names = {x: i for i, x in enumerate(sorted(set().union(*sets)))}
+    hold = np.zeros((len(sets), len(names)), np.float32)
+    for r, s in enumerate(sets):
+        hold[r, [names[x] for x in s]] = 1
+    both, size = hold @ hold.T, hold.sum(axis=1)
+    link = both * 100 >= 80 * (size[:, None] + size[None, :] - both)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(link, label[None, :], len(sets)).min(axis=1)
+        if (new == label).all():
+            return label.tolist(), int(np.triu(link, 1).sum())
+        label = new
+
+
+def test_large_group_that_stays_apart(spark):
+    """Thousands of near copies, most of them just too far from each other, some in chains."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(70)]
+    rows = []
+    for i in range(2500):
+        w = list(base)
+        for _ in range(rnd.choice([1, 4, 4, 5, 5, 5])):
+            w[rnd.randrange(70)] = f"v{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    sets = [{tuple(t.split()[j:j + 4]) for j in range(67)} for _, t in rows]
+    want, links = _components(sets)
+    assert 1000 < len(set(want)) < 2400 < links
+    before = minhash.BLOCK_NODES
+    for block in (200, before):
+        minhash.BLOCK_NODES = block
+        try:
+            got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+        finally:
+            minhash.BLOCK_NODES = before
+        assert [r.component_id for r in sorted(got)] == want
+
+
+def test_whole_table_near_duplicates_equal_brute_force(spark):
+    rows = [tuple(r) for r in queries.table(spark, SF, "documents").select("doc_id", "text").collect()]
+    got = queries.op2_minhash(spark, SF).collect()
+    assert sorted(map(tuple, got)) == _classes(rows, 4)
+
+
+def test_rows_that_only_look_alike_stay(spark):
+    rows = [(None, "5"), (5, None), (None, None), (5, ""), (5, "5"), (None, "5")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, __row int")
+    got = minhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect() if r.text == "5") == [(5, "5")]  # one of the class of "5"
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect() if r.text != "5") == [("5", ""), ("5", "None"), ("None", "None")]
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    kept = decontam.drop_leaks(docs.unionByName(spark.createDataFrame([(9, "x a b c d e f y", 6)], docs.schema)), items)
+    assert kept.columns == docs.columns and sorted(r["__row"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_overlaps_count_exactly(dense):
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, 900, rnd.integers(1, 300))).astype(np.uint64) for _ in range(40)]
+    sets[3] = sets[4]
+    pairs = np.array([(i, j) for i in range(40) for j in range(i + 1, 40) if rnd.random() < .7]).T
+    before = minhash.PAIR_COST, minhash.CHUNK
+    minhash.PAIR_COST, minhash.CHUNK = (1.0 if dense else 0.0), 100
+    try:
+        got = minhash.overlaps(sets, pairs)
+    finally:
+        minhash.PAIR_COST, minhash.CHUNK = before
+    assert got.tolist() == [len(np.intersect1d(sets[i], sets[j])) for i, j in pairs.T]
+
+
 def _windows(rows, m):
     split = [(t or "").encode().split() for _, t in rows]
     seen = Counter(tuple(w[j:j + m]) for w in split for j in range(len(w) - m + 1))
@@ -133,9 +207,11 @@ def test_leaks_defined_cases(spark, odd):
     item = " ".join(f"q{i}" for i in range(30))
     long = " ".join(f"d{i}" for i in range(3000))
     docs = [(1, long + " " + item.upper() + " " + long), (2, long), (3, " ".join(item.split()[:20])), (None, item), (4, None)]
-    items = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (1, item)], "item_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (1, item), (4, "D7 d8"), (5, " "), (6, "d2999")],
+                                  "item_id long, text string")
     got = sorted(map(tuple, decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()), key=str)
-    assert got == [(1, 1, 26, 26, 1.0), (None, 1, 26, 26, 1.0)]
+    short = [(d, i, 1, 1, 1.0) for d in (1, 2) for i in (4, 6)]  # fewer words than a shingle: the whole sequence
+    assert got == sorted([(1, 1, 26, 26, 1.0), (None, 1, 26, 26, 1.0), *short], key=str)
     assert decontam.find_leaks(odd, items).count() == 0 and decontam.find_leaks(odd, items.limit(0)).count() == 0
     assert decontam.drop_leaks(odd, items).columns == odd.columns
 
@@ -168,12 +244,12 @@ def test_archives_round_trip(spark, compression, split):
 def test_one_full_set_for_each_node(spark):
     texts = ["a b c d e f g"] * 300 + ["a b c d e f h"] * 300 + ["q r s t u v w"]
     docs = spark.createDataFrame([(i % 200, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    rows = docs.select(minhash.row_key("doc_id", "text").alias("row_key"), "doc_id", "text")
+    rows = docs.select(minhash.row_digest(F.col("doc_id"), F.col("text")).alias("row_key"), "doc_id", "text")
     nodes = minhash.signatures(rows, 2, minhash.COORDINATES).groupBy("node").agg(F.min("row_key").alias("row_key"))
     spread = rows.groupBy("text").agg(F.min("row_key").alias("row_key"))
-    keys = [r.row_key for r in rows.select("row_key").distinct().collect()]
+    keys = [r.h for r in rows.select(F.xxhash64("row_key").alias("h")).distinct().collect()]
     before = minhash.key_filter
-    minhash.key_filter = lambda *a, **k: before(spark.createDataFrame([(k,) for k in keys], "row_key long"), len(keys))
+    minhash.key_filter = lambda *a, **k: before(spark.createDataFrame([(k,) for k in keys], "h long"), len(keys))
     try:  # every copy passes the filter
         got = minhash.full_sets(rows, nodes.join(spread, "row_key", "left_semi"), 2).collect()
     finally:
