@@ -200,14 +200,66 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, digits: int = 6) -
         F.coalesce("count", F.lit(0)).alias("count"))
 
 
+SUMS_AT_ONCE = 90  # generated code holds up to 100 fields of an aggregate
+
+
 def correlation(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Pearson correlation matrix (long form: col_a, col_b, corr) from one
-    aggregate over all column pairs."""
-    pairs = list(combinations(cols, 2))
-    one = df.agg(*[F.corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    """Pearson correlation matrix (long form: col_a, col_b, corr) over the rows in which
+    both columns have a value.
+
+    Two passes: means and counts of all columns, then the matrix of centred products, one
+    sum for each pair.  Sums of a column over the rows of another one are only needed where
+    that one has nulls, so complete columns need no more than the matrix.  Sums are partial
+    sums in generated code, SUMS_AT_ONCE in one aggregate."""
+    cols = list(cols)
+    first = df.agg(_count().alias("n"), *(F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)),
+                   *(F.count(c).alias(f"k{i}") for i, c in enumerate(cols))).first()  # one row
+    x = [F.col(c).cast("double") - F.lit(first[f"m{i}"] or 0.0) for i, c in enumerate(cols)]
+    held = [first[f"k{i}"] for i in range(len(cols))]
+    gaps = [k < first["n"] for k in held]
+    sums: dict[str, Column] = {}
+
+    def over(a: int, b: int, power: int) -> Column:
+        """Sum of a power of a's centred values over the rows that have a value of b too."""
+        name = f"s{power}_{a}_{b if gaps[b] else a}"
+        value = x[a] if power == 1 else x[a] * x[a]
+        sums[name] = F.sum(F.when(F.col(cols[b]).isNotNull(), value) if gaps[b] else value)
+        return F.col(name)
+
+    def rows(a: int, b: int) -> Column:
+        if not (gaps[a] and gaps[b]):
+            return F.nullif(F.lit(float(min(held[a], held[b]))), F.lit(0.0))
+        sums[f"n_{a}_{b}"] = F.sum(F.when(F.col(cols[a]).isNotNull() & F.col(cols[b]).isNotNull(), F.lit(1.0)))
+        return F.col(f"n_{a}_{b}")
+
     items = [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr")) for c in cols]
-    for i, (a, b) in enumerate(pairs):
-        v = F.round(F.col(f"_c{i}"), digits)
-        items.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), v.alias("corr")))
-        items.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), v.alias("corr")))
+    for i, j in combinations(range(len(cols)), 2):
+        sums[f"p_{i}_{j}"] = F.sum(x[i] * x[j])
+        n, si, sj = rows(i, j), over(i, j, 1), over(j, i, 1)
+        vi, vj = over(i, j, 2) - si * si / n, over(j, i, 2) - sj * sj / n
+        v = F.when((vi > 0) & (vj > 0), F.round((F.col(f"p_{i}_{j}") - si * sj / n) / F.sqrt(vi * vj), digits))
+        for a, b in ((i, j), (j, i)):
+            items.append(F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), v.alias("corr")))
+    names = list(sums)
+    one = None
+    for at in range(0, len(names), SUMS_AT_ONCE):
+        part = df.agg(*(sums[k].alias(k) for k in names[at:at + SUMS_AT_ONCE]))
+        one = part if one is None else one.join(F.broadcast(part), F.lit(True))  # one row each
+    if one is None:
+        one = df.sparkSession.range(1)
     return one.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+
+
+def is_empty(df: DataFrame) -> bool:
+    """Whether ``df`` has no row; reads no more than it takes to find one."""
+    return df.isEmpty()
+
+
+def empty_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """A14 for several frames: table_name, is_empty.  Each frame gives one row at most."""
+    out = None
+    for name, df in tables.items():
+        one = df.select(F.lit(1).alias("x")).limit(1).agg((_count() == 0).alias("is_empty")).select(
+            F.lit(name).alias("table_name"), "is_empty")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import run_date_text
+from .combine import concat_strict
 
 
 @dataclass
@@ -105,6 +106,13 @@ def accuracy_table(df: DataFrame, process_name: str, exp: Expectations, run_date
          .alias("column_type_matches"))
 
 
+def checked_concat(parts: list[DataFrame], path: str, process_name: str, exp: Expectations, run_date=None) -> DataFrame:
+    """Q7, the whole flow: extracts of one schema are concatenated, written as Parquet at
+    ``path`` and checked as they are read back; the accuracy row is the result."""
+    concat_strict(*parts).write.mode("overwrite").parquet(path)
+    return accuracy_table(parts[0].sparkSession.read.parquet(path), process_name, exp, run_date)
+
+
 def run_suite(entities: dict[str, DataFrame], expectations: dict[str, Expectations], run_date=None) -> DataFrame:
     """Q6: the accuracy rows of several entities (one aggregate job per entity,
     unioned into one frame)."""

@@ -1,78 +1,88 @@
-"""Exact global positions without a single-task window.
+"""Exact global positions and quantiles without a single-task window and without a
+stored or checkpointed copy.
 
 ``Window.orderBy(...)`` without ``partitionBy`` (or a window partitioned by a
-hot key) sends every row of the frame (or of the hot group) to one task.  Here
-the rows are range partitioned on (group, order) keys instead: Spark samples the
-keys and cuts the key space into partitions of about equal size, so even a group
-holding a third of all rows is spread over many tasks.  Inside a partition the
-rows are sorted and numbered (``monotonically_increasing_id`` counts rows in
-partition order); a tiny table of per-partition counts gives the offsets.
-
-The sorted, numbered frame is cut from its lineage with a reliable
-``checkpoint()`` (folder from ``spark.checkpoint.dir``): a lost executor then
-re-reads the same numbering instead of recomputing a different one.
+hot key) sends every row of the frame (or of the hot group) to one task.  Here the line of
+keys is cut at points taken from a sample: the cut points are literals of the plan, so a row's part
+follows from its content alone, and a part is small enough for a window of its own.
+
+Positions follow a total order made of content: the order columns, then a digest of the
+whole row.  Rows with equal order columns therefore spread over parts like any others (only
+rows that are equal in every column stay together, and they can change places), and neither a
+recomputed task nor other cut points give another numbering: cut points decide where a row
+is numbered, not its number.
+
+Quantiles are selected, not sorted out: a sketch brackets each wanted rank, one pass counts
+what lies below the bracket and gathers the distinct values inside it with their counts, and only
+those are ranked.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+MAX_PARTS = 4096
+SAMPLE_PER_PART = 32
+DIGEST, PART, OFF, PLACE = "_rk_digest", "_rk_part", "_rk_off", "_rk_place"
+
 
-PID, MID, OFF, FIRST, CNT = "_rk_pid", "_rk_mid", "_rk_off", "_rk_first", "_rk_n"
+def parts_of(df: DataFrame, num_partitions: int | None = None) -> int:
+    """How many parts to cut into: as many as the session shuffles into, up to MAX_PARTS."""
+    return max(1, min(MAX_PARTS, num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-@dataclass
-class Positioned:
-    rows: DataFrame      # input columns + PID, MID (checkpointed)
-    offsets: DataFrame   # PID, group cols, CNT, FIRST, OFF (rows before this slice within its group)
-    group_cols: list[str]
+def evenly(points: list, parts: int) -> list:
+    """The ``parts`` - 1 points that cut a sorted sample into parts of equal size."""
+    cuts = [points[len(points) * i // parts] for i in range(1, parts)] if points else []
+    return [c for i, c in enumerate(cuts) if i == 0 or c != cuts[i - 1]]
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+def part_of(key: Column, cuts: list[Column]) -> Column:
+    """How many of the ascending ``cuts`` are at or below ``key``, found in two steps of about
+    a square root of their number."""
+    if not cuts:
+        return F.lit(0)
+    width = max(1, int(len(cuts) ** 0.5))
+    rows = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+    row = F.size(F.filter(F.array(*(r[0] for r in rows)), lambda c: c <= key))
+    inner = F.element_at(F.array(*(F.array(*r) for r in rows)), F.greatest(row, F.lit(1)))
+    return F.when(row == 0, F.lit(0)).otherwise(
+        (row - 1) * width + F.size(F.filter(inner, lambda c: c <= key)))
 
 
-def position(df: DataFrame, order_cols: list, group_cols: list[str] | None = None,
-             num_partitions: int | None = None) -> Positioned:
-    group_cols = list(group_cols or [])
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    # Checkpointed straight after the range shuffle: the write job re-reads the
-    # shuffle files rather than recomputing the input, so no persist is needed.
-    numbered = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn(PID, F.spark_partition_id())
-                .withColumn(MID, F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    counts = numbered.groupBy(PID, *group_cols).agg(F.count(F.lit(1)).alias(CNT), F.min(MID).alias(FIRST))
-    # One row per (partition, group) slice: at most partitions + groups rows.
-    w = Window.partitionBy(*group_cols).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn(OFF, F.coalesce(F.sum(CNT).over(w), F.lit(0)))
-    return Positioned(numbered, offsets, group_cols)
+def cut_points(df: DataFrame, keys: list[str], parts: int) -> list[Column]:
+    """Ascending structs of ``keys`` that cut ``df`` into about equal parts, from a random
+    sample of SAMPLE_PER_PART rows for each part (at most MAX_PARTS * SAMPLE_PER_PART)."""
+    if parts < 2:
+        return []
+    sample = df.select(*keys).orderBy(F.rand(11)).limit(parts * SAMPLE_PER_PART).orderBy(*keys).collect()
+    types = [df.schema[k].dataType for k in keys]
+    return [F.struct(*(F.lit(v).cast(t).alias(k) for v, t, k in zip(row, types, keys))) for row in evenly(sample, parts)]
 
 
 def rank_rows(df: DataFrame, order_cols: list, group_cols: list[str] | None = None,
               rank_col: str = "rank", start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col``: the exact 1-based (or ``start``-based) position of each row in
-    ``order_cols`` order within ``group_cols`` (ties get distinct, arbitrary-but-fixed
-    positions, as ``row_number`` does)."""
-    p = position(df, order_cols, group_cols, num_partitions)
-    offs = p.offsets.select(PID, *p.group_cols, OFF, FIRST)
-    r, o = p.rows.alias("r"), offs.alias("o")
-    joined = r.join(o, _null_safe_on(r, o, [PID, *p.group_cols]))
-    out = joined.select(
-        *[r[c] for c in df.columns],
-        (o[OFF] + r[MID] - o[FIRST] + F.lit(start)).alias(rank_col))
-    return out
+    ``order_cols`` order within ``group_cols``.  Rows with equal order columns are ordered by
+    a digest of the row, so the positions are distinct and the same in every run."""
+    groups = list(group_cols or [])
+    orders = {f"_rk_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order_cols)}
+    keys = [*groups, *orders, DIGEST]
+    rows = df.withColumns({**orders, DIGEST: F.unhex(F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})))})
+    parts = parts_of(df, num_partitions)
+    rows = rows.withColumn(PART, part_of(F.struct(*keys), cut_points(rows, keys, parts)))
+    # One row per (part, group): at most parts + groups rows.
+    before = Window.partitionBy(*(groups or [F.lit(0)])).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (rows.groupBy(PART, *groups).agg(F.count(F.lit(1)).alias("_rk_n"))
+               .select(F.col(PART).alias("_rk_p"), *(F.col(c).alias(f"_rk_g{i}") for i, c in enumerate(groups)),
+                       F.coalesce(F.sum("_rk_n").over(before), F.lit(0)).alias(OFF)))
+    inner = F.row_number().over(Window.partitionBy(PART, *groups).orderBy(*orders, DIGEST))
+    same = F.col(PART) == F.col("_rk_p")
+    for i, c in enumerate(groups):
+        same = same & F.col(c).eqNullSafe(F.col(f"_rk_g{i}"))
+    return rows.withColumn(PLACE, inner).join(offsets, same).select(
+        *df.columns, (F.col(OFF) + F.col(PLACE) + F.lit(start - 1)).cast("bigint").alias(rank_col))
 
 
 def with_sequence(df: DataFrame, order_cols: list, name: str = "sequence_num", start: int = 1,
@@ -82,48 +92,94 @@ def with_sequence(df: DataFrame, order_cols: list, name: str = "sequence_num", s
     return rank_rows(df, order_cols, None, name, start, num_partitions)
 
 
+# --- quantiles by selection ---------------------------------------------------------------
+
+SMALL = 20_000        # groups of at most so many values are their own bracket
+ACCURACY = 10_000     # ranks in a sketch are off by a ten-thousandth at most ...
+GRID = 500            # ... and brackets reach two five-hundredths to either side of it
+MOST_RANKED = 5_000_000
+
+
+def _brackets(wanted: DataFrame, vals: DataFrame, names: list[str]) -> DataFrame:
+    """``wanted`` (groups, prob, n, r_lo, r_hi, lo, hi, below, inside) with narrower brackets: ``vals``
+    (groups, v) are sketched inside each bracket on a grid of ranks."""
+    inside = _inside(vals, wanted, names)
+    grid = [i / GRID for i in range(GRID + 1)]
+    sketch = inside.groupBy(*names, "prob").agg(F.percentile_approx("v", grid, ACCURACY).alias("grid"))
+
+    def moved(old: str, rank: str, step: int) -> Column:
+        at = (F.floor((F.col(rank) - F.col("below")) / F.col("inside") * GRID) + 1 + step).cast("int")
+        keep = (F.col("inside") <= SMALL) | (at < 1) | (at > GRID + 1)
+        return F.when(keep, F.col(old)).otherwise(F.get("grid", at - 1))
+
+    narrow = (_null_safe(wanted, sketch, [*names, "prob"])
+              .withColumns({"lo": moved("lo", "r_lo", -2), "hi": moved("hi", "r_hi", 3)}).drop("grid", "below", "inside"))
+    return _counted(vals, narrow, names)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Inner join on ``names``, nulls equal, with one set of them."""
+    right = right.withColumnsRenamed({c: f"_{c}" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return left.join(right, same).drop(*(f"_{c}" for c in names))
+
+
+def _by_group(brackets: DataFrame, names: list[str]) -> DataFrame:
+    return brackets.groupBy(*names).agg(F.collect_list(F.struct("prob", "lo", "hi")).alias("brackets"))
+
+
+def _inside(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
+    """(groups, prob, v): every value with the brackets it lies in."""
+    near = F.filter("brackets", lambda b: (F.col("v") >= b["lo"]) & (F.col("v") <= b["hi"]))
+    return _null_safe(vals, _by_group(brackets, names), names).select(
+        *names, "v", F.explode(near).alias("b")).select(*names, F.col("b.prob").alias("prob"), "v")
+
+
+def _counted(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
+    """``brackets`` with ``below`` and ``inside``, the values under and in each."""
+    place = lambda b: F.struct(b["prob"].alias("prob"), (F.col("v") < b["lo"]).cast("long").alias("below"),
+                               ((F.col("v") >= b["lo"]) & (F.col("v") <= b["hi"])).cast("long").alias("inside"))
+    counts = (_null_safe(vals, _by_group(brackets, names), names)
+              .select(*names, F.inline(F.transform("brackets", place)))
+              .groupBy(*names, "prob").agg(F.sum("below").alias("below"), F.sum("inside").alias("inside")))
+    return _null_safe(brackets, counts, [*names, "prob"])
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                    group_cols: list[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics (the
     ``percentile`` / ``quantile_cont`` definition), per group.
 
     Returns one row per group and probability: group cols, ``prob``, ``n`` (non-null
-    values) and ``value``.  Only the rows at the needed ranks (two per probability)
-    are fetched from the sorted data, so no group is ever gathered in one place.
+    values) and ``value``.  Each round of sketches narrows a bracket to less than a fiftieth of its
+    values; one round does unless a group has more than 50 * MOST_RANKED values.  Many equal
+    values are one distinct value with a count.
     """
-    group_cols = list(group_cols or [])
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    p = position(vals, ["_v"], group_cols, num_partitions)
-    totals = p.offsets.groupBy(*group_cols).agg(F.sum(CNT).alias("n"))
-    probs_arr = F.array(*[F.lit(float(x)) for x in probs])
-    t = (totals.select(*group_cols, "n", F.explode(probs_arr).alias("prob"))
-         .withColumn("_h", (F.col("n") - 1) * F.col("prob"))
-         .withColumn("_lo", F.floor("_h").cast("bigint"))
-         .withColumn("_frac", F.col("_h") - F.col("_lo")))
-    # 1-based ranks needed: lo+1 and min(lo+2, n)
-    need = t.select(*group_cols, "prob", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), (F.col("_lo") + 1).alias("rk")),
-        F.struct(F.lit(1).alias("side"), F.least(F.col("_lo") + 2, F.col("n")).alias("rk")))).alias("x")) \
-        .select(*group_cols, "prob", "x.side", "x.rk")
-    # offsets renamed so the self-derived lineage (offsets come from rows) stays unambiguous
-    o = p.offsets.select(*[F.col(c).alias(f"o_{c}") for c in group_cols],
-                         F.col(PID).alias("o_pid"), F.col(OFF).alias("o_off"), F.col(CNT).alias("o_cnt"),
-                         F.col(FIRST).alias("o_first"))
-    cond = F.lit(True)
-    for c in group_cols:
-        cond = cond & need[c].eqNullSafe(o[f"o_{c}"])
-    located = need.join(o, cond & (need["rk"] > o["o_off"]) & (need["rk"] <= o["o_off"] + o["o_cnt"])) \
-        .select(*group_cols, "prob", "side", F.col("o_pid").alias(PID),
-                (F.col("o_first") + F.col("rk") - F.col("o_off") - 1).alias(MID))
-    fetched = p.rows.select(PID, MID, "_v").join(located, [PID, MID]) \
-        .groupBy(*group_cols, "prob").agg(
-            F.max(F.when(F.col("side") == 0, F.col("_v"))).alias("_vlo"),
-            F.max(F.when(F.col("side") == 1, F.col("_v"))).alias("_vhi"))
-    f = fetched.select(*[F.col(c).alias(f"f_{c}") for c in group_cols], F.col("prob").alias("f_prob"),
-                       "_vlo", "_vhi")
-    cond = F.col("prob") == F.col("f_prob")
-    for c in group_cols:
-        cond = cond & t[c].eqNullSafe(f[f"f_{c}"])
-    res = t.join(f, cond)
-    return res.select(*group_cols, "prob", "n",
-                      (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+    groups = list(group_cols or [])
+    names = [f"_g{i}" for i in range(len(groups))] or ["_g"]
+    vals = df.select(*(F.col(c).alias(n) for c, n in zip(groups, names)), *([] if groups else [F.lit(0).alias("_g")]),
+                     F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    ends = F.lit(float("-inf")).alias("lo"), F.lit(float("nan")).alias("hi")  # NaN is above every number
+    rank = (F.col("n") - 1) * F.col("prob")
+    brackets = (vals.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+                .select(*names, "n", F.explode(F.array(*map(F.lit, map(float, probs)))).alias("prob"))
+                .select("*", (F.floor(rank) + 1).cast("long").alias("r_lo"),
+                        F.least(F.floor(rank) + 2, F.col("n")).cast("long").alias("r_hi"),
+                        (rank - F.floor(rank)).alias("frac"), *ends, F.lit(0).cast("long").alias("below"),
+                        F.col("n").alias("inside")))
+    most = vals.groupBy(*names).count().agg(F.max("count")).first()[0] or 0
+    while most > SMALL:
+        brackets = _brackets(brackets, vals, names)
+        most = most / 50
+        if most <= MOST_RANKED:
+            break
+    counts = _inside(vals, brackets, names).groupBy(*names, "prob", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*names, "prob").orderBy("v"))
+    ranked = _null_safe(counts.withColumn("upto", upto), brackets, [*names, "prob"])
+    holds = lambda r: F.max(F.when((F.col("below") + F.col("upto") - F.col("c") < F.col(r))
+                                   & (F.col("below") + F.col("upto") >= F.col(r)), F.col("v")))
+    found = ranked.groupBy(*names, "prob", "n", "frac").agg(holds("r_lo").alias("x"), holds("r_hi").alias("y"))
+    return found.select(*(F.col(n).alias(c) for c, n in zip(groups, names)), "prob", "n",
+                        (F.col("x") + F.col("frac") * (F.col("y") - F.col("x"))).alias("value"))

@@ -3,13 +3,12 @@ batch registry and run/step summaries (S7, T1-T5, F2-F5, F7, F9, J6, X3-X13)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import basename, collapse_ws, split_ws, strip_last
 from ..functions.timefmt import format_elapsed, micros_ntz, parse_date_time_ntz
 from .joins import range_argmax_join
-from ..session import stored_copy
 from .ranking import with_sequence
 
 # The report's positional fields and the scheduler's status word.
@@ -22,23 +21,7 @@ MIN_TOKENS = 12
 DAY_US = 86_400_000_000
 DAY_S = 86_400
 
-# The two job lists of the warehouse load (processing log and box log).
-CDW_JOBS = [
-    "bOncology1Stage", "bDropOncology1_2Index", "bOncology1Base", "bProblemListLoad",
-    "bCreateOncology1_2Index", "bDropCdwIndex", "bCDWBase", "bInpatientFlowsheetMeasLoad",
-    "bEncTransLoad", "bCreateCdwIndex", "bAdwCdwPatientMapMain", "bDropPhq9Index",
-    "bPhq9QuestionResponseDsLoad", "bCreatePhq9Index", "bDropStageServCatIndex", "bServCategoryStage",
-    "bCreateStageServCatIndex", "bDropCdwServCatIndex", "bServCategoryBase", "bCreateCdwServCatIndex",
-    "bDropStorkIndex", "bStorkBase", "bCreateStorkIndex", "bDropActPatIndex", "bActivePatient_Dimload",
-    "bActivePatient_Factload", "bCreateActPatIndex", "bDropAdmissionIndex", "bAdmission_Dimload",
-    "bAdmission_Factload", "bCreateAdmissionIndex", "bDropMedicationIndex", "bMedication_Dimload",
-    "bMedication_Factload", "bCreateMedicationIndex", "bOpsSendEmail-CDW-Completed",
-]
-BOX_JOBS = [
-    "bDropCdwIndex", "bCreateOncology1_2Index", "bCdwPatientGeocode", "bInpatientFlowsheetMeasLoad",
-    "bCreatePhq9Index", "bCreateCdwServCatIndex", "bCreateActPatIndex", "bCreateAdmissionIndex",
-    "bCreateMedicationIndex", "bCreateStorkIndex",
-]
+# Fixed value: the job that opens the box of the warehouse load.
 BOX_START_JOB = "bDropCdwIndex"
 
 
@@ -46,16 +29,25 @@ def _tokens(lines: DataFrame, value_col: str) -> DataFrame:
     return lines.withColumn("_tok", split_ws(collapse_ws(F.col(value_col))))
 
 
-def parse_report(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Report lines -> the 10 text fields of a run.
+def _body(lines: DataFrame, value_col: str, header_lines: int | None) -> DataFrame:
+    """The lines behind the header: by their place in the file, or, without places, by their look."""
+    if header_lines is None:
+        return lines.where(~F.col(value_col).rlike(HEADER_PATTERN))
+    return lines.where(F.col("line_no") > header_lines)
 
-    Header lines and blank lines are skipped; a line whose status field is not
+
+def parse_report(lines: DataFrame, value_col: str = "value", header_lines: int | None = None) -> DataFrame:
+    """Report lines -> the 10 text fields of a run.
+
+    With ``header_lines`` the first so many lines of each report are skipped, whatever they
+    look like (``lines`` has ``line_no``, see ``sources.read_report_lines``); without, lines that
+    look like a header.  Blank lines are skipped; a line whose status field is not
     ``Finished`` takes its status from field 12 without its last character
     (``(Status = Aborted)`` -> ``Aborted``).  Short lines are left out here and
     listed by ``report_rejects``.
     """
-    t = _tokens(lines, value_col)
-    ok = t.where(~F.col(value_col).rlike(HEADER_PATTERN) & (F.size("_tok") >= MIN_TOKENS))
+    t = _tokens(_body(lines, value_col, header_lines), value_col)
+    ok = t.where(F.size("_tok") >= MIN_TOKENS)
     # get() is null past the end instead of failing: the optimizer may evaluate
     # these before the length filter once predicates are pushed down
     field = lambda i: F.get(F.col("_tok"), F.lit(i))
@@ -67,11 +59,10 @@ def parse_report(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return ok.select(F.inline(F.array(row)))
 
 
-def report_rejects(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def report_rejects(lines: DataFrame, value_col: str = "value", header_lines: int | None = None) -> DataFrame:
     """Lines that are neither header nor blank but have too few fields."""
-    t = _tokens(lines, value_col)
-    return t.where(~F.col(value_col).rlike(HEADER_PATTERN) & (F.size("_tok") > 0)
-                   & (F.size("_tok") < MIN_TOKENS)).drop("_tok")
+    t = _tokens(_body(lines, value_col, header_lines), value_col)
+    return t.where((F.size("_tok") > 0) & (F.size("_tok") < MIN_TOKENS)).drop("_tok")
 
 
 def filter_jobs(runs: DataFrame, jobs) -> DataFrame:
@@ -99,12 +90,9 @@ def box_elapsed(runs: DataFrame, start_job: str = BOX_START_JOB, window_days: in
     ``keep_unmatched``).  Ties on the end instant go to the smallest job name;
     the printed fields depend only on the end instant.
     """
-    # The join reads the runs in several branches (starts, ends, probes, payload);
-    # store the finished runs once, reliably, so the parse is not repeated per branch.
-    fin = stored_copy(runs.where(F.col("status") == FINISHED).select(
-        "job_name", "start_date", "start_time", "start_day", "end_date", "end_time", "end_day"))
-    # The report prints whole seconds, so the range join runs on epoch seconds: an
-    # exact coordinate with 20 fewer bits than microseconds, hence fewer bucket levels.
+    fin = runs.where(F.col("status") == FINISHED).select(
+        "job_name", "start_date", "start_time", "start_day", "end_date", "end_time", "end_day")
+    # The report prints whole seconds, so the range join runs on epoch seconds.
     def seconds(d, t):
         return F.floor(micros_ntz(parse_date_time_ntz(d, t)) / F.lit(1_000_000)).cast("bigint")
 
@@ -150,6 +138,56 @@ def register_new(registry: DataFrame, programs: DataFrame, path_col: str = "prog
             .unionByName(new_rows.select(id_col, name_col, F.lit(True).alias("is_new"), *fresh)))
 
 
+REGISTRY = "batch_run_id bigint, batch_name string, batch_system_id bigint, insert_ts {0}, mod_ts {0}, delete_ts {0}"
+
+
+def sync_registry(registry: DataFrame | None, programs: DataFrame, now: Column, path_col: str = "program",
+                  system_col: str | None = None) -> DataFrame:
+    """The batch registry after a snapshot of the programs in use, by a keyed full outer
+    comparison with a digest of the attributes.
+
+    ``registry`` (columns of REGISTRY; None: empty) against ``programs`` (a path or name, and a
+    system id if ``system_col`` is given).  Returns the registry with ``action``:
+
+    * ``insert``: a new name; ids go on after the largest one in name order, ``insert_ts`` and
+      ``mod_ts`` are ``now``;
+    * ``change``: a known name with another system id; it takes that, ``mod_ts`` is ``now``;
+    * ``delete``: a live name that the snapshot lacks; ``delete_ts`` and ``mod_ts`` are ``now``;
+    * ``reinsert``: a deleted name that is back; ``delete_ts`` is null again, ``mod_ts`` is ``now``;
+    * ``keep``: the rest, unchanged.
+
+    A name that occurs several times in the snapshot has its smallest system id; programs
+    without a name are left out.  Registry names are unique."""
+    system = F.col(system_col).cast("bigint") if system_col else F.lit(None).cast("bigint")
+    seen = (programs.select(basename(F.col(path_col)).alias("_name"), system.alias("_system"))
+            .where(F.col("_name") != "").groupBy("_name").agg(F.min("_system").alias("_system")))
+    spark = programs.sparkSession
+    if registry is None:
+        registry = spark.createDataFrame([], REGISTRY.format(spark.range(1).select(now.alias("t")).schema[0].dataType.simpleString()))
+    registry = registry.select(*(c.split()[0] for c in REGISTRY.split(", ")))
+    digest = lambda c: F.xxhash64(F.col(c).isNull(), F.col(c))
+    both = registry.withColumn("_known", F.lit(True)).join(
+        seen.withColumn("_seen", F.lit(True)), F.col("batch_name") == F.col("_name"), "full_outer")
+    known, here, dead = F.col("_known").isNotNull(), F.col("_seen").isNotNull(), F.col("delete_ts").isNotNull()
+    action = (F.when(~known, "insert").when(here & dead, "reinsert")
+              .when(here & (digest("batch_system_id") != digest("_system")), "change")
+              .when(~here & ~dead, "delete").otherwise("keep"))
+    both = both.withColumn("action", action)
+    moved = F.col("action") != "keep"
+    old = both.where("_known").select(
+        "batch_run_id", "batch_name",
+        F.when(here, F.col("_system")).otherwise(F.col("batch_system_id")).alias("batch_system_id"), "insert_ts",
+        F.when(moved, now).otherwise(F.col("mod_ts")).alias("mod_ts"),
+        F.when(F.col("action") == "delete", now).when(here, F.lit(None)).otherwise(F.col("delete_ts")).alias("delete_ts"), "action")
+    top = registry.agg(F.max("batch_run_id")).first()[0] or 0   # one number
+    new = with_sequence(both.where("_known is null").select("_name", "_system"), ["_name"], "batch_run_id", start=int(top) + 1)
+    kind = registry.schema["insert_ts"].dataType
+    return old.unionByName(new.select(
+        "batch_run_id", F.col("_name").alias("batch_name"), F.col("_system").alias("batch_system_id"),
+        now.cast(kind).alias("insert_ts"), now.cast(kind).alias("mod_ts"), F.lit(None).cast(kind).alias("delete_ts"),
+        F.lit("insert").alias("action")))
+
+
 def run_summary(step_events: DataFrame, run_col: str = "run_id", step_col: str = "step",
                 ts_col: str = "ts", status_col: str = "status", event_col: str | None = None,
                 stop_status: str = "FS") -> DataFrame:

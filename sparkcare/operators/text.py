@@ -2,12 +2,13 @@
 
 Sentiment is lexicon based (the published valence-sum method: compound =
 s / sqrt(s^2 + 15); positive / negative / neutral shares from per-token
-valences).  The word list is a table of any size.  The rule
-heuristics of the original package (negation, boosters, capitals) and its word
-list are not reproduced, so scores are not claimed equal to it.
+valences), plain (``with_sentiment``) or with rules over the words around a hit
+(``with_rule_sentiment``).  Words, valences and rule weights are this library's own, set by hand for
+patient answers; scores are not claimed equal to any package's.
 
-Every text is scored whole: tokens are exploded and re-aggregated per text with
-map-side partial aggregation, so a long text is folded inside its own task.
+Every text is scored whole.  A word list of at most MAX_INLINE words goes into the plan as a literal
+and every row is scored where it stands: one hash lookup of its tokens against the list leaves
+the few hits, so no text is shuffled.  A longer list is joined to the exploded tokens.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ TOKEN_SPLIT = r"[^a-z']+"
 ALPHA = 15.0
 POSITIVE_AT, NEGATIVE_AT = 0.05, -0.05
 
-# A small general-purpose English valence list (scale -4 .. +4).
+# A small English valence list of our own, set by hand (scale -4 .. +4).
 DEFAULT_LEXICON = [
     ("abandon", -1.9), ("able", 1.0), ("accept", 1.5), ("ache", -1.6), ("awful", -2.0), ("bad", -2.5),
     ("best", 3.2), ("better", 1.9), ("broken", -1.8), ("calm", 1.3), ("comfort", 1.5), ("cure", 1.9),
@@ -47,13 +48,13 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT, -1), lambda w: w != F.lit(""))
 
 
-def _finish_scores(s, pos, neg, neu) -> list[Column]:
+def _finish_scores(s, pos, neg, neu, unit: int = 1) -> list[Column]:
     """neg, neu, pos shares (rounded to 3) and compound (rounded to 4) from the
-    valence sum ``s``, positive sum, negative sum and neutral count (all in
-    thousandths of a valence point, exact integers)."""
-    s = s.cast("double") / 1000.0
-    pos = pos.cast("double") / 1000.0
-    neg = F.abs(neg.cast("double")) / 1000.0
+    valence sum ``s``, positive sum, negative sum and neutral count (sums are exact integers,
+    ``unit`` to a thousandth of a valence point)."""
+    s = s.cast("double") / (1000.0 * unit)
+    pos = pos.cast("double") / (1000.0 * unit)
+    neg = F.abs(neg.cast("double")) / (1000.0 * unit)
     neu = neu.cast("double")
     total = pos + neg + neu
     share = lambda x: F.when(total > 0, F.round(F.abs(x / total), 3)).otherwise(F.lit(0.0))
@@ -61,18 +62,52 @@ def _finish_scores(s, pos, neg, neu) -> list[Column]:
             F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4).alias("compound")]
 
 
-def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame) -> DataFrame:
+MAX_INLINE = 10_000
+
+
+def _thousandths(lexicon: DataFrame) -> DataFrame:
+    """_w, _mv: each word once, with its largest valence in thousandths."""
+    return (lexicon.where(F.col("word").isNotNull()).groupBy(F.col("word").alias("_w"))
+            .agg((F.max("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("_mv")))
+
+
+def _inline_words(lexicon: DataFrame, limit: int) -> list[tuple[str, int]] | None:
+    """The words with a valence, or None if there are more than ``limit``."""
+    rows = _thousandths(lexicon).where("_mv <> 0").limit(limit + 1).collect()
+    return sorted((r["_w"], r["_mv"]) for r in rows) if len(rows) <= limit else None
+
+
+def _looked_up(words: list[tuple[str, int]]) -> tuple[Column, Column]:
+    """Array literals of words and valences."""
+    return (F.array(*(F.lit(w) for w, _ in words)).cast("array<string>"),
+            F.array(*(F.lit(v) for _, v in words)).cast("array<bigint>"))
+
+
+def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, max_inline: int = MAX_INLINE) -> DataFrame:
     """Adds neg, neu, pos and compound to every row of ``df``; null or
     empty text scores 0.  A word listed twice in the lexicon counts once (its largest
-    valence).
-
-    A score depends on the text alone, so texts are scored by their digest: tokens are
-    exploded, joined to the lexicon (any size; the planner picks the join) and summed per
+    valence)."""
+    words = _inline_words(lexicon, max_inline)
+    if words is None:
+        return _sentiment_by_join(df, text_col, _thousandths(lexicon))
+    listed, valences = _looked_up(words)
+    rows = df.withColumn("_tokens", tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    rows = rows.withColumn("_hits", F.array_intersect("_tokens", listed))  # distinct, by hash
+    rows = rows.withColumn("_found", F.when(F.size("_hits") == 0, F.array().cast("array<bigint>")).otherwise(F.transform(
+        F.filter("_tokens", lambda t: F.array_contains("_hits", t)),
+        lambda t: F.element_at(valences, F.array_position(listed, t).cast("int")))))
+    add = lambda keep, by: F.aggregate(F.filter("_found", keep), F.lit(0).cast("bigint"), lambda s, v: s + v + by)
+    scores = _finish_scores(add(lambda v: v != 0, 0), add(lambda v: v > 0, 1000), add(lambda v: v < 0, -1000),
+                            F.size("_tokens") - F.size("_found"))
+    return rows.select(*df.columns, *scores)
+
+
+def _sentiment_by_join(df: DataFrame, text_col: str, lex: DataFrame) -> DataFrame:
+    """``with_sentiment`` for a word list of any size.  A score depends on the text alone, so
+    texts are scored by their digest: tokens are exploded, joined to the words and summed per
     digest with map-side partial aggregation, then joined back to the rows.  Repeated
     texts add up to a whole multiple that the count of their first tokens divides out, so
     row ids, null or repeated, play no part."""
-    lex = (lexicon.groupBy(F.col("word").alias("_w"))
-           .agg((F.max("valence").cast("decimal(12,3)") * 1000).cast("bigint").alias("_mv")))
     rows = df.withColumn("_text_md5", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     tok = rows.select("_text_md5", F.posexplode_outer(tokens(F.coalesce(F.col(text_col), F.lit("")))).alias("_at", "_w"))
     v = F.coalesce(F.col("_mv"), F.lit(0).cast("bigint"))
@@ -87,6 +122,75 @@ def with_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame) -> DataFram
     return rows.join(scores, "_text_md5").select(*df.columns, "neg", "neu", "pos", "compound")
 
 
+# Fixed values of the rules, our own.  Weights are thousandths of a valence point; a negation
+# turns a valence and takes a quarter of it; of two clauses around the last "but" the first counts
+# half and the second one and a half times.
+NEGATORS = ["aint", "ain't", "can't", "cannot", "couldn't", "didn't", "doesn't", "don't", "hardly", "isn't", "never",
+            "no", "none", "nor", "not", "nothing", "rarely", "wasn't", "without", "won't", "wouldn't"]
+BOOSTERS = ["completely", "especially", "extremely", "highly", "much", "really", "so", "too", "totally", "very"]
+DAMPERS = ["almost", "barely", "fairly", "partly", "slightly", "somewhat"]
+BOOST_AT = (300, 200, 100)   # one, two and three words before the hit
+CAPITALS, EXCLAMATION, MOST_EXCLAMATIONS = 700, 300, 4
+REACH = 3
+UNIT = 8  # values are eighths of a thousandth, so that every rule gives whole numbers
+
+
+def with_rule_sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, max_words: int = MAX_INLINE) -> DataFrame:
+    """M9 with rules: adds neg, neu, pos, compound and n_hits, the number of words scored.
+
+    For each word of the lexicon (words of NEGATORS, BOOSTERS and DAMPERS only steer), in order:
+
+    1. capitals: a hit in capitals (two letters at least) in a text that has other words too gains
+       CAPITALS in the direction of its valence;
+    2. each of the REACH words before it that is a booster (damper) adds (takes) BOOST_AT by
+       distance;
+    3. a negator among those words turns the value and leaves three quarters of it;
+    4. before the last "but" it counts half, behind it one and a half times.
+
+    Up to MOST_EXCLAMATIONS exclamation marks each add EXCLAMATION to the sum, in its direction.
+    Null or empty text scores 0.  The lexicon may have ``max_words`` words; more raise
+    ValueError."""
+    words = _inline_words(lexicon, max_words)
+    if words is None:
+        raise ValueError(f"the word list has more than {max_words} words")
+    steering = {*NEGATORS, *BOOSTERS, *DAMPERS}
+    listed, valences = _looked_up([(w, v) for w, v in words if w not in steering])
+    literal = lambda xs: F.array(*map(F.lit, xs))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # Boundaries are those of the lower-cased text, for both forms.
+    rows = df.withColumn("_raw", F.filter(F.split(text, "[^A-Za-z']+", -1), lambda w: w != ""))
+    rows = rows.withColumn("_tokens", F.transform("_raw", lambda w: F.lower(w)))
+    rows = rows.withColumn("_hits", F.array_intersect("_tokens", listed))
+    rows = rows.withColumn("_mixed", F.exists("_raw", lambda w: w != F.upper(w)))
+    last = F.size("_tokens") - F.array_position(F.reverse("_tokens"), F.lit("but"))
+    rows = rows.withColumn("_but", F.when(F.array_contains("_tokens", "but"), last).otherwise(F.lit(-1)).cast("int"))
+    at = F.filter(F.sequence(F.lit(0), F.size("_tokens") - 1), lambda i: F.array_contains("_hits", F.get("_tokens", i)))
+    rows = rows.withColumn("_at", F.when(F.size("_hits") == 0, F.array().cast("array<int>")).otherwise(at))
+
+    def value(i: Column) -> Column:
+        word, raw = F.get("_tokens", i), F.get("_raw", i)
+        v = F.element_at(valences, F.array_position(listed, word).cast("int"))
+        sign = F.signum(v).cast("bigint")
+        v = v + F.when(F.col("_mixed") & (F.length(raw) > 1) & (raw == F.upper(raw)), sign * CAPITALS).otherwise(0)
+        turned = F.lit(False)
+        for d in range(1, REACH + 1):
+            before = F.get("_tokens", i - d)
+            v = v + sign * (F.when(F.array_contains(literal(BOOSTERS), before), BOOST_AT[d - 1])
+                            .when(F.array_contains(literal(DAMPERS), before), -BOOST_AT[d - 1]).otherwise(0))
+            turned = turned | F.coalesce(F.array_contains(literal(NEGATORS), before), F.lit(False))
+        v = v * F.when(turned, -UNIT * 3 // 4).otherwise(UNIT)
+        return F.when(F.col("_but") < 0, v).when(i < F.col("_but"), v / 2).otherwise(v * 3 / 2).cast("bigint")
+
+    rows = rows.withColumn("_found", F.transform("_at", value))
+    add = lambda keep, by: F.aggregate(F.filter("_found", keep), F.lit(0).cast("bigint"), lambda s, v: s + v + by)
+    rows = rows.withColumn("_sum", add(lambda v: v != 0, 0)).withColumn(
+        "_marks", F.least(F.lit(MOST_EXCLAMATIONS), F.regexp_count(text, F.lit("!"))) * EXCLAMATION * UNIT)
+    total = F.col("_sum") + F.signum("_sum").cast("bigint") * F.col("_marks")
+    scores = _finish_scores(total, add(lambda v: v > 0, 1000 * UNIT), add(lambda v: v < 0, -1000 * UNIT),
+                            F.size("_tokens") - F.size(F.filter("_found", lambda v: v != 0)), unit=UNIT)
+    return rows.select(*df.columns, *scores, F.size("_at").alias("n_hits"))
+
+
 def overall_rating(compound: Column) -> Column:
     """F8: Positive at >= 0.05, Negative at <= -0.05, else Neutral."""
     return F.when(compound >= POSITIVE_AT, "Positive").when(compound <= NEGATIVE_AT, "Negative").otherwise("Neutral")
@@ -171,6 +275,42 @@ def hashed_document_vectors(docs: DataFrame, id_col: str, text_col: str, vectors
         id_col, mean.alias("features"))
 
 
+def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int = 2, min_count: int = 5,
+                    nonzeros: int = 4, seed: int = 7) -> DataFrame:
+    """M12, vectors learned from the corpus: word, n, vector (array<bigint> of ``dims``).
+
+    A word's vector is its row of the co-occurrence matrix (words at most ``window`` tokens apart in a
+    text), each context weighted by how rare it is, projected to ``dims`` dimensions at random:
+    a context word adds ``nonzeros`` signs at places that its hash gives.  Words used in the same
+    contexts get close vectors.  Counts and weights are whole numbers, so sums are exact in any order.
+
+    The vocabulary is every word with ``min_count`` occurrences over all texts; rarer words have no
+    vector (``document_vectors`` skips them) but count as contexts.  The weight of a context
+    is the number of binary digits of (tokens of the corpus div its occurrences).  Contexts of a
+    word are counted before they meet their projection: a frequent pair is one row per task."""
+    texts = docs.select(tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("all")).where(F.size("all") > 0)
+    counts = texts.select(F.explode("all").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    places = F.sequence(F.lit(0), F.size("all") - 1)
+    around = F.transform(places, lambda i: F.struct(F.get("all", i).alias("w"), F.array(
+        *(F.get("all", i + d) for d in range(-window, window + 1) if d)).alias("near")))
+    pairs = (texts.select(F.inline(around)).select("w", F.explode("near").alias("c")).where(F.col("c").isNotNull())
+             .groupBy("w", "c").agg(F.count(F.lit(1)).alias("k")))
+    all_tokens = counts.agg(F.sum("n").alias("total"))  # one row
+    weighted = counts.join(F.broadcast(all_tokens), F.lit(True)).select(
+        F.col("w").alias("c"), F.length(F.bin(F.expr("total div n"))).cast("bigint").alias("weight"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("c")))
+    number = lambda i: F.conv(F.substring(digest, 1 + 4 * i, 4), 16, 10).cast("bigint")
+    spots = F.array(*(F.struct((number(i) % dims).cast("int").alias("dim"), F.when(
+        F.floor(number(i) / dims) % 2 == 0, 1).otherwise(-1).cast("bigint").alias("sign")) for i in range(nonzeros)))
+    sums = (pairs.join(weighted, "c").select("w", (F.col("k") * F.col("weight")).alias("x"), F.inline(spots))
+            .groupBy("w", "dim").agg(F.sum(F.col("x") * F.col("sign")).alias("x")))
+    held = sums.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"))  # dims entries
+    vector = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
+    return (counts.where(F.col("n") >= min_count).join(held, "w", "left")
+            .withColumn("m", F.coalesce("m", F.create_map().cast("map<int,bigint>")))
+            .select(F.col("w").alias("word"), "n", vector.alias("vector")))
+
+
 def with_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """1, 2, ... in ``order`` over the whole frame, without a single-task window."""
     from .ranking import with_sequence

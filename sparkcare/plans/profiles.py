@@ -9,6 +9,7 @@ from ..operators.combine import concat_by_name, concat_strict
 from ..operators.cost import encode_categories
 from . import oracle_roles as R
 from . import roles
+from ..sources.tables import TABLE_NAMES
 from .registry import register
 
 NUMERIC = ["age", "bmi", "children", "charges"]
@@ -80,6 +81,50 @@ def _nully(t):
                     F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("o_orderpriority"))
 
 
+_PARTS_SQL = """SELECT p_brand, nullif(p_type, 'ECONOMY BRASS') AS p_type, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size END AS p_size
+  FROM part"""
+
+
+def _parts(t):
+    return t["part"].select("p_brand", F.nullif(F.col("p_type"), F.lit("ECONOMY BRASS")).alias("p_type"),
+                            F.when(F.col("p_partkey") % 5 == 0, F.lit(None)).otherwise(F.col("p_size")).alias("p_size"))
+
+
+@register("group_arrays", f"""
+WITH p AS ({_PARTS_SQL}),
+t AS (SELECT p_brand, p_type, row_number() OVER (PARTITION BY p_brand ORDER BY p_type NULLS FIRST) - 1 AS pos FROM p),
+s AS (SELECT p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY p_size NULLS FIRST) - 1 AS pos FROM p)
+SELECT t.p_brand, CAST(t.pos // {_GROUP_LIST_CHUNK} AS BIGINT) AS chunk_no, any_value(n.group_count) AS group_count,
+       list(t.p_type ORDER BY t.pos) AS p_type, list(s.p_size ORDER BY t.pos) AS p_size
+FROM t JOIN s ON t.p_brand = s.p_brand AND t.pos = s.pos JOIN (SELECT p_brand, count(*) AS group_count FROM p GROUP BY p_brand) n
+  ON n.p_brand = t.p_brand GROUP BY t.p_brand, chunk_no""")
+def q_group_arrays(t, spark):
+    """A4: per brand its number of parts and the sorted types and sizes as arrays of their own
+    type, nulls kept, 50 values to a row."""
+    return P.group_arrays(_parts(t), "p_brand", ["p_type", "p_size"], chunk_size=_GROUP_LIST_CHUNK)
+
+
+@register("group_value_counts", f"""
+WITH c AS (SELECT p_brand, p_size, count(*) AS n FROM ({_PARTS_SQL}) GROUP BY p_brand, p_size),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size NULLS FIRST) - 1 AS pos FROM c)
+SELECT p_brand, CAST(pos // {_GROUP_LIST_CHUNK} AS BIGINT) AS chunk_no, list(p_size ORDER BY pos) AS size_values,
+       list(n ORDER BY pos) AS size_counts FROM r GROUP BY ALL""")
+def q_group_value_counts(t, spark):
+    """A4: per brand the distinct sizes, a null among them, and their counts."""
+    found = P.group_value_counts(_parts(t), "p_brand", "p_size", chunk_size=_GROUP_LIST_CHUNK)
+    return found.select("p_brand", "chunk_no", F.col("value_counts.value").alias("size_values"),
+                        F.col("value_counts.count").alias("size_counts"))
+
+
+@register("empty_tables", "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) = 0 AS is_empty FROM {n}{w}" for n, w in
+    [(n, "") for n in TABLE_NAMES] + [("orders", " WHERE o_totalprice < 0")]).replace(
+    "SELECT 'orders' AS table_name, count(*) = 0 AS is_empty FROM orders WHERE", "SELECT 'orders below 0', count(*) = 0 FROM orders WHERE"))
+def q_empty_tables(t, spark):
+    """Which tables have no row, and a filtered one that has none."""
+    return P.empty_tables({**{n: t[n] for n in TABLE_NAMES}, "orders below 0": t["orders"].where("o_totalprice < 0")})
+
+
 @register("null_counts", f"""
 WITH t AS ({_NULLY_SQL})
 SELECT 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_count FROM t

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators.defaults import add_row
+from ..session import ensure_checkpoint_dir
 from .registry import register
 
 RUN_DATE = "2024-02-01"          # run date printed in the accuracy table (fixed for the proof)
@@ -76,6 +79,25 @@ def q_dq_suite(t, spark):
     return Q.run_suite(ents, exps, run_date=RUN_DATE)
 
 
+@register("concat_parquet", """
+SELECT '02/01/24' AS date_time, 'lineitem' AS process_name, CAST(50000 AS BIGINT) AS expected_min_rowcount,
+  CAST(70000 AS BIGINT) AS expected_max_rowcount, count(*) BETWEEN 50000 AND 70000 AS meets_rowcount_expectation,
+  true AS all_columns_match, count(DISTINCT line_key) = count(line_key) AS columns_are_unique,
+  'l_extendedprice' AS "column", 'double' AS column_type_expected,
+  CASE typeof(any_value(l_extendedprice)) WHEN 'DOUBLE' THEN 'double' END AS column_type_actual,
+  typeof(any_value(l_extendedprice)) = 'DOUBLE' AS column_type_matches
+FROM (SELECT l_orderkey * 8 + l_linenumber AS line_key, * FROM lineitem)""")
+def q_concat_parquet(t, spark):
+    """Two extracts of lineitem concatenated, written as Parquet, read back, checked."""
+    li = t["lineitem"].select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_key"),
+                              "l_returnflag", "l_quantity", "l_extendedprice")
+    parts = [li.where(F.col("l_returnflag") == "R"), li.where(F.col("l_returnflag") != "R")]
+    exp = Q.Expectations(min_rows=50_000, max_rows=70_000, unique_column="line_key", type_column="l_extendedprice",
+                         expected_type="double", columns=["l_quantity", "line_key", "l_returnflag", "l_extendedprice"])
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    return Q.checked_concat(parts, path, "lineitem", exp, run_date=RUN_DATE)
+
+
 _DEFAULT_SRC_SQL = """SELECT o_orderkey AS order_id, o_custkey AS cust_no, o_orderstatus AS status_cd,
   o_totalprice AS total_amt, o_orderpriority AS priority_txt, CAST(o_orderdate AS DATE) AS order_dt,
   o_orderdate AS order_ts, CASE WHEN o_orderstatus = 'O' THEN 'Y' ELSE 'N' END AS open_flg,

@@ -19,10 +19,13 @@ Fixed values of the mapping
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import ensure_checkpoint_dir
+from ..sources.files import read_report_lines
 
 from ..functions.timefmt import format_elapsed, micros_ntz
 
@@ -141,13 +144,10 @@ def job_runs(t):
         F.when(F.col("value") < 5, "Aborted").otherwise("Finished").alias("status"))
 
 
-def report_lines(t, captured: bool = True) -> DataFrame:
-    """The runs printed as scheduler report lines (plus one header line per job),
-    with runs of blanks between some fields, as the report tool prints them.
-
-    ``captured``: persist the lines with a reliable checkpoint, as captured report
-    files would be; parsing then starts from stored text (like ``read.text``)
-    instead of the optimizer folding the printing into every parse predicate."""
+def printed_reports(t) -> DataFrame:
+    """report, place, value: the runs as a scheduler's report tool prints them, one report for each project
+    and week, with runs of blanks between some fields.  The first line of a report (place 0)
+    is its title, which has as many words as a run."""
     r = job_runs(t)
 
     def parts(ts):
@@ -158,14 +158,22 @@ def report_lines(t, captured: bool = True) -> DataFrame:
             .otherwise(F.concat(F.lit("(Status = "), F.col("status"), F.lit(")")))
     body = F.concat_ws(" ", *parts(F.col("start_ts")), *parts(F.col("end_ts")),
                        format_elapsed(F.col("elapsed_s") * 1_000_000), F.col("project"), tail)
-    lines = r.select(F.concat(F.col("job_name"), F.lit("    "), body, F.lit("  ")).alias("value"))
-    headers = t["events"].select("event_type").distinct().select(
-        F.concat(F.lit("Job Name        Started   Finished   Elapsed  Project  Status  "),
-                 F.col("event_type")).alias("value"))
-    out = lines.unionByName(headers)
-    if captured:
-        out = reliable_checkpoint(out)
-    return out
+    report = F.concat_ws("_", "project", F.weekofyear("start_ts").cast("string"))
+    lines = r.select(report.alias("report"), F.lit(1).alias("place"),
+                     F.concat(F.col("job_name"), F.lit("    "), body, F.lit("  ")).alias("value"))
+    titles = r.select(report.alias("report")).distinct().select("report", F.lit(0).alias("place"), F.concat(
+        F.lit("runs of all jobs as printed for report "), F.col("report"), F.lit(" at the end of week")).alias("value"))
+    return lines.unionByName(titles)
+
+
+def report_lines(t) -> DataFrame:
+    """The printed reports written as text files, one folder with one file for each report (a report's
+    lines meet in one task, which sorts the title to the top), and read back as numbered lines."""
+    reports = printed_reports(t)
+    path = f"{ensure_checkpoint_dir(reports.sparkSession).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    (reports.repartition("report").sortWithinPartitions("report", "place").select("report", "value")
+     .write.partitionBy("report").text(path))
+    return read_report_lines(reports.sparkSession, path, numbered=True)
 
 
 # ---- W8: patient responses -------------------------------------------------------

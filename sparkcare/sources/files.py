@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,13 +25,26 @@ def read_csv_columns(spark: SparkSession, path: str, columns: list[str],
     return read_csv(spark, path, schema=schema, **options).select(*columns)
 
 
-def read_report_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Captured scheduler reports (one or many files, or a folder) as lines.
+def read_report_lines(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """Captured scheduler reports (one or many files, or a folder) as lines.
 
     Columns: ``value`` (the line) and ``source_file`` (file name, one report per
-    job run of the report tool)."""
-    return (spark.read.text(path)
-            .select(F.col("value"), F.col("_metadata.file_name").alias("source_file")))
+    job run of the report tool).  ``numbered`` adds ``line_no``, the line's place in its file from
+    1 on: a file is read in splits, so lines are counted per split (a table of one row for
+    each split), and a line's number is its place in the split plus the lines of the splits
+    before it.  Splits and their order are those of the scan, the same when a task runs again."""
+    lines = spark.read.text(path)
+    named = [F.col("value"), F.col("_metadata.file_name").alias("source_file")]
+    if not numbered:
+        return lines.select(*named)
+    lines = lines.select(*named, F.col("_metadata.file_path").alias("_path"),
+                         F.col("_metadata.file_block_start").alias("_split"),
+                         F.monotonically_increasing_id().alias("_row"))
+    earlier = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("_path", "_split").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    splits = splits.select("_path", "_split", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return lines.join(splits, ["_path", "_split"]).select(
+        "value", "source_file", (F.col("_row") + F.col("_shift") + 1).alias("line_no"))
 
 
 def jdbc_reader_options(url: str, query: str | None = None, table: str | None = None,
