@@ -53,6 +53,7 @@ SPILL = 1 << 20
 RADIX = 64
 FAN = 64
 GROUP_BYTES = 32 << 20
+IDS = 1 << 16  # ids are below, so that a pair is a 32-bit key
 SHIFT = np.uint64(32)
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -86,6 +87,8 @@ class Pair:
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
             self.cut &= "▁" not in piece.lstrip("▁")
+        if max(len(self.a_bytes), len(self.b_bytes)) > IDS:
+            raise ValueError(f"a vocabulary has more than {IDS} ids")
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
 
@@ -107,20 +110,21 @@ def load(a_name: str, b_name: str) -> Pair:
     return Pair(a_name, b_name)
 
 
-def segments(text: str) -> list[str]:
-    """Parts of ``text`` whose encodings, each as a text of its own, follow one another."""
+def segments(text: str) -> tuple[list[str], bool]:
+    """Parts of ``text`` whose encodings, each as a text of its own, follow one another, and
+    whether the parts of this and other such texts may be encoded end to end in any order."""
     if "▁" in text:  # the character that B writes for a space
-        return [text]
+        return [text], False
     parts = text.split(" ")
     if not TROUBLE.search(text):
-        return parts
+        return parts, True
     out = [parts[0]]
     for p in parts[1:]:
         if out[-1] and p and not (out[-1][-1].isspace() or p[0].isspace()):
             out.append(p)
         else:
             out[-1] += " " + p
-    return out
+    return out, False
 
 
 class Aligner:
@@ -135,25 +139,25 @@ class Aligner:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.groups: list[str | None] = []  # None: the tokens don't give back the bytes
+        self.groups: list[bytes | None] = []  # None: the tokens don't give back the bytes
         self.counts = np.zeros((0, 4), np.int64)
         self.length = np.zeros(0, np.int64)
         self.keys, self.links = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The segments of each text, by number."""
-        cut = [(segments(t) if self.pair.cut else [t]) if t else [] for t in texts]
+        cut = [(segments(t) if self.pair.cut else ([t], False)) if t else ([], True) for t in texts]
         if len(self.known) > MEMO or len(self.keys) > MEMO_PAIRS:
             self.forget()
-        self.learn(list(set().union(*cut).difference(self.known)))
+        whole = set().union(*(parts for parts, clean in cut if clean)).difference(self.known)
+        alone = set().union(*(parts for parts, clean in cut if not clean)).difference(self.known, whole)
+        self.learn(list(whole), list(alone))
         self.begin = np.cumsum(self.length) - self.length
-        return [list(map(self.known.__getitem__, c)) for c in cut]
+        return [list(map(self.known.__getitem__, parts)) for parts, _ in cut]
 
-    def learn(self, new: list[str]) -> None:
-        """Encode segments: those without white space at an end as one text, for they follow one
-        another like words of a text; the others, and where that fails, one by one."""
-        whole = [t for t in new if self.pair.cut and t and not (t[0].isspace() or t[-1].isspace() or "▁" in t)]
-        alone = list(set(new).difference(whole))
+    def learn(self, whole: list[str], alone: list[str]) -> None:
+        """Encode segments: those that follow one another like words of a text as one text, the
+        others, and where that fails, one by one."""
         held, a, b = [], [], []
         lo = size = 0
         for hi, t in enumerate(whole, start=1):
@@ -188,7 +192,9 @@ class Aligner:
         """Groups and links of segments that stand end to end."""
         ends = np.cumsum([len(t.encode()) + 1 for t in held])
         a_ends, b_ends = np.cumsum(self.pair.a_length[a]), np.cumsum(self.pair.b_length[b])
-        both, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        i = np.searchsorted(a_ends, b_ends)
+        j = np.flatnonzero(a_ends[i] == b_ends)  # both end with the last segment
+        i, both = i[j], b_ends[j]
         of_group = np.searchsorted(ends, both)
         n_a, n_b = np.diff(i, prepend=-1), np.diff(j, prepend=-1)
         n = n_a * n_b
@@ -205,15 +211,11 @@ class Aligner:
         self.keys = np.concatenate([self.keys, (pairs & LOW).astype(np.uint32)])
         self.links = np.concatenate([self.links, links])
 
-        a, b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        texts, lo, at = [], 0, 0
-        for hi, to in zip((i + 1).tolist(), (j + 1).tolist()):
-            texts.append(a[lo] + "|" + b[at] if hi - lo == 1 == to - at else ",".join(a[lo:hi]) + "|" + ",".join(b[at:to]))
-            lo, at = hi, to
-        stops = np.searchsorted(of_group, np.arange(m), "right").tolist()
-        first = len(self.groups)
+        text, stops = written(a, b, n_a, n_b)
+        last = np.searchsorted(of_group, np.arange(m), "right") - 1  # the last group of each segment
+        stops, first = stops[last].tolist(), len(self.groups)
         self.known.update(zip(held, range(first, first + m)))
-        self.groups += [";".join(texts[x:y]) for x, y in zip([0, *stops], stops)]
+        self.groups += [text[x:y] for x, y in zip([0, *stops], stops)]
 
     def measures(self, docs: list[list[int]]) -> list[tuple[int, int, int, int, str]]:
         """n_a, n_b, n_groups, n_links, groups_sha256 of each text."""
@@ -224,7 +226,7 @@ class Aligner:
                 out.append((0, 0, 0, 0, ""))
             else:
                 out.append((*self.counts[numbers].sum(axis=0).tolist(),
-                            hashlib.sha256(";".join(texts).encode()).hexdigest()))
+                            hashlib.sha256(b"".join(texts)[:-1]).hexdigest()))
         return out
 
     def records(self, docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +241,31 @@ class Aligner:
         return (key >> SHIFT).astype(np.uint32), (key & LOW).astype(np.uint32), links
 
 
+@lru_cache(maxsize=1)
+def decimals(below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of each number, one row a number, and how many there are."""
+    texts = np.array([str(k) for k in range(below)], dtype="S7")
+    return texts.view(np.uint8).reshape(below, 7), np.char.str_len(texts).astype(np.int64)
+
+
+def written(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All groups as ``a1,a2|b1;`` one after the other, and where each ends."""
+    start = np.cumsum(n_a + n_b) - (n_a + n_b)
+    ids, sep = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids[np.repeat(start - (np.cumsum(n_a) - n_a), n_a) + np.arange(len(a))] = a
+    ids[np.repeat(start + n_a - (np.cumsum(n_b) - n_b), n_b) + np.arange(len(b))] = b
+    sep[start + n_a - 1], sep[start + n_a + n_b - 1] = ord("|"), ord(";")
+    digits, length = decimals(IDS)
+    size = length[ids]
+    ends = np.cumsum(size + 1)
+    out = np.empty(int(ends[-1]), np.uint8)
+    out[ends - 1] = sep
+    for d in range(int(size.max())):
+        there = np.flatnonzero(size > d)
+        out[(ends[there] - 1 - size[there]) + d] = digits[ids[there], d]
+    return out.tobytes(), ends[start + n_a + n_b - 1]
+
+
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with the sum of their values."""
     order = np.argsort(keys, kind="stable")
