@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import cost as C
 from ..operators import text as TX
+from ..operators.svm import fit_pairs, predict
+from ..session import stored_copy
 from . import oracle_roles as R
 from . import roles
 from .registry import register
@@ -144,8 +146,9 @@ def q_text_classify(t, spark):
                                          t["embeddings"], "vec_id", "embedding")
     classes = [r.lang for r in t["documents"].select("lang").dropna().distinct().orderBy("lang").collect()]
     label = F.array_position(F.array(*map(F.lit, classes)), F.col("lang")) - 1
-    rows = C.hash_split(vectors.join(t["documents"].select("doc_id", label.cast("double").alias("label")), "doc_id")
-                        .select("doc_id", array_to_vector("features").alias("features"), "label"), "doc_id")
+    rows = stored_copy(C.hash_split(vectors.join(  # read by every pass of the fit
+        t["documents"].select("doc_id", label.cast("double").alias("label")), "doc_id"), "doc_id"))
+    rows = rows.withColumn("features", array_to_vector("features"))
     train = rows.where(F.col("is_train") & F.col("label").isNotNull())
     model = TX.train_classifier(train.orderBy(C.hash_bucket("doc_id", 1 << 32), "doc_id").limit(MAX_TRAINING_DOCUMENTS))
     got = TX.classify(model, rows)
@@ -157,6 +160,25 @@ def q_text_classify(t, spark):
                    (hits > most).alias("better_than_majority"))
 
 
+@register("text_classify_pairs")
+def q_text_classify_pairs(t, spark):
+    """Documents as means of word vectors learned from the corpus, one linear SVM for each
+    pair of languages, all pairs fitted in one pass a round, and a class by vote for every
+    document: doc_id, label (null without a language), is_train, prediction, votes."""
+    docs = t["documents"]
+    words = TX.learned_vectors(docs, "text")
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+    unit = words.select("word", F.transform("vector", lambda x: x / F.greatest(norm, F.lit(1.0))).alias("vector"))
+    vectors = TX.document_vectors(docs.select("doc_id", "text"), "doc_id", "text", stored_copy(unit))
+    classes = [r.lang for r in docs.select("lang").dropna().distinct().orderBy("lang").collect()]  # the label set
+    label = F.array_position(F.array(*map(F.lit, classes)), F.col("lang")) - 1
+    rows = vectors.select("doc_id", vector_to_array("features").alias("features")).join(
+        docs.select("doc_id", label.cast("int").alias("label")), "doc_id")
+    rows = stored_copy(C.hash_split(rows, "doc_id"))
+    model = fit_pairs(rows.where("is_train"), len(classes))
+    return predict(model, rows).select("doc_id", "label", "is_train", "prediction", "votes")
+
+
 @register("text_normalize", "SELECT doc_id, upper(source) AS source_txt, upper(lang) AS lang_txt FROM documents")
 def q_text_normalize(t, spark):
     """Upper-case normalisation of the code columns."""

@@ -81,7 +81,7 @@ def test_exact_quantiles_match_numpy(spark):
     a, b = rnd.normal(size=301), rnd.exponential(size=40)
     rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("b", None)]
     probs = [0.0625, 0.25, 0.5, 0.9375, 1.0]
-    q = exact_quantiles(spark.createDataFrame(rows, "g string, x double"), "x", probs, ["g"], num_partitions=5)
+    q = exact_quantiles(spark.createDataFrame(rows, "g string, x double"), "x", probs, ["g"])
     got = {(r.g, r.prob): r.value for r in q.collect()}
     for g, arr in (("a", a), ("b", b)):
         for p in probs:
