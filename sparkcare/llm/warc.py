@@ -1,30 +1,34 @@
 """WARC archives: write records, read them back by boundary-chain verification.
 
-Writing: the text sink puts the magic line between records, so every part file is an
-archive of whole records and no executor opens a file itself.  Of records with equal
+Writing: the text sink puts the end mark between records, so every part file is an
+archive of whole records and no executor opens a file itself.  Plain archives can be split by
+a reader; gzip ones are one gzip member a file and one split each.  Of records with equal
 payloads of MIN_SHARED bytes or more the one with the smallest page id holds the payload
-and the others are revisits that name it.
+and the others are revisits (of the identical payload) that name it.
 
-Reading: Spark splits the archives at every magic line, also at one that only stands
-inside a payload.  Each task numbers the pieces of its split and takes each as a
+Reading: versions 1.0 and 1.1.  Spark splits the archives at every start of a magic line, also at
+one that only stands inside a payload.  Each task numbers the pieces of its split and takes each as a
 candidate record whose header names its successor: offset + header + declared length +
 end mark.  The piece lengths give each split its place in the file, so candidates and
 successors get file offsets.  Inside a split the tasks follow the links themselves (only
 the exit of each candidate from its split is kept); pointer jumping over these exits
 from the start of each file, in as many rounds as the logarithm of the splits of a file,
 finds where the chain of true records enters each split.  Candidates off the chain are
-text of a payload.  A record that lies in one piece is complete there; the pieces of the
-others are fetched and joined by their offsets.
+text of a payload.  A record that lies in one piece is complete there.  A piece of another one
+belongs to the last record on the chain before it, found inside its split or in the one row
+that the splits before it hand over; those pieces are fetched and joined by their offsets.
 
 Defined cases: a null payload is empty, and empty or short payloads are responses; rows
 that share a page id are each written (the first of equal payloads is decided by page
 id, so equal ids with equal payloads are all responses); a null page id sorts last and
 is read back as null; a null URL is written as an empty one, white space and % in a URL
-as percent codes; other columns are not written; an empty table gives no records.
+as percent codes; other columns are not written; an empty table gives no records; a file
+with bytes but without a record raises ValueError.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -38,6 +42,8 @@ from ..session import ensure_checkpoint_dir
 from .common import small_batches, stored
 
 MAGIC = "WARC/1.1\r\n"
+START, VERSIONS = "WARC/1.", (b"0\r\n", b"1\r\n")  # archives are split at START
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 END = "\r\n\r\n"
 MIN_SHARED = 100
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -60,8 +66,11 @@ def assign_types(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                        F.when(later, F.col("first")).alias("refers_to"))
 
 
-def write_archives(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """One archive per partition of ``records`` (as from ``assign_types``) under ``path``."""
+def write_archives(records: DataFrame, path: str, compression: str = "gzip",
+                   written: dt.datetime | None = None) -> None:
+    """One archive per partition of ``records`` (as from ``assign_types``) under ``path``;
+    ``written`` is the records' date (UTC; now if not given)."""
+    date = (written or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     for mark in ("%", " ", "\t", "\n", "\x0b", "\x0c", "\r"):
         url = F.replace(url, F.lit(mark), F.lit(f"%{ord(mark):02X}"))
@@ -73,7 +82,8 @@ def write_archives(records: DataFrame, path: str, compression: str = "gzip") ->
     text = F.concat(
         F.lit(MAGIC), F.lit("WARC-Type: "), F.col("record_type"), F.lit("\r\n"),
         header("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
-        header("WARC-Target-URI", url),
+        F.lit(f"WARC-Date: {date}\r\n"), header("WARC-Target-URI", url),
+        header("WARC-Profile", F.when(~full, F.lit(PROFILE))),
         header("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         header("X-Payload-Length", F.col("payload_bytes").cast("string")),
@@ -87,20 +97,20 @@ def write_archives(records: DataFrame, path: str, compression: str = "gzip") ->
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """file, block (start of the split), value: the bytes between magic lines, in file
+    """file, block (start of the split), value: the bytes between starts of magic lines, in file
     order inside a split."""
-    return (spark.read.option("lineSep", MAGIC).text(path)
+    return (spark.read.option("lineSep", START).text(path)
             .select(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary")))
 
 
 def parse_header(value: bytes) -> tuple[int, dict[str, str]] | None:
-    """(length of the header with its empty line, fields), or None if it isn't one."""
+    """(length of the header behind START with its empty line, fields), or None if it isn't one."""
     end = value.find(END.encode())
-    if end < 0:
+    if end < 0 or value[:3] not in VERSIONS:
         return None
     fields = {}
-    for line in value[:end].split(b"\r\n"):
+    for line in value[3:end].split(b"\r\n"):
         name, colon, content = line.partition(b":")
         if not colon or b" " in name:
             return None
@@ -136,7 +146,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
                 first = seq == 0 and block == 0  # what precedes the first magic line of a file
                 row = dict.fromkeys(_CANDIDATE.names)
                 row |= {"file": file, "block": block, "seq": seq, "at": place,
-                        "size": len(value) + (0 if first else len(MAGIC)), "whole": False}
+                        "size": len(value) + (0 if first else len(START)), "whole": False}
                 parsed = None if first else parse_header(value)
                 if parsed:
                     head, fields = parsed
@@ -167,7 +177,7 @@ def located(found: DataFrame) -> DataFrame:
     offset = F.col("base") + F.col("at")
     found = found.where("block > 0 or seq > 0")  # without the text before the first magic line
     return found.join(base, ["file", "block"]).withColumn("offset", offset).withColumn(
-        "successor", offset + len(MAGIC) + F.col("head") + F.col("length") + len(END))
+        "successor", offset + len(START) + F.col("head") + F.col("length") + len(END))
 
 
 _EXIT = pa.schema([("file", pa.string()), ("block", pa.int64()), ("offset", pa.int64()), ("exit", pa.int64())])
@@ -233,14 +243,20 @@ def chain(records: DataFrame) -> DataFrame:
         walk, "file string, offset long")
 
 
-def assembled(spark: SparkSession, path: str, records: DataFrame, split: DataFrame) -> DataFrame:
-    """file, offset, digest of the true records whose payload lies in several pieces.
-    ``split`` are those records; only their pieces are read again and moved."""
-    span = split.select("file", F.col("offset").alias("record"), "successor", "head", "length")
-    needed = (records.select("file", "block", "seq", "offset").join(span, "file").where((F.col("offset") >= F.col("record"))
-                                               & (F.col("offset") < F.col("successor")))
-              .select("file", "block", "seq", "offset", "record", "head", "length"))
-    needed = stored(needed)
+def assembled(spark: SparkSession, path: str, records: DataFrame, true: DataFrame) -> DataFrame:
+    """file, offset, digest of the ``true`` records whose payload lies in several pieces; only
+    their pieces are read again and moved."""
+    record = F.struct("offset", "successor", "head", "length", "whole")
+    marked = records.select("file", "block", "seq", "offset").join(
+        true.select("file", F.col("offset"), record.alias("record")), ["file", "offset"], "left")
+    inside = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = marked.groupBy("file", "block").agg(F.max_by("record", F.when(F.col("record").isNotNull(), F.col("seq"))).alias("last"))
+    handed = handed.select("file", "block", F.last("last", ignorenulls=True).over(earlier).alias("handed"))  # a row a split
+    owned = (marked.withColumn("own", F.last("record", ignorenulls=True).over(inside)).join(handed, ["file", "block"])
+             .withColumn("own", F.coalesce("own", "handed")))
+    needed = stored(owned.where(~F.col("own.whole") & (F.col("offset") < F.col("own.successor"))).select(
+        "file", "block", "seq", "offset", F.col("own.offset").alias("record"), "own.head", "own.length"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, seq = None, 0
@@ -255,7 +271,7 @@ def assembled(spark: SparkSession, path: str, records: DataFrame, split: DataFra
 
     def join(group: pa.Table) -> pa.Table:
         group = group.sort_by("offset")
-        whole = MAGIC.encode().join(group.column("value").to_pylist())
+        whole = START.encode().join(group.column("value").to_pylist())
         head, length = group.column("head")[0].as_py(), group.column("length")[0].as_py()
         digest = hashlib.sha256(whole[head:head + length]).hexdigest()
         return pa.table([group.column("file").slice(0, 1), group.column("record").slice(0, 1),
@@ -273,9 +289,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     found = stored(candidates(spark, path))
     records = stored(located(found))
     true = stored(records.join(chain(records), ["file", "offset"]))
-    parts = true.where("not whole")
-    if not parts.isEmpty():
-        joined = assembled(spark, path, records, parts).withColumnRenamed("digest", "joined")
+    silent = (found.groupBy("file").agg(F.sum("size").alias("size")).where("size > 0")
+              .join(true.select("file").distinct(), "file", "left_anti").select("file").first())
+    if silent:
+        raise ValueError(f"no record is found in {silent[0]}")
+    if not true.where("not whole").isEmpty():
+        joined = assembled(spark, path, records, true).withColumnRenamed("digest", "joined")
         true = true.join(joined, ["file", "offset"], "left")
     else:
         true = true.withColumn("joined", F.lit(None).cast("string"))
@@ -287,7 +306,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-               compression: str = "gzip", min_shared: int = MIN_SHARED) -> DataFrame:
+               compression: str = "none", min_shared: int = MIN_SHARED) -> DataFrame:
     """Write an archive of ``pages`` under the shared folder and read it back: page_id,
     payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession

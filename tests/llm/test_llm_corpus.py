@@ -241,6 +241,50 @@ def test_archives_round_trip(spark, compression, split):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_of_others(spark, tmp_path):
+    """Version 1.0, payloads over many splits beside whole ones, and files without a record."""
+    def record(version, page, payload):
+        return (f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{page}>\r\n"
+                f"Content-Length: {len(payload)}\r\n\r\n").encode() + payload + b"\r\n\r\n"
+    want, n = {}, 0
+    for name in "ab":
+        body = b""
+        for k in range(40):
+            payload = [b"x" * 10, b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc" * 60, b"WARC/1." * 300, b""][k % 4]
+            body += record("1.0" if k % 3 else "1.1", n, payload)
+            want[str(n)] = (len(payload), hashlib.sha256(payload).hexdigest())
+            n += 1
+        (tmp_path / name).write_bytes(body)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        got = {r.page: (r.payload_bytes, r.payload_digest) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want
+    (tmp_path / "c").write_bytes(b"no archive")
+    with pytest.raises(ValueError):
+        warc.read_archives(spark, str(tmp_path))
+
+
+def test_written_records_are_valid(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "http://a/b c", "same " * 40 if i < 2 else None) for i in range(3)], "page_id long, url string, html string")
+    warc.write_archives(warc.assign_types(pages).coalesce(1), str(tmp_path / "w"), "none")
+    (name,) = [f for f in os.listdir(tmp_path / "w") if f.startswith("part-")]
+    data, at, heads = (tmp_path / "w" / name).read_bytes(), 0, []
+    while at < len(data):  # by declared lengths
+        assert data[at:].startswith(b"WARC/1.1\r\n")
+        end = data.index(b"\r\n\r\n", at) + 4
+        heads.append(dict(line.split(": ", 1) for line in data[at:end - 4].decode().split("\r\n")[1:]))
+        at = end + int(heads[-1]["Content-Length"])
+        assert data[at:at + 4] == b"\r\n\r\n"
+        at += 4
+    assert len(heads) == 3
+    for h in heads:
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(h)
+        assert ("WARC-Profile" in h and "WARC-Refers-To" in h) == (h["WARC-Type"] == "revisit")
+
+
 def test_one_full_set_for_each_node(spark):
     texts = ["a b c d e f g"] * 300 + ["a b c d e f h"] * 300 + ["q r s t u v w"]
     docs = spark.createDataFrame([(i % 200, t) for i, t in enumerate(texts)], "doc_id long, text string")
