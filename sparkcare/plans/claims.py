@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.text import blank_to_default
 from ..operators.claims import DEMOGRAPHIC_COLUMNS, claims_demographics, medical_wide
 from ..operators.conform import SPECS, conform, data_dictionary
+from ..operators.profile import table_profile
+from ..sources.files import run_sql
+from ..sources.tables import read_table
 from . import oracle_roles as R
 from . import roles
 from .registry import register
@@ -119,3 +122,47 @@ def q_filter_like(t, spark):
     """pattern filter, pushed to the parquet scan as StringContains."""
     return (t["orders"].where(F.col("o_orderpriority").like("%1%"))
             .select("o_orderkey", "o_custkey", "o_orderpriority"))
+
+
+def _dictionary_profile_sql():
+    parts = []
+    for entity, specs in SPECS.items():
+        for i, c in enumerate(specs):
+            parts.append(f"""SELECT '{entity}' AS entity, {i} AS position, '{c.name}' AS "Name", '{c.dtype}' AS "Type",
+  '{c.comment}' AS "Comments", count({c.name}) AS non_null, count(*) AS row_count FROM ({_CONFORM_SQL[entity]})""")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("dictionary_profile", _dictionary_profile_sql())
+def q_dictionary_profile(t, spark):
+    """The data dictionary of the conformed entities with what their columns hold."""
+    out = None
+    for entity in SPECS:
+        df = conformed(t, entity)
+        part = (table_profile(df).join(F.broadcast(data_dictionary(spark, df)), F.col("column_name") == F.col("Name"))
+                .select(F.lit(entity).alias("entity"), "position", "Name", "Type", "Comments", "non_null", "row_count"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("catalog_scan", """
+SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def q_catalog_scan(t, spark):
+    """Two tables read from the catalog by name (blanks around the dots removed), here views."""
+    for name in ("nation", "region"):
+        t[name].createOrReplaceTempView(f"sparkcare_{name}")
+    nation, region = read_table(spark, " sparkcare_nation "), read_table(spark, "sparkcare_region ")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name", "n_nationkey")
+
+
+_SCAN_SQL = """WITH late AS (SELECT l_orderkey, count(*) AS n_lines FROM {lines}
+              WHERE l_shipdate >= TIMESTAMP '1995-01-01 00:00:00' GROUP BY l_orderkey)
+SELECT o_orderpriority, count(*) AS n_orders, sum(n_lines) AS n_lines
+FROM {orders} JOIN late ON o_orderkey = l_orderkey GROUP BY o_orderpriority"""
+
+
+@register("sql_scan", _SCAN_SQL.format(lines="lineitem", orders="orders").replace("sum(n_lines)", "sum(n_lines)::BIGINT"))
+def q_sql_scan(t, spark):
+    """SQL text with a common table expression over registered frames."""
+    return run_sql(spark, _SCAN_SQL.format(lines="sparkcare_lines", orders="sparkcare_orders"),
+                   sparkcare_lines=t["lineitem"], sparkcare_orders=t["orders"])
