@@ -1,22 +1,24 @@
-"""Substring dedup by hashes of content-cut blocks and of windows.
+"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks.
 
-No greedy relative Lempel-Ziv parse takes place: words go because a block or a window
-occurs twice.  Every document is cut into blocks by content: of
-the word 8-grams in each window of ``window`` words the one with the smallest hash is
-its anchor, and the words of all consecutive windows with the same anchor are one block.
-Equal windows have equal anchors, so the anchor is the index under which a copy of any
-window must stand.
+Every document is cut into blocks by content: of the word 8-grams in each window of ``window``
+words the one with the smallest hash is its anchor, and the words of all consecutive windows with
+the same anchor are one block.  Equal windows have equal anchors, so the anchor is the index
+under which a copy of any window must stand, and every block of the corpus is a reference block.
 
 * Blocks whose anchor occurs once in the corpus match nothing.
-* A block that occurs again as a whole is matched as a whole.
+* A block that occurs again as a whole is matched to one real occurrence, its reference: the first
+  one by (row key, start), for the first one itself the last.
 * Where a copy ends inside a block, the blocks under the same anchor differ; there one
-  representative of each is looked at window by window.
+  representative of each is looked at window by window, and a window that occurs again has a
+  reference in the same way.
 
-Words covered by a matched block or window are removed.  ``n_factors`` counts the spans
-afterwards, overlapping or touching neighbours with the same reference and offset as one;
-the reference (smallest row key and smallest start of the equal blocks) need not be one
-occurrence.  Identity is that of two independent 64-bit hashes (anchor and
-block, or anchor and window).
+Touching matches at the same reference document and offset are one match, which runs as far as
+that reference does.  A document is then parsed greedily from left to right (``parse``): a factor
+goes from the first word not yet parsed as far as any match that holds this word; where none
+does, the parse moves on to the next match.  Matches are at least a window long, and as every window
+at a block's end has been asked for, no repeated window is lost where a factor ends.  The words of
+the factors are removed; ``n_factors`` counts them.
+Identity is that of two independent 64-bit hashes (anchor and block, or anchor and window).
 
 Shuffled are one short row per block with a repeated anchor, the texts of documents with
 boundaries, and the texts of documents that lose words.  Which rows take part is tested
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -168,40 +170,63 @@ def boundary_windows(rows: DataFrame, blocks: DataFrame, window: int, piece: int
         run, "anchor long, hash long, row_key long, at int, single boolean")
 
 
-def repeated_spans(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
-    """(row_key, start, end, ref_key, ref_start): spans of words whose windows occur
-    elsewhere; of whole blocks with the reference they were matched to."""
+def _occurrences(start: str):
+    """The first and the last of equal occurrences."""
+    place = F.struct("row_key", F.col(start).alias("start"))
+    return F.min(place).alias("first"), F.max(place).alias("last")
+
+
+def _reference(start: str):
+    """The first occurrence, for the first one itself the last."""
+    here = F.struct(F.col("row_key"), F.col(start).alias("start"))
+    return F.when(F.col("first") == here, F.col("last")).otherwise(F.col("first"))
+
+
+def matches(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
+    """(row_key, start, end, ref_key, shift): runs of words that also stand in the row ``ref_key``,
+    from ``start`` - ``shift`` on; neighbouring windows of one reference are one run."""
     blocks = stored(block_table(rows, window, gram, piece))
     again = stored(blocks.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     blocks = passing(blocks, "anchor", filter_of(again))
-    bodies = stored(blocks.groupBy("anchor", "body").agg(
-        F.count("*").alias("n"), F.min("row_key").alias("ref_key"), F.min("start").alias("ref_start")))
-    whole = bodies.where("n > 1").select("anchor", "body", "ref_key", "ref_start")
-    spans = (blocks.join(whole, ["anchor", "body"])
-             .select("row_key", "start", (F.col("start") + F.col("count") + (window - 1)).alias("end"), "ref_key", "ref_start"))
+    bodies = stored(blocks.groupBy("anchor", "body").agg(F.count("*").alias("n"), *_occurrences("start")))
+    whole = bodies.where("n > 1").select("anchor", "body", "first", "last")
+    found = (blocks.join(whole, ["anchor", "body"]).withColumn("ref", _reference("start"))
+             .select("row_key", "start", (F.col("start") + F.col("count") + (window - 1)).alias("end"), "ref"))
 
     mixed_anchors = bodies.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    edge = bodies.join(mixed_anchors, "anchor").select("anchor", "body", "ref_key", (F.col("n") == 1).alias("single"))
-    edge = stored(blocks.join(edge.withColumnRenamed("ref_key", "row_key"), ["anchor", "body", "row_key"])
-                  .select("anchor", "row_key", "start", "count", "single"))
+    edge = bodies.join(mixed_anchors, "anchor").select("anchor", "body", F.col("first.row_key").alias("row_key"), (F.col("n") == 1).alias("single"))
+    edge = stored(blocks.join(edge, ["anchor", "body", "row_key"]).select("anchor", "row_key", "start", "count", "single"))
     windows = stored(boundary_windows(rows, edge, window, piece))
-    twice = windows.groupBy("anchor", "hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "hash")
-    tails = (windows.where("single").join(twice, ["anchor", "hash"])
-             .select("row_key", F.col("at").alias("start"), (F.col("at") + window).alias("end"),
-                     F.lit(None).cast("long").alias("ref_key"), F.lit(None).cast("int").alias("ref_start")))
-    return spans.unionByName(tails)
-
-
-def covered(n: int, spans: list[dict]) -> tuple[np.ndarray, int]:
-    """Which of ``n`` words the spans cover, and the number of factors they make up."""
-    gone, factors, before = np.zeros(n, bool), 0, None
-    for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
-        gone[s["start"]:s["end"]] = True
-        now = (s["ref_key"], None if s["ref_start"] is None else s["start"] - s["ref_start"], s["end"])
-        if before is None or now[:2] != before[:2] or s["start"] > before[2]:
-            factors += 1
-        before = now
-    return gone, factors
+    twice = windows.groupBy("anchor", "hash").agg(F.count("*").alias("n"), *_occurrences("at")).where("n > 1")
+    tails = (windows.where("single").join(twice.drop("n"), ["anchor", "hash"]).withColumn("ref", _reference("at"))
+             .select("row_key", F.col("at").alias("start"), (F.col("at") + window).alias("end"), "ref"))
+    every = (found.unionByName(tails)
+             .select("row_key", "start", "end", F.col("ref.row_key").alias("ref_key"), (F.col("start") - F.col("ref.start")).alias("shift"))
+             .repartition("row_key"))
+    line = Window.partitionBy("row_key", "ref_key", "shift").orderBy("start", "end")
+    reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("start") <= F.coalesce(reach, F.lit(-1)), 0).otherwise(1)
+    runs = every.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("row_key", "ref_key", "shift", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+
+
+def parse(found: list[dict]) -> list[tuple[int, int]]:
+    """The factors (start, end) of a document: from the first word that no factor has yet and a
+    match holds, to the furthest end of the matches that hold it."""
+    here = sorted((m["start"], m["end"]) for m in found)
+    factors: list[tuple[int, int]] = []
+    at = furthest = i = 0
+    while True:
+        while i < len(here) and here[i][0] <= at:
+            furthest = max(furthest, here[i][1])
+            i += 1
+        if furthest > at:
+            factors.append((at, furthest))
+            at = furthest
+        elif i < len(here):
+            at = here[i][0]
+        else:
+            return factors
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -212,8 +237,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        F.struct(*(docs[c] for c in docs.columns if c != text_col)).alias("rest"))
     rest = rest.select(row_key("doc_id", "text").alias("row_key"), "doc_id", "text", "rest")
     rows = two_columns(docs, id_col, text_col).select(row_key("doc_id", "text").alias("row_key"), "text")
-    spans = stored(repeated_spans(rows, window, gram, piece).groupBy("row_key").agg(
-        F.collect_set(F.struct("start", "end", "ref_key", "ref_start")).alias("spans")))
+    spans = stored(matches(rows, window, gram, piece).groupBy("row_key").agg(
+        F.collect_set(F.struct("start", "end")).alias("spans")))
 
     known = filter_of(spans.select("row_key"))
 
@@ -228,8 +253,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             for text, mark in zip(as_bytes(batch.column("text")), marks):
                 words = (text or b"").split()
                 if mark:
-                    gone, factors = covered(len(words), mark)
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
+                    found = parse(mark)
+                    kept, at, factors = [], 0, len(found)
+                    for start, end in found:
+                        kept += words[at:start]
+                        at = end
+                    kept += words[at:]
                 else:
                     kept, factors = words, 0
                 out.append((b" ".join(kept).decode(), len(words), len(words) - len(kept), factors))

@@ -197,6 +197,28 @@ def test_substring_dedup_equals_brute_force(spark, odd, window, gram, piece):
     assert substring.dedup_substrings(odd).count() == len(ODD) and substring.dedup_substrings(odd.limit(0)).count() == 0
 
 
+def test_factors_are_greedy():
+    m = lambda *p: [{"start": a, "end": b} for a, b in p]
+    assert substring.parse([]) == []
+    assert substring.parse(m((5, 15), (5, 20), (12, 30), (25, 28), (40, 50), (50, 60))) == [(5, 20), (20, 30), (40, 50), (50, 60)]
+
+
+def test_matches_name_a_real_occurrence(spark):
+    rnd = random.Random(4)
+    shared = [f"s{rnd.randrange(9)}" for _ in range(80)]
+    rows = [(i, " ".join([f"u{i}.{j}" for j in range(rnd.randrange(20))] + shared[i % 7:50 + i % 5 * 7] + [f"v{i}.{j}" for j in range(5)]))
+            for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        substring.row_key("doc_id", "text").alias("row_key"), "doc_id", "text")
+    words = {r.row_key: r.text.split() for r in docs.collect()}
+    found = substring.matches(docs.select("row_key", "text"), window=10, gram=4).collect()
+    assert len(found) >= 30
+    for r in found:
+        there = words[r.ref_key][r.start - r["shift"]:r.end - r["shift"]]
+        assert words[r.row_key][r.start:r.end] == there and len(there) >= 10
+        assert (r.ref_key, r["shift"]) != (r.row_key, 0)
+
+
 def test_whole_table_substrings_equal_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in queries.op3_substring_dedup(spark, SF).collect()), key=str)
