@@ -10,8 +10,9 @@ bucket's length).  Inside a bucket documents form batches of ``token_budget // b
 least, so that no padded batch is over the budget unless one document is.
 
 A bucket may hold any share of the rows, so it is split into shards by a hash of the
-row, as many as its count in the histogram asks for; batches form inside (bucket,
-shard), and only the last batch of a shard can be smaller.
+row and of its place in the counted table (equal rows spread, too), as many as its count in the
+histogram asks for; batches form inside (bucket, shard), and only the last batch of a shard can
+be smaller.
 
 Defined cases: a null or empty text has length 0 and is packed like any other row; a
 document longer than the budget is a batch of its own, whole; repeated rows and null ids
@@ -92,7 +93,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     # the key goes through the count as its id, next to the id proper
     keyed = rows.select(F.struct("doc_id", row_key("doc_id", "text").alias("row_key")).alias("doc_id"), "text")
     rows = stored(count_tokens(keyed, vocabulary).select("doc_id.doc_id", "n_tokens", "doc_id.row_key"))
-    rows = rows.withColumn("cell", cell_of(F.col("n_tokens")))
+    # the table is stored, so a place is the same when a lost task runs again
+    rows = rows.withColumn("cell", cell_of(F.col("n_tokens"))).withColumn("at", F.monotonically_increasing_id())
     histogram = (rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest"))
                  .orderBy("cell").collect())
     cells = np.array([r["longest"] for r in histogram], np.int64)
@@ -106,7 +108,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     for e in reversed(ends):
         bucket = F.when(F.col("n_tokens") <= e, F.lit(e).cast("long")).otherwise(bucket)
     placed = (rows.withColumn("bucket_len", bucket).join(F.broadcast(table), "bucket_len")
-              .withColumn("shard", F.pmod(F.xxhash64("row_key", "n_tokens"), F.col("shards")).cast("int")))
+              .withColumn("shard", F.pmod(F.xxhash64("row_key", "n_tokens", "at"), F.col("shards")).cast("int")))
     place = F.row_number().over(Window.partitionBy("bucket_len", "shard").orderBy("doc_id", "row_key")) - 1
     return (placed.withColumn("place", place)
             .select("doc_id", "n_tokens", "bucket_len", "shard",

@@ -193,6 +193,49 @@ def test_packing(spark, odd):
     assert packing.pack(odd).count() == len(ODD) and packing.pack(odd.limit(0)).count() == 0
 
 
+def test_equal_rows_spread_over_shards(spark):
+    docs = spark.createDataFrame([(None, "one two three")] * 3000 + [(1, None)], "doc_id long, text string").repartition(4)
+    rows = packing.pack(docs, buckets=2, shard_rows=300, token_budget=10_000).collect()
+    held = Counter((r.bucket_len, r.shard) for r in rows)
+    assert len(rows) == 3001 and len(held) >= 10 and max(held.values()) < 2 * 300
+
+
+def test_language_needs_a_letter(spark):
+    rows = [(i, t, None) for i, t in enumerate(["5²", "½ 12", "①", "", None, " 42 !?", "ª", "٣"])]
+    teach = [(100 + i, "the cat and the dog", "en") for i in range(20)] + [(200 + i, "der Hund und die Katze", "de") for i in range(20)]
+    docs = spark.createDataFrame(rows + teach, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_by_fold(docs).collect()}
+    assert [got[i][0] == "und" for i in range(8)] == [not any(c.isalpha() for c in t or "") for _, t, _ in rows]
+    assert all(0 <= s <= 1 for _, s in got.values()) and all(got[i][1] == 0 for i in range(6))
+
+
+def _plain_mixture(weights, likes, rounds):
+    """Expectation-maximisation word for word, from equal shares."""
+    share = [1 / len(likes[0])] * len(likes[0])
+    for _ in range(rounds):
+        new = [0.0] * len(share)
+        for w, row in zip(weights, likes):
+            total = sum(s * x for s, x in zip(share, row))
+            for k in range(len(share)):
+                new[k] += w * share[k] * row[k] / total
+        new = [x / sum(new) for x in new]
+        done = max(abs(x - y) for x, y in zip(new, share)) < 1e-4
+        share = new
+        if done:
+            break
+    return share
+
+
+def test_mixture_is_plain_em():
+    rnd = np.random.default_rng(4)
+    for _ in range(5):
+        weights, likes = rnd.integers(1, 9, 30), rnd.random((30, 3)) + 1e-3
+        share, value = langid.mixture(weights, np.log(likes))
+        want = _plain_mixture(weights.tolist(), likes.tolist(), langid.ROUNDS)
+        assert share == pytest.approx(want, abs=1e-9)
+        assert value == pytest.approx(sum(w * np.log(sum(s * x for s, x in zip(want, row))) for w, row in zip(weights, likes)))
+
+
 def test_packing_counts_tokens_and_ends_at_real_lengths(spark):
     rnd = random.Random(2)
     texts = ["漢字" * 300, "日本語のテキスト" * 40, "x1Y" * 500, "don't unbelievableness", None, ""]
