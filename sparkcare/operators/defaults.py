@@ -20,14 +20,21 @@ from ..functions.text import suffix_of_name
 
 NOT_AVAILABLE = "Not Available"
 
-# The default grid by type and column-name suffix.
-STRING_FLAG_SUFFIXES = ("flg", "yn")                                    # -> 'N'
-STRING_CODE_SUFFIXES = ("abrv", "amt", "cd", "desc", "id", "nm", "no", "txt")  # -> '~'
-COUNT_SUFFIXES = ("amt", "cnt")                                          # -> 0
-KEY_SUFFIXES = ("cd", "id", "no")                                        # -> -1
-INT_KEY_SUFFIXES = ("cd", "id", "no", "type")                            # -> -1 (integer only)
-FAR_FUTURE = _dt.date(9999, 1, 1)
-FAR_PAST = _dt.date(1111, 1, 1)
+_FAR, _PAST = _dt.date(9999, 1, 1), _dt.date(1111, 1, 1)
+
+# The default grid.  For each group of types the default of each column-name suffix
+# (words of one key share it) and, last, of every other suffix.
+GRID: list[tuple[tuple[type[DataType], ...], dict[str, object], object]] = [
+    ((StringType, CharType, VarcharType), {"flg yn": "N", "abrv amt cd desc id nm no txt": "~"}, NOT_AVAILABLE),
+    ((IntegerType,), {"amt cnt": 0, "cd id no type": -1}, -9999),
+    ((LongType,), {"amt cnt": 0, "cd id no": -1}, -9999),
+    ((DoubleType,), {"amt cnt": 0.0, "cd id no": -1.0}, -0.9999),
+    ((DecimalType,), {"amt cnt": 0.0, "cd id no": -1.1}, -0.99999),
+    ((TimestampType, TimestampNTZType), {"ts": _dt.datetime(9999, 1, 1)}, _dt.datetime(1111, 1, 1)),
+    ((DateType,), {"dt": _FAR}, _PAST),
+]
+_BY_TYPE = {kind: ({w: value for words, value in named.items() for w in words.split()}, other)
+            for kinds, named, other in GRID for kind in kinds}
 
 
 def diagnose_object(df: DataFrame) -> StructType:
@@ -41,26 +48,9 @@ def replicate_schema(df: DataFrame) -> list[tuple[DataType, str]]:
 
 
 def default_value(dtype: DataType, suffix: str):
-    """The default for one (type, suffix); types without a rule give 'Not Available'."""
-    if isinstance(dtype, (StringType, CharType, VarcharType)):
-        if suffix in STRING_FLAG_SUFFIXES:
-            return "N"
-        if suffix in STRING_CODE_SUFFIXES:
-            return "~"
-        return NOT_AVAILABLE
-    if isinstance(dtype, IntegerType):
-        return 0 if suffix in COUNT_SUFFIXES else -1 if suffix in INT_KEY_SUFFIXES else -9999
-    if isinstance(dtype, LongType):
-        return 0 if suffix in COUNT_SUFFIXES else -1 if suffix in KEY_SUFFIXES else -9999
-    if isinstance(dtype, DoubleType):
-        return 0.0 if suffix in COUNT_SUFFIXES else -1.0 if suffix in KEY_SUFFIXES else -0.9999
-    if isinstance(dtype, DecimalType):
-        return 0.0 if suffix in COUNT_SUFFIXES else -1.1 if suffix in KEY_SUFFIXES else -0.99999
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return _dt.datetime(9999, 1, 1) if suffix == "ts" else _dt.datetime(1111, 1, 1)
-    if isinstance(dtype, DateType):
-        return FAR_FUTURE if suffix == "dt" else FAR_PAST
-    return NOT_AVAILABLE
+    """The default for one (type, suffix); types outside the grid give 'Not Available'."""
+    named, other = _BY_TYPE.get(type(dtype), ({}, NOT_AVAILABLE))
+    return named.get(suffix, other)
 
 
 def assign_default_values(pairs: list[tuple[DataType, str]]) -> tuple:

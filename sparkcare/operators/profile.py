@@ -106,10 +106,6 @@ def group_value_counts(df: DataFrame, key: str, col: str, chunk_size: int = 10_0
         F.col("k").alias(key), "chunk_no", F.col("items").alias("value_counts"))
 
 
-def group_sizes(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(_count().alias("count"))
-
-
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """``isnull().sum()`` for every column in one aggregate; long result."""
     cols = cols or df.columns

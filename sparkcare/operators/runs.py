@@ -66,8 +66,9 @@ def report_rejects(lines: DataFrame, value_col: str = "value", header_lines: int
 
 
 def filter_jobs(runs: DataFrame, jobs) -> DataFrame:
-    """Keep the runs of the listed jobs.  A Python list becomes an ``IN`` set
-    (pushed to the scan); a DataFrame of job names is a left-semi join."""
+    """Keep the runs of the listed jobs.  A Python list becomes an ``IN`` set (over a table of
+    runs it is pushed to the scan, over parsed lines it stays above the parse); a DataFrame
+    of job names is a left-semi join."""
     if isinstance(jobs, DataFrame):
         names = jobs.select(F.col(jobs.columns[0]).alias("job_name")).distinct()
         return runs.join(names, "job_name", "left_semi")

@@ -1,6 +1,6 @@
 """Role mapping: the driver tables play the parts of the claim-system inputs.
 
-Each function takes the dict returned by ``sources.load_tables`` and returns a
+Each function takes a ``sources.LazyTables`` and returns a
 DataFrame with the column names the operators expect.  All mappings are plain
 projections of the whole tables (no sampling, no key subsets); the SQL twin of
 every mapping lives in ``plans.oracle`` and must stay in step with this file.

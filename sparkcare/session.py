@@ -11,7 +11,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
@@ -62,21 +61,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's reliable checkpoint folder, lineage cut.
-
-    Writing a checkpoint runs its own job over the data; persisting first lets
-    that job read the blocks the eager count just produced instead of computing
-    ``df`` a second time.  The persisted copy is dropped once the files exist (a
-    lost block is then re-read from the checkpoint, not recomputed)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return kept.checkpoint(eager=True)
-    finally:
-        kept.unpersist()
-
-
 def stored_copy(df: DataFrame) -> DataFrame:
     """``df`` written once as a parquet table under the session's reliable
     checkpoint folder and read back: the lineage is cut like ``checkpoint()``, but

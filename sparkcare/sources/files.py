@@ -80,9 +80,29 @@ def jdbc_reader_options(url: str, query: str | None = None, table: str | None =
     return opts
 
 
-def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
-    """Database query as a DataFrame (needs the JDBC driver jar on the cluster)."""
-    return spark.read.format("jdbc").options(**jdbc_reader_options(**kwargs)).load()
+def key_predicates(column: str, parts: int) -> list[str]:
+    """``parts`` conditions for a whole-number key of unknown range, a parallel read each: its
+    remainders, negative ones included, and the rows without a key.  Every row meets
+    exactly one."""
+    if parts < 2:
+        return ["1 = 1"]
+    slots = parts - 1
+    return [f"MOD({column}, {slots}) IN ({', '.join(str(x) for x in sorted({i, i - slots} if i else {0}))})"
+            for i in range(slots)] + [f"{column} IS NULL"]
+
+
+def read_jdbc(spark: SparkSession, predicates: list[str] | None = None, **kwargs) -> DataFrame:
+    """Database query as a DataFrame (needs the JDBC driver jar on the cluster).
+
+    In parallel with a ``partition_column`` and its bounds, or with ``predicates`` (see
+    ``key_predicates``), one partition for each; with neither one task reads everything."""
+    options = jdbc_reader_options(**kwargs)
+    if predicates is None:
+        return spark.read.format("jdbc").options(**options).load()
+    if "partitionColumn" in options:
+        raise ValueError("give either partition_column or predicates")
+    url, table = options.pop("url"), options.pop("dbtable", None) or f"({options.pop('query')}) src"
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 
 def run_sql(spark: SparkSession, sql_text: str, **views: DataFrame) -> DataFrame:

@@ -27,14 +27,3 @@ class LazyTables(dict):
             raise KeyError(name)
         self[name] = self._open(name)
         return self[name]
-
-
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
-    """One lazily read parquet DataFrame per table name under ``sf_dir``."""
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
-    """Register every table as a temp view so SQL text (S2) can name it."""
-    for n, df in load_tables(spark, sf_dir, names).items():
-        df.createOrReplaceTempView(n)

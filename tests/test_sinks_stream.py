@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkcare.sinks import jdbc_writer_options, preview, refresh_table, truncate_and_load, write_csv, write_parquet, write_table
-from sparkcare.sources import jdbc_reader_options, read_csv, read_csv_columns, read_report_lines, read_table
+from sparkcare.sources import jdbc_reader_options, key_predicates, read_csv, read_csv_columns, read_report_lines, read_table
 from sparkcare.streaming import start_report_ingest
 
 
@@ -67,3 +67,18 @@ def test_parquet_and_report_source(spark, tmp_out):
     q.awaitTermination(120)
     got = spark.read.parquet(os.path.join(tmp_out, "sink")).collect()
     assert [(r.job_name, r.status) for r in got] == [("bCDWBase", "Finished")]
+
+
+def test_key_predicates_cover_each_row_once():
+    import duckdb
+    rows = [None, *range(-30, 31), 10 ** 15 + 7, -10 ** 15 - 7]
+    for parts in (1, 2, 3, 8):
+        conditions = key_predicates("k", parts)
+        assert len(conditions) == parts
+        con = duckdb.connect()
+        con.execute("CREATE TABLE t (k BIGINT)")
+        con.executemany("INSERT INTO t VALUES (?)", [(r,) for r in rows])
+        counts = [con.execute(f"SELECT count(*) FROM t WHERE {c}").fetchone()[0] for c in conditions]
+        assert sum(counts) == len(rows)
+        both = con.execute("SELECT count(*) FROM t WHERE " + " AND ".join(f"NOT coalesce(({c}), false)" for c in conditions)).fetchone()[0]
+        assert both == 0
