@@ -151,7 +151,7 @@ def quality_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_good(docs: DataFrame, text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
     """The rows whose text passes, all columns as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             keep = [measure(t or b"", limits)[-1] for t in as_bytes(batch.column(text_col))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

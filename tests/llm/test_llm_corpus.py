@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkcare.llm import decontam, line_dedup, minhash, queries, substring, warc
+from sparkcare.llm import decontam, line_dedup, minhash, queries, repetition, substring, tokens, warc
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
 from check_oracle import digest  # noqa: E402
@@ -48,7 +48,8 @@ def test_line_dedup_defined_cases(spark, odd):
     assert line_dedup.dedup_lines(odd).count() == len(ODD) and line_dedup.dedup_lines(odd.limit(0)).count() == 0
 
 
-def _classes(rows, k):
+def _groups(rows, k):
+    """The set of each row, and a member that stands for its group."""
     sets = []
     for _, t in rows:
         w = (t or "").encode().lower().split()
@@ -67,10 +68,15 @@ def _classes(rows, k):
                 parent[b] = a
         for x in s:
             index[x].append(i)
+    return sets, [root(i) for i in range(len(rows))]
+
+
+def _classes(rows, k):
+    sets, of = _groups(rows, k)
     ids = defaultdict(list)
-    for i, (d, _) in enumerate(rows):
-        ids[root(i)].append(d)
-    return sorted((d, len(sets[i]), min(ids[root(i)]), d == min(ids[root(i)])) for i, (d, _) in enumerate(rows))
+    for g, (d, _) in zip(of, rows):
+        ids[g].append(d)
+    return sorted((d, len(s), min(ids[g]), d == min(ids[g])) for s, g, (d, _) in zip(sets, of, rows))
 
 
 def test_near_duplicates_equal_brute_force(spark, odd):
@@ -339,22 +345,96 @@ def test_only_leaking_rows_go(spark):
     assert got.columns == docs.columns and sorted(r.n for r in got.collect()) == sorted(want) == [1, 3, 4, 5, 6]
 
 
-def test_pipeline_stages(spark):
-    docs = queries.table(spark, SF, "documents")
+def _verdict(text):
+    """The quality rules from their definition, with counters of word windows."""
+    words = (text or "").encode().split()
+    n, lim = len(words), repetition.Limits()
+
+    def grams(m):
+        return Counter(tuple(words[i:i + m]) for i in range(n - m + 1))
+
+    def inside(m):
+        seen, gone = grams(m), [False] * n
+        for i in range(n - m + 1):
+            if seen[tuple(words[i:i + m])] > 1:
+                gone[i:i + m] = [True] * m
+        return sum(gone)
+
+    lo, hi = 0, n  # a repeat of m words holds one of m - 1
+    while lo < hi:
+        m = (lo + hi + 1) // 2
+        lo, hi = (m, hi) if max(grams(m).values(), default=0) > 1 else (lo, m - 1)
+    if n < lim.min_words or 100 * inside(8) > lim.base_repeat_percent * n or 100 * inside(lim.min_repeat) > lim.max_covered * n:
+        return False
+    return not (lo > lim.longest_words and 100 * lo > lim.longest_percent * n) and lo <= lim.longest_ever
+
+
+def _lines_kept(rows):
+    """(doc_id, text) with the lines that stay."""
+    place = lambda d: (d is None, d or 0)
+    split = [[(x, x.strip(" \t\n\x0b\x0c\r").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+              for x in (t or "").split("\n")] for _, t in rows]
+    homes = defaultdict(set)
+    for (d, _), lines in zip(rows, split):
+        for _, k in lines:
+            if len(k) >= 10:
+                homes[k].add(place(d))
+    return [(d, "\n".join(x for x, k in lines if len(k) < 10 or len(homes[k]) < 2 or min(homes[k]) == place(d)))
+            for (d, _), lines in zip(rows, split)]
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    base = queries.table(spark, SF, "documents")
+    some = [r for r in base.collect() if r.text and len(r.text) > 400][:6]
+    leak = queries.table(spark, SF, "benchmark").first().text
+    extra = [(None, some[0].text), (None, some[1].text + " one more word here"), (some[2].doc_id, " ".join(f"own{i}" for i in range(60))),
+             (None, " ".join(f"clean{i}" for i in range(40))), (some[3].doc_id, None), (None, None), (9001, leak + " " + some[4].text),
+             (None, "before " + leak.upper()), (9002, "again and again " * 40), (9003, "\n".join(["a line that is repeated"] * 3 + [f"w{i} v{i}" for i in range(30)]))]
+    near = [f"near{i}" for i in range(90)]
+    extra += [(9005, " ".join(near)), (9004, " ".join(near[:-1] + ["other"])), (None, " ".join(near[1:]))]
+    docs = base.unionByName(spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in extra], base.schema))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontaminate", "pack"]
-    kept = {}
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        before, docs = docs, corpus_pipeline.stored(stage(spark, docs, SF))
-        assert docs.columns == before.columns
-        kept[name] = (before, docs)
-    before, after = kept["lines"]
-    texts = {r.doc_id: r.text for r in after.collect()}
-    seen = Counter(k for t in texts.values() for k in {line.strip().lower() for line in t.split("\n")} if len(k) >= 10)
-    assert max(seen.values()) == 1 and len(texts) == before.count()
-    before, after = kept["near_duplicates"]
-    want = {c for _, _, c, _ in _classes([tuple(r) for r in before.select("doc_id", "text").collect()], 5)}
-    assert {r.doc_id for r in after.collect()} == want
-    before, after = kept["decontaminate"]
-    leaking = {r.doc_id for r in decontam.find_leaks(before, queries.table(spark, SF, "benchmark")).collect()}
-    assert {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()} == leaking
-    assert corpus_pipeline.run(spark, SF).count() == after.count()
+    stages = dict(corpus_pipeline.STAGES)
+    pairs = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    def step(name):
+        out = corpus_pipeline.stored(stages[name](spark, docs, SF))
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        return pairs(docs), pairs(out), out
+
+    before, after, docs = step("quality")
+    assert after == [r for r in before if _verdict(r[1])] and 100 < len(after) < len(before)
+
+    before, after, docs = step("lines")
+    assert after == sorted(_lines_kept(before), key=str) and after != before
+    assert all(r.n_chars == len(r.text) for r in docs.collect())
+
+    before, after, docs = step("near_duplicates")
+    first = {}
+    for g, (d, t) in zip(_groups(before, 5)[1], before):
+        first[g] = min(first.get(g, (True, 0)), (d is None, d or 0))
+    assert Counter((d is None, d or 0) for d, _ in after) == Counter(first.values())  # one of each group, the smallest id
+    home = dict(zip(before, _groups(before, 5)[1]))
+    assert len({home[r] for r in after}) == len(after) < len(before)
+
+    def shingles(t):
+        w = t.lower().split()
+        return {tuple(w[j:j + 5]) for j in range(len(w) - 4)}
+    items = [shingles(r.text) for r in queries.table(spark, SF, "benchmark").collect()]
+    before, after, docs = step("decontaminate")
+    assert after == [r for r in before if not any(x and len(x & shingles(r[1])) >= 0.8 * len(x) for x in items)] and len(after) < len(before)
+
+    got = stages["pack"](spark, docs, SF).collect()
+    tok = tokens.load(queries.VOCABULARY)
+    counts = Counter((d, len(tok.encode(t, add_special_tokens=False))) for d, t in after)
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == counts
+    groups = defaultdict(list)
+    for r in got:
+        assert r.padding == r.bucket_len - r.n_tokens >= 0
+        groups[r.bucket_len, r.shard, r.batch].append(r)
+    assert all(len(g) == 1 or len(g) * g[0].bucket_len <= 16_384 for g in groups.values())
+    assert all(max(r.n_tokens for g in groups.values() for r in g if r.bucket_len == b) == b for b in {r.bucket_len for r in got})
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, SF).count() > 100
