@@ -100,21 +100,23 @@ GRID = 500            # ... and brackets reach two five-hundredths to either sid
 MOST_RANKED = 5_000_000
 
 
-def _brackets(wanted: DataFrame, vals: DataFrame, names: list[str]) -> DataFrame:
-    """``wanted`` (groups, prob, n, r_lo, r_hi, lo, hi, below, inside) with narrower brackets: ``vals``
-    (groups, v) are sketched inside each bracket on a grid of ranks."""
-    inside = _inside(vals, wanted, names)
-    grid = [i / GRID for i in range(GRID + 1)]
-    sketch = inside.groupBy(*names, "prob").agg(F.percentile_approx("v", grid, ACCURACY).alias("grid"))
+def _at(old: Column, rank: Column, of: Column, step: int) -> Column:
+    """The value ``step`` grid points from where ``rank`` of ``of`` values lies in a sketched ``grid``; beyond the
+    grid, or for few values, the bracket's old end."""
+    at = (F.floor(rank / of * GRID) + 1 + step).cast("int")
+    return F.when((of <= SMALL) | (at < 1) | (at > GRID + 1), old).otherwise(F.get("grid", at - 1))
 
-    def moved(old: str, rank: str, step: int) -> Column:
-        at = (F.floor((F.col(rank) - F.col("below")) / F.col("inside") * GRID) + 1 + step).cast("int")
-        keep = (F.col("inside") <= SMALL) | (at < 1) | (at > GRID + 1)
-        return F.when(keep, F.col(old)).otherwise(F.get("grid", at - 1))
 
-    narrow = (_null_safe(wanted, sketch, [*names, "prob"])
-              .withColumns({"lo": moved("lo", "r_lo", -2), "hi": moved("hi", "r_hi", 3)}).drop("grid", "below", "inside"))
-    return _counted(vals, narrow, names)
+def _sketch() -> Column:
+    return F.percentile_approx("v", [i / GRID for i in range(GRID + 1)], ACCURACY).alias("grid")
+
+
+def _narrower(brackets: DataFrame, vals: DataFrame, names: list[str], k: int) -> DataFrame:
+    """``brackets`` after another round: ``vals`` (groups, v) are sketched inside each."""
+    sketch = _inside(vals, brackets, names).groupBy(*names, "prob").agg(_sketch(), F.count(F.lit(1)).alias("inside"))
+    wide = _null_safe(_null_safe(brackets, _below(vals, brackets, names, k), [*names, "prob"]), sketch, [*names, "prob"])
+    place = lambda end, step: _at(F.col(end), F.col(f"r_{end}") - F.col("below"), F.col("inside"), step).alias(end)
+    return wide.select(*names, "prob", "n", "frac", "r_lo", "r_hi", place("lo", -2), place("hi", 3))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
@@ -127,7 +129,8 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame
 
 
 def _by_group(brackets: DataFrame, names: list[str]) -> DataFrame:
-    return brackets.groupBy(*names).agg(F.collect_list(F.struct("prob", "lo", "hi")).alias("brackets"))
+    """One row per group: its ``brackets`` in order of prob."""
+    return brackets.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("prob", "lo", "hi"))).alias("brackets"))
 
 
 def _inside(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
@@ -137,14 +140,13 @@ def _inside(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame
         *names, "v", F.explode(near).alias("b")).select(*names, F.col("b.prob").alias("prob"), "v")
 
 
-def _counted(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
-    """``brackets`` with ``below`` and ``inside``, the values under and in each."""
-    place = lambda b: F.struct(b["prob"].alias("prob"), (F.col("v") < b["lo"]).cast("long").alias("below"),
-                               ((F.col("v") >= b["lo"]) & (F.col("v") <= b["hi"])).cast("long").alias("inside"))
-    counts = (_null_safe(vals, _by_group(brackets, names), names)
-              .select(*names, F.inline(F.transform("brackets", place)))
-              .groupBy(*names, "prob").agg(F.sum("below").alias("below"), F.sum("inside").alias("inside")))
-    return _null_safe(brackets, counts, [*names, "prob"])
+def _below(vals: DataFrame, brackets: DataFrame, names: list[str], k: int) -> DataFrame:
+    """(groups, prob, below): how many values lie under each of a group's ``k`` brackets."""
+    groups = _by_group(brackets, names).select(*names, *(
+        F.get("brackets", F.lit(i))[c].alias(f"{c}{i}") for i in range(k) for c in ("prob", "lo")))
+    sums = _null_safe(vals, groups, names).groupBy(*names).agg(F.array(*(F.struct(
+        F.first(f"prob{i}").alias("prob"), F.count_if(F.col("v") < F.col(f"lo{i}")).alias("below")) for i in range(k))).alias("x"))
+    return sums.select(*names, F.inline("x"))
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
@@ -161,23 +163,21 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     names = [f"_g{i}" for i in range(len(groups))] or ["_g"]
     vals = df.select(*(F.col(c).alias(n) for c, n in zip(groups, names)), *([] if groups else [F.lit(0).alias("_g")]),
                      F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    ends = F.lit(float("-inf")).alias("lo"), F.lit(float("nan")).alias("hi")  # NaN is above every number
     rank = (F.col("n") - 1) * F.col("prob")
-    brackets = (vals.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-                .select(*names, "n", F.explode(F.array(*map(F.lit, map(float, probs)))).alias("prob"))
-                .select("*", (F.floor(rank) + 1).cast("long").alias("r_lo"),
-                        F.least(F.floor(rank) + 2, F.col("n")).cast("long").alias("r_hi"),
-                        (rank - F.floor(rank)).alias("frac"), *ends, F.lit(0).cast("long").alias("below"),
-                        F.col("n").alias("inside")))
+    low, high = F.lit(float("-inf")), F.lit(float("nan"))  # NaN is above every number
+    lo, hi = F.floor(rank) + 1, F.least(F.floor(rank) + 2, F.col("n"))
     most = vals.groupBy(*names).count().agg(F.max("count")).first()[0] or 0
-    while most > SMALL:
-        brackets = _brackets(brackets, vals, names)
-        most = most / 50
-        if most <= MOST_RANKED:
-            break
+    few = most <= SMALL
+    stats = vals.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), *([] if few else [_sketch()]))
+    brackets = (stats.withColumn("prob", F.explode(F.array(*map(F.lit, map(float, probs))))).select(
+        *names, "prob", "n", (rank - F.floor(rank)).alias("frac"), lo.cast("long").alias("r_lo"), hi.cast("long").alias("r_hi"),
+        (low if few else _at(low, lo, F.col("n"), -2)).alias("lo"), (high if few else _at(high, hi, F.col("n"), 3)).alias("hi")))
+    while most / 50 > MOST_RANKED:
+        brackets, most = _narrower(brackets, vals, names, len(probs)), most / 50
+    brackets_below = _null_safe(brackets, _below(vals, brackets, names, len(probs)), [*names, "prob"])
     counts = _inside(vals, brackets, names).groupBy(*names, "prob", "v").agg(F.count(F.lit(1)).alias("c"))
     upto = F.sum("c").over(Window.partitionBy(*names, "prob").orderBy("v"))
-    ranked = _null_safe(counts.withColumn("upto", upto), brackets, [*names, "prob"])
+    ranked = _null_safe(counts.withColumn("upto", upto), brackets_below, [*names, "prob"])
     holds = lambda r: F.max(F.when((F.col("below") + F.col("upto") - F.col("c") < F.col(r))
                                    & (F.col("below") + F.col("upto") >= F.col(r)), F.col("v")))
     found = ranked.groupBy(*names, "prob", "n", "frac").agg(holds("r_lo").alias("x"), holds("r_hi").alias("y"))

@@ -289,26 +289,32 @@ def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int
     is the number of binary digits of (tokens of the corpus div its occurrences).  Contexts of a
     word are counted before they meet their projection: a frequent pair is one row per task."""
     texts = docs.select(tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("all")).where(F.size("all") > 0)
-    counts = texts.select(F.explode("all").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = texts.select(F.explode("all").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("w", F.xxhash64("word"))  # words are counted and joined by their hash
+    known = counts.where(F.col("n") >= min_count)
+
+    total = counts.agg(F.sum("n").alias("total"))  # one row
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("word")))
+    number = lambda i: F.conv(F.substring("digest", 1 + 4 * i, 4), 16, 10).cast("bigint")
+    spots = F.array(*(F.struct((number(i) % dims).cast("int").alias("dim"), F.when(
+        F.floor(number(i) / dims) % 2 == 0, F.col("weight")).otherwise(-F.col("weight")).alias("x")) for i in range(nonzeros)))
+    contexts = (counts.join(F.broadcast(total), F.lit(True))
+                .select(F.col("w").alias("c"), digest.alias("digest"),
+                        F.length(F.bin(F.expr("total div n"))).cast("bigint").alias("weight"))
+                .select("c", spots.alias("spots")))
+
+    hashes = texts.select(F.transform("all", lambda w: F.xxhash64(w)).alias("all"))
     places = F.sequence(F.lit(0), F.size("all") - 1)
     around = F.transform(places, lambda i: F.struct(F.get("all", i).alias("w"), F.array(
         *(F.get("all", i + d) for d in range(-window, window + 1) if d)).alias("near")))
-    pairs = (texts.select(F.inline(around)).select("w", F.explode("near").alias("c")).where(F.col("c").isNotNull())
-             .groupBy("w", "c").agg(F.count(F.lit(1)).alias("k")))
-    all_tokens = counts.agg(F.sum("n").alias("total"))  # one row
-    weighted = counts.join(F.broadcast(all_tokens), F.lit(True)).select(
-        F.col("w").alias("c"), F.length(F.bin(F.expr("total div n"))).cast("bigint").alias("weight"))
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("c")))
-    number = lambda i: F.conv(F.substring(digest, 1 + 4 * i, 4), 16, 10).cast("bigint")
-    spots = F.array(*(F.struct((number(i) % dims).cast("int").alias("dim"), F.when(
-        F.floor(number(i) / dims) % 2 == 0, 1).otherwise(-1).cast("bigint").alias("sign")) for i in range(nonzeros)))
-    sums = (pairs.join(weighted, "c").select("w", (F.col("k") * F.col("weight")).alias("x"), F.inline(spots))
-            .groupBy("w", "dim").agg(F.sum(F.col("x") * F.col("sign")).alias("x")))
+    pairs = (hashes.select(F.inline(around)).join(known.select("w"), "w").select("w", F.explode("near").alias("c"))
+             .where(F.col("c").isNotNull()).groupBy("w", "c").agg(F.count(F.lit(1)).alias("k")))
+    sums = (pairs.join(contexts, "c").select("w", "k", F.inline("spots"))
+            .groupBy("w", "dim").agg(F.sum(F.col("k") * F.col("x")).alias("x")))
     held = sums.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"))  # dims entries
     vector = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
-    return (counts.where(F.col("n") >= min_count).join(held, "w", "left")
-            .withColumn("m", F.coalesce("m", F.create_map().cast("map<int,bigint>")))
-            .select(F.col("w").alias("word"), "n", vector.alias("vector")))
+    return (known.join(held, "w", "left").withColumn("m", F.coalesce("m", F.create_map().cast("map<int,bigint>")))
+            .select("word", "n", vector.alias("vector")))
 
 
 def with_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
