@@ -61,12 +61,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_stored: list[str] = []
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the tables that ``stored_copy`` has written in this process, when the results that
+    read them have been used; how many there were."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    gone = 0
+    while _stored:
+        path = hadoop.Path(_stored.pop())
+        gone += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def stored_copy(df: DataFrame) -> DataFrame:
     """``df`` written once as a parquet table under the session's reliable
     checkpoint folder and read back: the lineage is cut like ``checkpoint()``, but
     the data is computed by a single write job, stored columnar and compressed, and
-    the planner sees file sizes (for join strategy) when it is read again."""
+    the planner sees file sizes (for join strategy) when it is read again.  The table stays until
+    ``clear_stored`` or until the folder is cleared."""
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
+    _stored.append(path)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sparkcare.session import clear_stored, stored_copy
 from sparkcare.sinks import jdbc_writer_options, preview, refresh_table, truncate_and_load, write_csv, write_parquet, write_table
 from sparkcare.sources import jdbc_reader_options, key_predicates, read_csv, read_csv_columns, read_report_lines, read_table
 from sparkcare.streaming import start_report_ingest
@@ -82,3 +83,12 @@ def test_key_predicates_cover_each_row_once():
         assert sum(counts) == len(rows)
         both = con.execute("SELECT count(*) FROM t WHERE " + " AND ".join(f"NOT coalesce(({c}), false)" for c in conditions)).fetchone()[0]
         assert both == 0
+
+
+def test_stored_copies_are_cleared(spark):
+    clear_stored(spark)
+    one, two = stored_copy(spark.range(5)), stored_copy(spark.range(3))
+    files = [f.removeprefix("file:") for df in (one, two) for f in df.inputFiles()]
+    assert one.count() + two.count() == 8 and all(os.path.exists(f.replace("//", "", 1) if f.startswith("//") else f) for f in files)
+    assert clear_stored(spark) == 2 and clear_stored(spark) == 0
+    assert not any(os.path.exists(f.replace("//", "", 1) if f.startswith("//") else f) for f in files)
