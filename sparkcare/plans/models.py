@@ -160,12 +160,28 @@ def q_text_classify(t, spark):
                    (hits > most).alias("better_than_majority"))
 
 
-@register("text_classify_pairs")
+@register("text_classify_pairs", """
+SELECT lang, count(*) AS n_documents,
+  count(*) FILTER (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 10 < 7) AS n_train,
+  count(*) FILTER (false) AS n_unknown_class, CASE WHEN lang IS NOT NULL THEN true END AS mostly_right
+FROM documents GROUP BY lang""")
 def q_text_classify_pairs(t, spark):
     """Documents as means of word vectors learned from the corpus, one linear SVM for each
     pair of languages, all pairs fitted in one pass a round, and a class by vote for every
-    document: doc_id, label (null without a language), is_train, prediction, votes."""
-    docs = t["documents"]
+    document; by language the documents, those trained on, and whether most of the others are
+    right."""
+    rows, classes = _voted(t["documents"])
+    test = ~F.col("is_train")
+    hits, all_ = F.count_if(test & (F.col("label") == F.col("prediction"))), F.count_if(test)
+    return rows.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if("is_train").alias("n_train"),
+        F.count_if(~F.col("prediction").between(0, len(classes) - 1)).alias("n_unknown_class"),
+        F.when(F.col("label").isNotNull(), 2 * hits > all_).alias("mostly_right")).select(
+        F.get(F.array(*map(F.lit, classes)), F.col("label")).alias("lang"), "n_documents", "n_train", "n_unknown_class", "mostly_right")
+
+
+def _voted(docs):
+    """doc_id, label, is_train, prediction, votes of every document, and the labels."""
     words = TX.learned_vectors(docs, "text")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
     unit = words.select("word", F.transform("vector", lambda x: x / F.greatest(norm, F.lit(1.0))).alias("vector"))
@@ -176,7 +192,7 @@ def q_text_classify_pairs(t, spark):
         docs.select("doc_id", label.cast("int").alias("label")), "doc_id")
     rows = stored_copy(C.hash_split(rows, "doc_id"))
     model = fit_pairs(rows.where("is_train"), len(classes))
-    return predict(model, rows).select("doc_id", "label", "is_train", "prediction", "votes")
+    return predict(model, rows).select("doc_id", "label", "is_train", "prediction", "votes"), classes
 
 
 @register("text_normalize", "SELECT doc_id, upper(source) AS source_txt, upper(lang) AS lang_txt FROM documents")
