@@ -29,7 +29,7 @@ def odd(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_its_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     cur = con.execute(queries.ORACLE[name])
