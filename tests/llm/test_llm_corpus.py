@@ -128,7 +128,7 @@ def test_large_group_that_stays_apart(spark):
     want, links = _components(sets)
     assert 1000 < len(set(want)) < 2400 < links
     before = minhash.BLOCK_NODES
-    for block in (200, before):
+    for block in (200,):  # a few blocks, so that pairs of blocks meet
         minhash.BLOCK_NODES = block
         try:
             got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
