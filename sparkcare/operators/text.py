@@ -13,13 +13,17 @@ the few hits, so no text is shuffled.  A longer list is joined to the exploded t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import percent_text
+from ..session import stored_copy
 
 TOKEN_SPLIT = r"[^a-z']+"
 ALPHA = 15.0
@@ -223,27 +227,80 @@ def all_period_ratings(df: DataFrame, periods: dict[str, str], patient_col: str,
     return response_ratings(long, "response", patient_col, case_col, lexicon, keep_cols=["period"])
 
 
-def _term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, _w, _tf): occurrences of every word per document (hash aggregate with
-    map-side combine; empty tokens are dropped after the explode, in codegen)."""
-    return docs.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)).alias("_w")) \
-        .where(F.col("_w") != "") \
-        .groupBy(id_col, "_w").agg(F.count(F.lit(1)).cast("double").alias("_tf"))
+BLOCK_CHARS = 1 << 25   # characters of text whose words are looked up together, about
+LEAST_CHARS = 1 << 22   # blocks are not made smaller than this for the sake of more tasks
+SLICE_WORDS = 1 << 16
+
+
+def _vector_sums(docs: DataFrame, id_col: str, text_col: str, word_key: Callable[[Column], Column],
+                 vectors: DataFrame, dims: int, kind: str) -> DataFrame:
+    """(_key, _all, _d0, _d1, ...): per document id the number of words that have a vector, and the sum of
+    their vectors by dimension.  ``vectors``: _w (bigint, ``word_key`` of a word), _v (array<``kind``>).
+
+    A vector is wide and a word occurs in many texts, so vectors don't travel by text and word:
+    texts are dealt by a hash into blocks of about BLOCK_CHARS, a block gets the vector of each
+    of its distinct words once, and one task adds them up text by text."""
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0  # one number
+    wanted = min(docs.sparkSession.sparkContext.defaultParallelism, -(-chars // LEAST_CHARS))
+    blocks = max(1, wanted, -(-chars // BLOCK_CHARS))
+    rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).alias("_block"), F.col(id_col).alias("_key"),
+                       F.transform(tokens(F.col(text_col)), word_key).alias("_ws")).where(F.size("_ws") > 0)
+    needed = (rows.select(F.col("_block").alias("_for"), F.explode("_ws").alias("_w")).distinct()
+              .join(vectors, "_w").select("_for", "_w", "_v"))
+    number = np.int64 if kind == "bigint" else np.float64
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        names, at, copies = np.unique(known.column("_w").to_numpy(), return_inverse=True, return_counts=True)
+        each = known.column("_v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(number, copy=False).reshape(-1, dims)
+        vecs = np.zeros((len(names), dims), number)
+        np.add.at(vecs, at, each)  # a word may be listed twice
+        lists = texts.column("_ws").combine_chunks()
+        words = lists.flatten().to_numpy()
+        text = np.repeat(np.arange(texts.num_rows), lists.value_lengths().to_numpy())
+        place = np.searchsorted(names, words)
+        hit = place < len(names)
+        hit[hit] = names[place[hit]] == words[hit]
+        text, place = text[hit], place[hit]
+        sums = np.zeros((texts.num_rows, dims), number)
+        for lo in range(0, len(text), SLICE_WORDS):
+            mine = text[lo:lo + SLICE_WORDS]
+            starts = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+            sums[mine[starts]] += np.add.reduceat(vecs[place[lo:lo + SLICE_WORDS]], starts)
+        n = np.zeros(texts.num_rows, np.int64)
+        np.add.at(n, text, copies[place])
+        ends = pa.array(np.arange(texts.num_rows + 1, dtype=np.int32) * dims)
+        return pa.table([texts.column("_key"), pa.array(n), pa.ListArray.from_arrays(ends, pa.array(sums.ravel()))],
+                        names=["_key", "_all", "_sums"])
+
+    key = rows.schema["_key"].dataType.simpleString()
+    found = rows.groupBy("_block").cogroup(needed.groupBy("_for")).applyInArrow(
+        run, f"_key {key}, _all bigint, _sums array<{kind}>")
+    return found.where("_all > 0").groupBy("_key").agg(
+        F.sum("_all").alias("_all"), *(F.sum(F.get("_sums", F.lit(i))).alias(f"_d{i}") for i in range(dims)))
+
+
+def _whole(vector: str, dims: int, item: Callable[[Column], Column]) -> Column:
+    """``item`` of each of ``dims`` components, 0 for null ones; a vector of another length raises."""
+    zero = F.array_repeat(F.lit(0), dims)
+    of = F.transform(F.coalesce(F.col(vector), zero.cast("array<double>")), lambda x: F.coalesce(item(x), item(F.lit(0.0))))
+    return F.when(F.size(vector) != dims, F.raise_error(F.lit(f"a word vector has not {dims} components")).cast(
+        "array<bigint>")).otherwise(of)
 
 
 def document_vectors(docs: DataFrame, id_col: str, text_col: str, word_vectors: DataFrame,
                      word_col: str = "word", vector_col: str = "vector") -> DataFrame:
     """Document vector = mean of its word vectors (words without a vector are
-    skipped; a document without any has the zero vector).  Tokens are counted per (document, word) first, then joined to the
-    vectors and averaged with ``Summarizer.mean`` (weighted by the count) - a
-    mergeable aggregate, so no document's tokens are gathered in one place."""
-    wv = word_vectors.select(F.col(word_col).alias("_w"), array_to_vector(F.col(vector_col)).alias("_vec"))
-    j = _term_counts(docs, id_col, text_col).join(wv, "_w")
-    mean = j.groupBy(F.col(id_col).alias("_key")).agg(Summarizer.mean(F.col("_vec"), F.col("_tf")).alias("features"))
-    dims = word_vectors.agg(F.max(F.size(vector_col))).first()[0] or 0
-    empty = array_to_vector(F.array_repeat(F.lit(0.0), max(dims, 0)))
-    return docs.select(id_col).join(mean, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
-        id_col, F.coalesce("features", empty).alias("features"))
+    skipped; a document without any has the zero vector).  Words are looked up by their 64-bit
+    hash, block by block (``_vector_sums``); blocks' sums are added by id, so no document's tokens
+    need be in one place."""
+    dims = max(word_vectors.agg(F.max(F.size(vector_col))).first()[0] or 0, 0)
+    known = word_vectors.where(F.col(word_col).isNotNull()).select(
+        F.xxhash64(F.col(word_col).cast("string")).alias("_w"), F.col(vector_col).cast("array<double>").alias("_v"))
+    known = known.select("_w", _whole("_v", dims, lambda x: x).alias("_v"))
+    sums = _vector_sums(docs, id_col, text_col, lambda w: F.xxhash64(w), known, dims, "double")
+    mean = F.array(*(F.coalesce(F.col(f"_d{i}") / F.col("_all"), F.lit(0.0)) for i in range(dims))).cast("array<double>")
+    return docs.select(id_col).join(sums, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
+        id_col, array_to_vector(mean).alias("features"))
 
 
 VECTOR_SCALE = 1 << 20
@@ -256,21 +313,16 @@ def hashed_document_vectors(docs: DataFrame, id_col: str, text_col: str, vectors
     (``features``, array<double>) is the count-weighted mean.
 
     Vectors are scaled to whole numbers (2**-20 steps), so sums are exact in any order and
-    the only rounding is the final division.  Text is tokenized once and counted by
-    (document, hashed rank); the word itself is not needed.  A document without words has
-    the zero vector."""
+    the only rounding is the final division.  A text's words are hashed to ranks and looked up
+    block by block (``_vector_sums``).  A document without words has the zero vector."""
     from .cost import hash_bucket
     ranked = with_rank(vectors.select(F.col(vec_id_col).alias("_id"), F.col(vector_col).alias("_v")), ["_id"], "_rank")
     size = ranked.agg(F.max("_rank").alias("n"), F.max(F.size("_v")).alias("dims")).first()
     n, dims = size["n"] or 0, max(size["dims"] or 0, 0)
-    whole = ranked.select((F.col("_rank") - 1).alias("_vid"), F.transform(
-        "_v", lambda x: F.round(x.cast("double") * VECTOR_SCALE).cast("bigint")).alias("_v"))
-    words = docs.select(id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT, -1)).alias("_w")).where("_w <> ''")
-    counts = words.select(id_col, hash_bucket("_w", max(n, 1)).alias("_vid")).groupBy(id_col, "_vid").agg(F.count("*").alias("_tf"))
-    sums = counts.join(whole, "_vid").groupBy(id_col).agg(
-        F.sum("_tf").alias("_all"), *(F.sum(F.col("_v")[i] * F.col("_tf")).alias(f"_d{i}") for i in range(dims)))
+    whole = ranked.select((F.col("_rank") - 1).alias("_w"), F.col("_v").cast("array<double>").alias("_v"))
+    whole = whole.select("_w", _whole("_v", dims, lambda x: F.round(x * VECTOR_SCALE).cast("bigint")).alias("_v"))
+    known = _vector_sums(docs, id_col, text_col, lambda w: hash_bucket(w, max(n, 1)), whole, dims, "bigint")
     mean = F.array(*(F.coalesce(F.col(f"_d{i}") / (F.col("_all") * VECTOR_SCALE), F.lit(0.0)) for i in range(dims)))
-    known = sums.withColumnRenamed(id_col, "_key")
     return docs.select(id_col).join(known, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
         id_col, mean.alias("features"))
 
@@ -286,11 +338,12 @@ def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int
 
     The vocabulary is every word with ``min_count`` occurrences over all texts; rarer words have no
     vector (``document_vectors`` skips them) but count as contexts.  The weight of a context
-    is the number of binary digits of (tokens of the corpus div its occurrences).  Contexts of a
-    word are counted before they meet their projection: a frequent pair is one row per task."""
+    is the number of binary digits of (tokens of the corpus div its occurrences).  Pairs are counted
+    before they meet the vocabulary and the projection: a frequent pair is one row per task, and no
+    token travels with its neighbours."""
     texts = docs.select(tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("all")).where(F.size("all") > 0)
     counts = texts.select(F.explode("all").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("w", F.xxhash64("word"))  # words are counted and joined by their hash
+    counts = stored_copy(counts.withColumn("w", F.xxhash64("word")))  # words are counted and joined by their hash
     known = counts.where(F.col("n") >= min_count)
 
     total = counts.agg(F.sum("n").alias("total"))  # one row
@@ -303,12 +356,15 @@ def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int
                         F.length(F.bin(F.expr("total div n"))).cast("bigint").alias("weight"))
                 .select("c", spots.alias("spots")))
 
-    hashes = texts.select(F.transform("all", lambda w: F.xxhash64(w)).alias("all"))
-    places = F.sequence(F.lit(0), F.size("all") - 1)
-    around = F.transform(places, lambda i: F.struct(F.get("all", i).alias("w"), F.array(
-        *(F.get("all", i + d) for d in range(-window, window + 1) if d)).alias("near")))
-    pairs = (hashes.select(F.inline(around)).join(known.select("w"), "w").select("w", F.explode("near").alias("c"))
-             .where(F.col("c").isNotNull()).groupBy("w", "c").agg(F.count(F.lit(1)).alias("k")))
+    # A pair is counted once, from its first word on, by its two hashes in order; each of the two is
+    # then the other's context.
+    hashes = texts.select(F.transform("all", lambda w: F.xxhash64(w)).alias("_0"))
+    ahead = [F.slice("_0", d + 1, F.size("_0")).alias(f"_{d}") for d in range(1, window + 1)]
+    zipped = hashes.select("_0", *ahead).select(F.inline(F.arrays_zip("_0", *(f"_{d}" for d in range(1, window + 1)))))
+    meet = (zipped.select("_0", F.explode(F.array(*(f"_{d}" for d in range(1, window + 1)))).alias("o")).where("o is not null")
+            .groupBy(F.least("_0", "o").alias("a"), F.greatest("_0", "o").alias("b")).agg(F.count(F.lit(1)).alias("k")))
+    sides = F.array(F.struct(F.col("a").alias("w"), F.col("b").alias("c")), F.struct(F.col("b").alias("w"), F.col("a").alias("c")))
+    pairs = meet.select("k", F.inline(sides)).join(known.select("w"), "w")
     sums = (pairs.join(contexts, "c").select("w", "k", F.inline("spots"))
             .groupBy("w", "dim").agg(F.sum(F.col("k") * F.col("x")).alias("x")))
     held = sums.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"))  # dims entries

@@ -95,3 +95,25 @@ def test_hashed_document_vectors(spark):
     pick = lambda w: list(table.values())[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 3]
     want = np.mean([pick(w) for w in ("pain", "is", "better", "much", "better")], axis=0)
     assert np.allclose(got[1], want) and got[2] == got[None] == [0.0, 0.0] and got[3] == pick("x")
+
+
+def test_vectors_travel_once_for_each_block_of_texts(spark, monkeypatch):
+    """Many texts with the same wide vectors: what is shuffled holds a block's vectors, not each text's."""
+    rows = [(i, " ".join(f"w{'abcdefghij'[(i + j) % 10]}" for j in range(30))) for i in range(400)] + [(3, "wa zz"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    wv = spark.createDataFrame([(f"w{c}", [float(k), 1.0]) for k, c in enumerate("abcdefghij")] + [("wa", [10.0, 3.0])],
+                               "word string, vector array<double>")
+    vectors = {"abcdefghij"[k]: [(float(k), 1.0)] for k in range(10)}
+    vectors["a"].append((10.0, 3.0))
+
+    def expected(key):
+        hits = [v for i, t in rows if i == key for w in (t or "").split() if w[1:] in vectors for v in vectors[w[1:]]]
+        return [round(sum(v[d] for v in hits) / len(hits), 9) for d in (0, 1)] if hits else [0.0, 0.0]
+
+    for chars in (1 << 25, 500):
+        monkeypatch.setattr(TX, "BLOCK_CHARS", chars)
+        df = TX.document_vectors(docs, "doc_id", "text", wv)
+        got = [(r.doc_id, [round(x, 9) for x in r.features]) for r in df.collect()]
+        assert sorted(got, key=str) == sorted(((i, expected(i)) for i, _ in rows), key=str)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "Summarizer" not in plan
