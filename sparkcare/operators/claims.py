@@ -2,10 +2,11 @@
 
 Both are plain joins; Spark picks the physical join.  Notes for scale:
 
-* ``medical_wide`` joins the encounter-keyed tables first.  After the first
-  ``enc_no`` join the result is hash partitioned on ``enc_no``, so the next two
-  ``enc_no`` joins reuse that partitioning (no extra exchange).  The fan-out
-  tables (service lines, packages) are joined where the row count is smallest.
+* ``medical_wide`` joins what has another key first, while no table has met one that
+  multiplies it: services to claims, persons to encounters, products and benefit packages to
+  the packages of encounters.  The three ``enc_no`` joins come last and share one
+  partitioning, so nothing larger than an input is shuffled, and the wide rows leave the
+  task that made them.
 * Dimension tables (products, benefit packages) are broadcast only when the
   planner's size estimate (``spark.sql.autoBroadcastJoinThreshold``) or AQE's
   runtime size says they are small; otherwise they sort-merge join.  No
@@ -44,15 +45,13 @@ def medical_wide(claims: DataFrame, adjudicatedsvcs: DataFrame, encounters: Data
                  enctrfrppackages: DataFrame, enctrsvcs: DataFrame, products: DataFrame,
                  benefitpkg: DataFrame, person: DataFrame) -> DataFrame:
     """Eight conformed tables -> one wide claims table (inner joins)."""
-    by_encounter = (claims
-                    .join(encounters, "enc_no")
-                    .join(enctrfrppackages, "enc_no")
-                    .join(enctrsvcs, "enc_no"))
-    wide = (by_encounter
-            .join(adjudicatedsvcs, "claim_no")
-            .join(products, "prod_id")
-            .join(benefitpkg, "package_no")
-            .join(person, "person_no"))
+    billed = claims.join(adjudicatedsvcs, "claim_no")
+    seen = encounters.join(person, "person_no")
+    bought = enctrfrppackages.join(products, "prod_id").join(benefitpkg, "package_no")
+    wide = (billed
+            .join(seen, "enc_no")
+            .join(enctrsvcs, "enc_no")
+            .join(bought, "enc_no"))
     return wide.select(*WIDE_COLUMNS)
 
 

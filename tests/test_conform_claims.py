@@ -83,3 +83,21 @@ def test_sql_source_runs_a_statement(spark):
     spark.range(3).createOrReplaceTempView("three")
     assert run_sql(spark, "SELECT sum(id) AS s FROM three").first().s == 3
     assert spark.range(0).isEmpty() and not spark.range(1).isEmpty()  # A14
+
+
+def test_wide_rows_are_not_shuffled(spark):
+    """Nothing lies between the wide claims and the last encounter join but its sort."""
+    from __spark_entry__ import queries
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = queries()["medical_wide"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    joins = [line for line in plan.split("\n") if "SortMergeJoin" in line]
+    assert len(joins) == 7 and "enc_no" in joins[0] and "enc_no" in joins[1] and "enc_no" in joins[2]
+    top = plan.split("\n")
+    between = top[next(i for i, x in enumerate(top) if "SortMergeJoin" in x):[i for i, x in enumerate(top) if "SortMergeJoin" in x][2]]
+    assert not any("Exchange" in x for x in between)
