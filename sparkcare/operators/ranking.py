@@ -98,6 +98,7 @@ SMALL = 20_000        # groups of at most so many values are their own bracket
 ACCURACY = 10_000     # ranks in a sketch are off by a ten-thousandth at most ...
 GRID = 500            # ... and brackets reach two five-hundredths to either side of it
 MOST_RANKED = 5_000_000
+FEW_GROUPS = 1_000    # so many groups' brackets are handed to every task
 
 
 def _at(old: Column, rank: Column, of: Column, step: int) -> Column:
@@ -111,10 +112,10 @@ def _sketch() -> Column:
     return F.percentile_approx("v", [i / GRID for i in range(GRID + 1)], ACCURACY).alias("grid")
 
 
-def _narrower(brackets: DataFrame, vals: DataFrame, names: list[str], k: int) -> DataFrame:
+def _narrower(brackets: DataFrame, vals: DataFrame, names: list[str], k: int, spread: bool) -> DataFrame:
     """``brackets`` after another round: ``vals`` (groups, v) are sketched inside each."""
-    sketch = _inside(vals, brackets, names).groupBy(*names, "prob").agg(_sketch(), F.count(F.lit(1)).alias("inside"))
-    wide = _null_safe(_null_safe(brackets, _below(vals, brackets, names, k), [*names, "prob"]), sketch, [*names, "prob"])
+    sketch = _inside(vals, brackets, names, spread).groupBy(*names, "prob").agg(_sketch(), F.count(F.lit(1)).alias("inside"))
+    wide = _null_safe(_null_safe(brackets, _below(vals, brackets, names, k, spread), [*names, "prob"]), sketch, [*names, "prob"])
     place = lambda end, step: _at(F.col(end), F.col(f"r_{end}") - F.col("below"), F.col("inside"), step).alias(end)
     return wide.select(*names, "prob", "n", "frac", "r_lo", "r_hi", place("lo", -2), place("hi", 3))
 
@@ -128,23 +129,25 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame
     return left.join(right, same).drop(*(f"_{c}" for c in names))
 
 
-def _by_group(brackets: DataFrame, names: list[str]) -> DataFrame:
-    """One row per group: its ``brackets`` in order of prob."""
-    return brackets.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("prob", "lo", "hi"))).alias("brackets"))
+def _by_group(brackets: DataFrame, names: list[str], spread: bool) -> DataFrame:
+    """One row per group: its ``brackets`` in order of prob.  Of few groups (``spread``) they go to the values:
+    dealt by group, the values would meet in as few tasks as there are groups."""
+    rows = brackets.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("prob", "lo", "hi"))).alias("brackets"))
+    return F.broadcast(rows) if spread else rows
 
 
-def _inside(vals: DataFrame, brackets: DataFrame, names: list[str]) -> DataFrame:
+def _inside(vals: DataFrame, brackets: DataFrame, names: list[str], spread: bool) -> DataFrame:
     """(groups, prob, v): every value with the brackets it lies in."""
     near = F.filter("brackets", lambda b: (F.col("v") >= b["lo"]) & (F.col("v") <= b["hi"]))
-    return _null_safe(vals, _by_group(brackets, names), names).select(
+    return _null_safe(vals, _by_group(brackets, names, spread), names).select(
         *names, "v", F.explode(near).alias("b")).select(*names, F.col("b.prob").alias("prob"), "v")
 
 
-def _below(vals: DataFrame, brackets: DataFrame, names: list[str], k: int) -> DataFrame:
+def _below(vals: DataFrame, brackets: DataFrame, names: list[str], k: int, spread: bool) -> DataFrame:
     """(groups, prob, below): how many values lie under each of a group's ``k`` brackets."""
-    groups = _by_group(brackets, names).select(*names, *(
+    groups = _by_group(brackets, names, False).select(*names, *(
         F.get("brackets", F.lit(i))[c].alias(f"{c}{i}") for i in range(k) for c in ("prob", "lo")))
-    sums = _null_safe(vals, groups, names).groupBy(*names).agg(F.array(*(F.struct(
+    sums = _null_safe(vals, F.broadcast(groups) if spread else groups, names).groupBy(*names).agg(F.array(*(F.struct(
         F.first(f"prob{i}").alias("prob"), F.count_if(F.col("v") < F.col(f"lo{i}")).alias("below")) for i in range(k))).alias("x"))
     return sums.select(*names, F.inline("x"))
 
@@ -166,16 +169,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
     rank = (F.col("n") - 1) * F.col("prob")
     low, high = F.lit(float("-inf")), F.lit(float("nan"))  # NaN is above every number
     lo, hi = F.floor(rank) + 1, F.least(F.floor(rank) + 2, F.col("n"))
-    most = vals.groupBy(*names).count().agg(F.max("count")).first()[0] or 0
+    sizes = vals.groupBy(*names).count().agg(F.max("count").alias("most"), F.count(F.lit(1)).alias("groups")).first()
+    most, spread = sizes["most"] or 0, sizes["groups"] <= FEW_GROUPS
     few = most <= SMALL
     stats = vals.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), *([] if few else [_sketch()]))
     brackets = (stats.withColumn("prob", F.explode(F.array(*map(F.lit, map(float, probs))))).select(
         *names, "prob", "n", (rank - F.floor(rank)).alias("frac"), lo.cast("long").alias("r_lo"), hi.cast("long").alias("r_hi"),
         (low if few else _at(low, lo, F.col("n"), -2)).alias("lo"), (high if few else _at(high, hi, F.col("n"), 3)).alias("hi")))
     while most / 50 > MOST_RANKED:
-        brackets, most = _narrower(brackets, vals, names, len(probs)), most / 50
-    brackets_below = _null_safe(brackets, _below(vals, brackets, names, len(probs)), [*names, "prob"])
-    counts = _inside(vals, brackets, names).groupBy(*names, "prob", "v").agg(F.count(F.lit(1)).alias("c"))
+        brackets, most = _narrower(brackets, vals, names, len(probs), spread), most / 50
+    brackets_below = _null_safe(brackets, _below(vals, brackets, names, len(probs), spread), [*names, "prob"])
+    counts = _inside(vals, brackets, names, spread).groupBy(*names, "prob", "v").agg(F.count(F.lit(1)).alias("c"))
     upto = F.sum("c").over(Window.partitionBy(*names, "prob").orderBy("v"))
     ranked = _null_safe(counts.withColumn("upto", upto), brackets_below, [*names, "prob"])
     holds = lambda r: F.max(F.when((F.col("below") + F.col("upto") - F.col("c") < F.col(r))

@@ -116,3 +116,22 @@ def test_default_row_grid(spark):
     # appending twice adds twice unless asked to skip a present row
     two = add_row(add_row(df))
     assert two.count() == 2 and add_row(add_row(df), skip_if_present=True).count() == 1
+
+
+def test_values_are_not_dealt_by_group(spark):
+    """Two groups: dealt by group, all values would meet in two tasks."""
+    from pyspark.sql import functions as F
+    from sparkcare.operators.ranking import exact_quantiles
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        q = exact_quantiles(df, "v", [0.25, 0.5], ["g"])
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        got = {(r.g, r.prob): r.value for r in q.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("BroadcastHashJoin") >= 2
+    assert got == {(0, 0.25): 14999.5, (0, 0.5): 29999.0, (1, 0.25): 15000.5, (1, 0.5): 30000.0}
