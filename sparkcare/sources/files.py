@@ -43,7 +43,8 @@ def read_report_lines(spark: SparkSession, path: str, numbered: bool = False) ->
     earlier = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     splits = lines.groupBy("_path", "_split").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     splits = splits.select("_path", "_split", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return lines.join(splits, ["_path", "_split"]).select(
+    # a row for each split; dealt by split, the lines would meet in as few tasks as there are splits
+    return lines.join(F.broadcast(splits), ["_path", "_split"]).select(
         "value", "source_file", (F.col("_row") + F.col("_shift") + 1).alias("line_no"))
 
 

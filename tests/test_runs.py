@@ -94,3 +94,17 @@ def test_register_new_with_times(spark):
     out = {r.batch_name: tuple(r)[3:] for r in RUN.register_new(
         reg, spark.createDataFrame([("/x/a.py",), ("/x/b.py",)], "program string"), now=now).collect()}
     assert out == {"a.py": (7, then, None, None), "b.py": (None, now, now, None)}
+
+
+def test_report_lines_are_not_dealt_by_split(spark, tmp_path):
+    from sparkcare.sources.files import read_report_lines
+    (tmp_path / "a.txt").write_text("one\ntwo\nthree\n")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = read_report_lines(spark, str(tmp_path), numbered=True)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.line_no, r.value) for r in df.collect()) == [(1, "one"), (2, "two"), (3, "three")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
