@@ -15,9 +15,11 @@ skip:
   meet about PIVOTS of them.  Collisions are counted on the signatures, links confirmed on the
   full sets, and linked nodes get one label.  A posting of any length is dealt out over tasks
   with its pivots beside it, so a group that is linked costs its members, not their pairs;
-* what remains is exact: members with different labels meet in every posting that still
-  holds several.  Short postings give their pairs.  Of long ones, the members outside the
-  most frequent label meet all members: nodes are cut into blocks of BLOCK_NODES
+* what remains is exact: members of postings that still hold several labels are posted anew
+  under the rarest of their shingles that several labels have, one of which any link needs
+  (``by_rare_shingles``); a near copy whose own words leave too few of those is done.  Members with
+  different labels meet in every such posting.  Short postings give their pairs.  Of long ones, the members outside the
+  most frequent label meet all members: nodes are cut into full blocks of BLOCK_NODES
   (and BLOCK_SHINGLES), and a pair of blocks is compared inside one task, which returns at most
   a tree of links.  Only texts that share MATCHES coordinates by the thousand and are
   no near-duplicates need many such pairs.
@@ -51,6 +53,7 @@ MATCHES = 18
 SHORT = 32
 ROUNDS = 2
 PIVOTS = 24
+GATHER = 2
 BLOCK_NODES = 1024
 BLOCK_SHINGLES = 1 << 21
 CHUNK = 4096
@@ -126,10 +129,14 @@ def open_postings(posted: DataFrame, labels: DataFrame | None) -> DataFrame:
     return now.join(several, "token")
 
 
-def at_home(now: DataFrame) -> DataFrame:
+def at_home(now: DataFrame, gather: int = 0) -> DataFrame:
     """(node, n, label, home, salts, members): each node in the longest of its postings, which is cut
-    into ``salts`` parts of at most about BLOCK_NODES and BLOCK_SHINGLES."""
+    into ``salts`` parts of at most about BLOCK_NODES and BLOCK_SHINGLES.  ``gather`` times, a node
+    moves to the longest home of those it shares a posting with: homes get fewer and fuller."""
     home = now.groupBy("node", "n", "label").agg(F.max(F.struct("c", "token")).alias("most"))
+    for _ in range(gather):
+        best = now.select("token", "node").join(home, "node").groupBy("token").agg(F.max("most").alias("most"))
+        home = now.join(best, "token").groupBy("node", "n", "label").agg(F.max("most").alias("most"))
     home = home.select("node", "n", "label", F.col("most.token").alias("home"))
     parts = home.groupBy("home").agg(F.count("*").alias("members"), F.ceil(F.greatest(
         F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("salts"))
@@ -159,7 +166,7 @@ def meet_in_short(now: DataFrame, percent: int) -> DataFrame:
 
 def link_blocks(now: DataFrame, full: DataFrame, matches: int, percent: int) -> DataFrame:
     """The links (u, v) between different labels among the members of long postings."""
-    home = stored(at_home(now).select("node", "label", F.xxhash64(
+    home = stored(at_home(now, GATHER).select("node", "label", F.xxhash64(
         "home", F.pmod(F.xxhash64("node"), F.col("salts"))).alias("block")))
     most = (now.groupBy("token", "label").agg(F.count("*").alias("k"))
             .groupBy("token").agg(F.max(F.struct("k", "label")).alias("most")))
@@ -176,6 +183,32 @@ def link_blocks(now: DataFrame, full: DataFrame, matches: int, percent: int) ->
         lambda group: _linked(group, "left", "right", matches, percent), "u binary, v binary")
 
 
+def by_rare_shingles(now: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The members of open postings posted anew, (token, node, n, label, c), under shingles that a link between
+    two labels needs: one shingle of the overlap lies among the rarest of both sets.
+
+    Only shingles found under several labels count, and with them a link between sets of n and m takes
+    ``percent`` * (n + m) / (100 + ``percent``); m is at least the size of the smallest set that such a
+    shingle has, and ``percent`` / 100 of n.  A node with fewer has no link left; of the others'
+    shingles, ordered by frequency, the first (all but that number less one) hold one of every
+    overlap.  No link is lost."""
+    sets = now.select("node", "n", "label").distinct().join(full.select("node", "shingles"), "node")
+    held = sets.select("node", "n", "label", F.explode("shingles").alias("token"))
+    several = (held.groupBy("token").agg(F.count("*").alias("df"), F.min("n").alias("m"), F.min("label").alias("a"),
+                                         F.max("label").alias("b"))
+               .where("a <> b").select("token", "df", "m"))
+    up = lambda x, by: F.floor((x + by - 1) / by).cast("int")
+    least = up(percent * (F.col("n") + F.greatest("m", up(F.col("n") * percent, 100))), 100 + percent)
+    rare = (held.join(several, "token").groupBy("node", "n", "label")
+            .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"), F.min("m").alias("m"))  # a set's shingles at most
+            .withColumn("least", least).where(F.size("shared") >= F.col("least"))
+            .select("node", "n", "label", F.explode(F.slice("shared", F.lit(1), F.size("shared") - F.col("least") + 1)).alias("p")))
+    rare = rare.select(F.col("p.token").alias("token"), "node", "n", "label")
+    open_ = (rare.groupBy("token").agg(F.count("*").alias("c"), F.min("label").alias("a"), F.max("label").alias("b"))
+             .where("a <> b").select("token", "c"))
+    return rare.join(open_, "token")
+
+
 def _linked(group: pa.Table, left: str, right: str, matches: int, percent: int) -> pa.Table:
     """A tree of links between rows marked ``left`` and rows marked ``right`` whose labels differ."""
     group = group.combine_chunks()
@@ -280,7 +313,7 @@ def classes(posted: DataFrame, full: DataFrame, matches: int, percent: int) -> D
         if links.isEmpty():
             break
         labels = relabelled(labels, links)
-    now = stored(open_postings(posted, labels))
+    now = stored(by_rare_shingles(stored(open_postings(posted, labels)), full, percent))
     links = confirm(meet_in_short(now.where(F.col("c") <= SHORT), percent), full, matches, percent)
     links = stored(links.unionByName(link_blocks(now.where(F.col("c") > SHORT), full, matches, percent)))
     if labels is None or not links.isEmpty():

@@ -438,3 +438,34 @@ def test_pipeline_stages_equal_brute_force(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_near_copies_with_words_of_their_own_need_no_comparison(spark):
+    """Members of one long posting: every link between two labels keeps a common shingle, and near copies
+    too far from all others leave the postings."""
+    rng = random.Random(5)
+    base = list(range(1, 101))
+    sets, fresh = [], 1000
+    for i in range(300):
+        gone = set(rng.sample(base, rng.choice([0, 2, 5, 9, 12, 30, 40])))
+        own = [fresh + j for j in range(len(gone))]
+        fresh += len(gone)
+        sets.append(sorted([x for x in base if x not in gone] + own))
+    names = [i.to_bytes(4, "big") for i in range(300)]
+    labels = [names[rng.randrange(3)] if rng.random() < 0.3 else n for n in names]
+    now = spark.createDataFrame([(7, n, len(s), l, 300) for n, s, l in zip(names, sets, labels)],
+                                "token bigint, node binary, n bigint, label binary, c bigint")
+    full = spark.createDataFrame([(n, s) for n, s in zip(names, sets)], "node binary, shingles array<bigint>")
+    got = {}
+    for r in minhash.by_rare_shingles(now, full, 80).collect():
+        got.setdefault(bytes(r.node), set()).add(r.token)
+    linked = 0
+    for i in range(300):
+        for j in range(i):
+            both = len(set(sets[i]) & set(sets[j]))
+            if labels[i] != labels[j] and both * 100 >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                linked += 1
+                assert got.get(names[i], set()) & got.get(names[j], set())
+    assert linked > 50
+    far = [n for n, s in zip(names, sets) if len(set(s) & set(base)) <= 70]
+    assert far and not any(n in got for n in far)
