@@ -3,7 +3,10 @@
 A text of at most ``chunk_chars`` is encoded word by word: white space is a boundary
 no token of the vocabularies used crosses, so equal words have equal counts and the
 library is asked once per word and worker (the memory of counts is bounded by
-MEMO_WORDS and starts anew when full).  A longer text is encoded in chunks that overlap, with offsets, so that memory is bounded by the chunk and not by
+MEMO_WORDS and starts anew when full).  ASCII punctuation at the ends of a word is counted apart
+where the vocabulary's own splitter cuts between the two characters, and many words are asked
+for in one text, each followed by a mark that is a token of its own; a text with other marks is
+asked for word by word.  A longer text is encoded in chunks that overlap, with offsets, so that memory is bounded by the chunk and not by
 the text.  Two neighbouring chunks are spliced at a place of their overlap that both
 encodings prove: it follows white space, which no token and no added token of the
 vocabularies used crosses, and from there to the end of the overlap both chunks hold
@@ -22,7 +25,9 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +37,9 @@ VOCABULARY = "word_bpe_49k.json"
 SPACE = frozenset(" \t\n\r")
 AGREE = 8
 MEMO_WORDS = 1_000_000
+MARK = b"\x01"
+JOINED = 32
+OUTER = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'  # no apostrophe: it may belong to the letters behind it
 
 
 def vocabulary_path(name: str) -> str:
@@ -58,17 +66,67 @@ def memo(name: str) -> dict[bytes, int]:
     return {}
 
 
+@lru_cache(maxsize=4)
+def added(tok) -> tuple[bytes, ...]:
+    """Texts of the added tokens, which the library finds before it splits anything."""
+    return tuple(t.content.encode() for t in tok.get_added_tokens_decoder().values())
+
+
+@lru_cache(maxsize=65_536)
+def cut(tok, left: str, right: str) -> bool:
+    """Whether the splitter cuts between a mark of punctuation and another character."""
+    if tok.pre_tokenizer is None:
+        return False
+    text = tok.normalizer.normalize_str(left + right) if tok.normalizer else left + right
+    parts = [p for p, _ in tok.pre_tokenizer.pre_tokenize_str(text)]
+    return len(parts) > 1 and (parts[0] == left or parts[-1] == right)
+
+
+def pieces(tok, word: bytes) -> list[bytes]:
+    """The word, or its punctuation before, its core and its punctuation behind."""
+    core = word.strip(OUTER)
+    if not core or len(core) == len(word) or any(a in word for a in added(tok)):
+        return [word]
+    at = word.index(core)
+    before, behind, chars = word[:at], word[at + len(core):], core.decode()
+    if before and not cut(tok, chr(before[-1]), chars[0]) or behind and not cut(tok, chars[-1], chr(behind[0])):
+        return [word]
+    return [p for p in (before, core, behind) if p]
+
+
+def count_words(tok, words: list[bytes]) -> list[int]:
+    """Tokens of each word, JOINED of them in a text."""
+    batch = getattr(tok, "encode_batch_fast", tok.encode_batch)
+    encode = lambda texts: batch([t.decode() for t in texts], add_special_tokens=False)
+    (alone,) = encode([MARK])
+    mark = alone.ids[0] if len(alone) == 1 else -1
+    counts = []
+    for at in range(0, len(words), 4096):
+        groups = [words[i:i + JOINED] for i in range(at, min(at + 4096, len(words)), JOINED)]
+        for group, found in zip(groups, encode([b" ".join([x for w in g for x in (w, MARK)]) for g in groups])):
+            ends = np.flatnonzero(np.array(found.ids) == mark)
+            if len(ends) == len(group):
+                counts += (np.diff(ends, prepend=-1) - 1).tolist()
+            else:  # a word holds the mark itself, or the vocabulary has none
+                counts += map(len, encode(group))
+    return counts
+
+
 def count_short(tok, known: dict[bytes, int], texts: list[bytes]) -> list[int]:
-    """Tokens of each text, with words not seen before encoded in one call."""
-    words = [t.split() for t in texts]
+    """Tokens of each text, with words and pieces not seen before encoded in one call."""
     if len(known) > MEMO_WORDS:
         known.clear()
-    new = list(set().union(*words).difference(known))
-    encode = getattr(tok, "encode_batch_fast", tok.encode_batch)
-    for at in range(0, len(new), 4096):
-        part = new[at:at + 4096]
-        known.update(zip(part, map(len, encode([w.decode() for w in part], add_special_tokens=False))))
-    return [sum(map(known.__getitem__, w)) for w in words]
+    lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+    words = lists.values.dictionary_encode()  # an empty one, at an end of a text, has no tokens
+    distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    new = set(distinct).difference(known)
+    split = {w: parts for w in new if len(parts := pieces(tok, w)) > 1}
+    ask = list(new.difference(split).union(*split.values()).difference(known))
+    known.update(zip(ask, count_words(tok, ask)))
+    known.update((w, sum(map(known.__getitem__, parts))) for w, parts in split.items())
+    counts = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+    upto = np.concatenate([[0], np.cumsum(counts[words.indices.to_numpy()])])
+    return np.diff(upto[lists.offsets.to_numpy()]).tolist()
 
 
 def splice(text: str, left, lo: int, right, start: int, hi: int) -> int | None:

@@ -35,6 +35,35 @@ def test_chunked_token_counts_are_the_library_s(chunk, overlap):
         assert tokens.count_short(tok, {}, [t.encode()]) == [want]
 
 
+def test_joined_words_and_their_punctuation_count_as_the_library_counts():
+    tok, rnd = tokens.load(queries.VOCABULARY), random.Random(5)
+    chars = [*"abAB09'’.,-!\"#()<>|", "é", "e\u0301", "İ", "\u0301", "\u0338", "漢", "한", "\u11a8", "²", "…", "\u200d", "\u3000",
+             "\x01", "\x1c", "😀", "Å", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'S"]
+    words = ["".join(rnd.choices(chars, k=rnd.randint(1, 7))) for _ in range(20_000)] + ["\x01", "a\x01", "(said:", "word,"]
+    want = [len(e) for e in tok.encode_batch(words, add_special_tokens=False)]
+    assert tokens.count_short(tok, {}, [w.encode() for w in words]) == want
+    texts = [" ".join(words[i:i + 50]) + "\t\n" * (i % 100) for i in range(0, len(words), 50)]
+    assert tokens.count_short(tok, {}, [t.encode() for t in texts]) == [sum(want[i:i + 50]) for i in range(0, len(words), 50)]
+
+
+def test_words_are_asked_for_once_without_their_punctuation():
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, []
+
+        def __getattr__(self, name):
+            return getattr(self.tok, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += texts
+            return self.tok.encode_batch_fast(texts, **kw)
+
+    tok = Counted(tokens.load(queries.VOCABULARY))
+    text = " ".join(f"{a}longword{i}{b}" for i in range(300) for a in ("", "(", '"') for b in ("", ",", ").", "!?"))
+    assert tokens.count_short(tok, {}, [text.encode()]) == [len(tok.tok.encode(text, add_special_tokens=False))]
+    assert len(tok.texts) < 20 and sum(t.count("longword") for t in tok.texts) == 300
+
+
 def test_token_counts(spark, odd):
     got = sorted(map(tuple, tokens.count_tokens(odd, queries.VOCABULARY, limit=1, chunk_chars=1000).collect()), key=str)
     tok = tokens.load(queries.VOCABULARY)
