@@ -1,10 +1,12 @@
 import random
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sparkcare.operators import joins
 from sparkcare.operators.joins import asof_join, interval_join, range_argmax_join
 from sparkcare.operators.ranking import exact_quantiles, rank_rows, with_sequence
 
@@ -34,6 +36,20 @@ def test_range_argmax_equals_brute_force(spark, seed):
     assert pairs == sum(1 for _, lo, hi in L for _, k, _n in R if lo < k <= hi)
 
 
+def test_pairs_of_a_hot_bucket_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CELL_ROWS", 50)
+    monkeypatch.setattr(joins, "TASK_PAIRS", 10_000)
+    rnd = random.Random(3)
+    L = [(i, k, k + 90) for i, k in enumerate(rnd.choices(range(100), k=600))] + [(None, 5, 7), (1, None, 3), (2, 3, None), (3, 9, 2)]
+    R = [(i, rnd.randrange(200)) for i in range(900)] + [(None, 50), (None, 50), (5, None)]
+    pairs = interval_join(spark.createDataFrame(L, "id long, lo long, hi long"), spark.createDataFrame(R, "rid long, k long"),
+                          "lo", "hi", "k", 100).withColumn("task", F.spark_partition_id()).collect()
+    want = Counter((i, j, k) for i, lo, hi in L for j, k in R if None not in (lo, hi, k) and lo < k <= hi)
+    assert Counter((r.id, r.rid, r.k) for r in pairs) == want
+    tasks = Counter(r.task for r in pairs)
+    assert len(tasks) > 20 and max(tasks.values()) < len(pairs) / 5
+
+
 def test_interval_edges_and_asof(spark):
     day = 86_400
     left = spark.createDataFrame([(1, 100), (2, 10_000)], "id long, s long").withColumn("h", F.col("s") + 5 * day)
