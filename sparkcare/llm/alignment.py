@@ -6,7 +6,8 @@ groups, and every A token of a group is linked with every B token of it.
 Encoding: a single space between two characters that are no white space is a boundary for both
 tokenizers (checked for the pieces of B when they are loaded; a vocabulary that fails is
 asked for whole texts), so a text is a sequence of segments, equal segments align alike, and each
-is encoded once per worker while a memo of MEMO segments (and MEMO_PAIRS pairs) holds it.
+is encoded once per worker while a memo of MEMO segments (MEMO_PAIRS pairs, MEMO_CHARS) holds it.  A
+full memo keeps the half used most, and it outlives the task.
 
 Counting: a task turns its documents into pair-document records and, whenever it holds SPILL of
 them, partitions them by the radix of their A id, sorts each part by (A, B, document) and
@@ -33,20 +34,21 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import groupby
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, slices, stored, two_columns
+from .common import slices, stored, two_columns
 from .tokens import vocabulary_path
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-MEMO, MEMO_PAIRS = 300_000, 4_000_000
+MEMO, MEMO_PAIRS, MEMO_CHARS = 600_000, 6_000_000, 32_000_000
 JOINED = 1 << 15
 TROUBLE = re.compile(r"\A\s|\s\Z| \s|\s ")  # a blank next to white space or at an end
 SPILL = 1 << 20
@@ -91,18 +93,29 @@ class Pair:
             raise ValueError(f"a vocabulary has more than {IDS} ids")
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_table, self.b_table = pa.array(self.a_bytes, pa.large_binary()), pa.array(self.b_bytes, pa.large_binary())
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         first = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         return list(zip(first, self.b.encode(texts, num_threads=1)))
 
-    def ends_at(self, a: list[int], b: list[int], sizes: list[int], text: str) -> bool:
+    def ends_at(self, a: np.ndarray, b: np.ndarray, sizes: list[int], text: str) -> bool:
         """Whether both give back the bytes of ``text``, with tokens that end after each size."""
-        want = text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != want or b"".join(map(self.b_bytes.__getitem__, b)) != want:
-            return False
-        ends = np.cumsum(sizes)
-        return bool(np.isin(ends, np.cumsum(self.a_length[a])).all() and np.isin(ends, np.cumsum(self.b_length[b])).all())
+        want, ends = pa.py_buffer(text.encode()), np.cumsum(sizes)
+        for ids, table, length in ((a, self.a_table, self.a_length), (b, self.b_table, self.b_length)):
+            stops = np.cumsum(length[ids])
+            if not len(ids) or stops[-1] != want.size or not taken(table, ids)[0].equals(want):
+                return False
+            if (stops[np.searchsorted(stops, ends)] != ends).any():
+                return False
+        return True
+
+
+def taken(table: pa.LargeBinaryArray, at: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The entries at ``at`` one after the other, and where each begins and the last ends."""
+    found = table.take(pa.array(at))
+    ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset:][:len(at) + 1]
+    return found.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])), ends - ends[0]
 
 
 @lru_cache(maxsize=2)
@@ -110,6 +123,11 @@ def load(a_name: str, b_name: str) -> Pair:
     return Pair(a_name, b_name)
 
 
+def plain(part: str) -> bool:
+    """A part of a text without TROUBLE at it and without the character that B writes for a space."""
+    return part != "" and part.strip() == part and "▁" not in part
+
+
 def segments(text: str) -> tuple[list[str], bool]:
     """Parts of ``text`` whose encodings, each as a text of its own, follow one another, and
     whether the parts of this and other such texts may be encoded end to end in any order."""
@@ -127,33 +145,102 @@ def segments(text: str) -> tuple[list[str], bool]:
     return out, False
 
 
+class Column:
+    """An array that grows at its end."""
+
+    def __init__(self, first: np.ndarray):
+        self.room, self.size = first, len(first)
+
+    def add(self, more: np.ndarray) -> None:
+        end = self.size + len(more)
+        if end > len(self.room):
+            room = np.empty((max(end, 2 * self.size), *self.room.shape[1:]), self.room.dtype)
+            room[:self.size] = self.all()
+            self.room = room
+        self.room[self.size:end] = more
+        self.size = end
+
+    def all(self) -> np.ndarray:
+        return self.room[:self.size]
+
+
 class Aligner:
     """What each segment adds to its document, in columns, for a bounded number of segments.
 
-    ``counts`` has n_a, n_b, n_groups and n_links, ``groups`` the text of the groups, and a
-    segment's distinct pairs with their links are ``keys`` and ``links`` from ``begin`` on."""
+    ``known`` numbers the segments as they come.  ``counts`` has n_a, n_b, n_groups and n_links,
+    ``used`` how often a segment was met, ``good`` whether the tokens give back its bytes, ``plain``
+    whether it is a plain part.  The text of a segment's groups and its distinct pairs with their
+    links end at ``stops`` and ``ends``."""
 
     def __init__(self, pair: Pair):
         self.pair = pair
-        self.forget()
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.counts, self.used = Column(np.zeros((0, 4), np.int64)), Column(np.zeros(0, np.int64))
+        self.good, self.plain = Column(np.zeros(0, bool)), Column(np.zeros(0, bool))
+        self.text, self.stops = Column(np.zeros(0, np.uint8)), Column(np.zeros(1, np.int64))
+        self.keys, self.links, self.ends = Column(np.zeros(0, np.uint32)), Column(np.zeros(0, np.int32)), Column(np.zeros(1, np.int64))
+
+    def pairs_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many pairs each of the segments has, and the places of them all."""
+        begin = self.ends.all()[numbers]
+        n = self.ends.all()[numbers + 1] - begin
+        return n, np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+    def texts_of(self, numbers: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+        """The groups of all the segments as one text, and where each segment's begin."""
+        table = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(self.known), [None, pa.py_buffer(self.stops.all()), pa.py_buffer(self.text.all())])
+        return taken(table, numbers)
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.groups: list[bytes | None] = []  # None: the tokens don't give back the bytes
-        self.counts = np.zeros((0, 4), np.int64)
-        self.length = np.zeros(0, np.int64)
-        self.keys, self.links = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-    def numbers(self, texts: list[str]) -> list[list[int]]:
-        """The segments of each text, by number."""
-        cut = [(segments(t) if self.pair.cut else ([t], False)) if t else ([], True) for t in texts]
-        if len(self.known) > MEMO or len(self.keys) > MEMO_PAIRS:
+        """Keep the half used most."""
+        names = list(self.known)
+        chars = np.fromiter(map(len, names), np.int64, len(names))
+        order = np.argsort(-self.used.all(), kind="stable")[:MEMO // 2]
+        fits = np.cumsum(np.diff(self.ends.all())[order]) <= MEMO_PAIRS // 2
+        kept = np.sort(order[fits & (np.cumsum(chars[order]) <= MEMO_CHARS // 2)])
+        n, at = self.pairs_of(kept)
+        text, stops = self.texts_of(kept)
+        self.known, self.chars = {names[k]: i for i, k in enumerate(kept.tolist())}, int(chars[kept].sum())
+        self.counts, self.used = Column(self.counts.all()[kept]), Column(self.used.all()[kept] // 2)
+        self.good, self.plain = Column(self.good.all()[kept]), Column(self.plain.all()[kept])
+        self.text, self.stops = Column(np.frombuffer(text, np.uint8).copy()), Column(stops)
+        self.keys, self.links = Column(self.keys.all()[at]), Column(self.links.all()[at])
+        self.ends = Column(np.concatenate([[0], np.cumsum(n)]))
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The segments of all texts one after the other, by number, and where each text's begin
+        and the last one's end."""
+        if len(self.known) > MEMO or self.keys.size > MEMO_PAIRS or self.chars > MEMO_CHARS:
             self.forget()
-        whole = set().union(*(parts for parts, clean in cut if clean)).difference(self.known)
-        alone = set().union(*(parts for parts, clean in cut if not clean)).difference(self.known, whole)
-        self.learn(list(whole), list(alone))
-        self.begin = np.cumsum(self.length) - self.length
-        return [list(map(self.known.__getitem__, parts)) for parts, _ in cut]
+        lists = pc.split_pattern(texts.fill_null(""), " ")
+        parts = lists.values.dictionary_encode()
+        names = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at, bounds = parts.indices.to_numpy(), lists.offsets.to_numpy()
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        odd, new = number < 0, np.flatnonzero(number < 0)
+        odd[~odd] = ~self.plain.all()[number[~odd]]
+        odd[new] = [not plain(names[k]) for k in new.tolist()]
+        apart = np.logical_or.reduceat(odd[at], bounds[:-1]) if self.pair.cut else np.ones(len(texts), bool)
+        whole, alone = [names[k] for k in new.tolist()], []
+        if apart.any():
+            clean = np.bincount(at[np.repeat(~apart, np.diff(bounds))], minlength=len(names))[new] > 0
+            whole = [names[k] for k in new[clean].tolist()]
+            seen = set(whole)
+            runs, place = np.split(at, bounds[1:-1]), {p: i for i, p in enumerate(names)}
+            for k in np.flatnonzero(apart).tolist():
+                text = texts[k].as_py() or ""
+                cut = (segments(text)[0] if self.pair.cut else [text]) if text else []
+                runs[k] = np.array([place.setdefault(p, len(place)) for p in cut], np.int64)
+                alone += cut
+            names, at, bounds = list(place), np.concatenate(runs), np.cumsum([0, *map(len, runs)])
+            alone = [p for p in dict.fromkeys(alone) if p not in seen and p not in self.known]
+        self.learn(whole, alone)
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))  # -1: only in a text set apart
+        flat = number[at]
+        self.used.all()[:] += np.bincount(flat, minlength=len(self.known))
+        return flat, bounds
 
     def learn(self, whole: list[str], alone: list[str]) -> None:
         """Encode segments: those that follow one another like words of a text as one text, the
@@ -165,28 +252,37 @@ class Aligner:
             if size < JOINED and hi < len(whole):
                 continue
             some = whole[lo:hi]
-            (x, y), = self.pair.encode([" ".join(some)])
+            (x, y), = map(_arrays, self.pair.encode([" ".join(some)]))
             if self.pair.ends_at(x, y, [len(t.encode()) + 1 for t in some], " " + " ".join(some)):
                 held += some
-                a += x
-                b += y
+                a.append(x)
+                b.append(y)
             else:
                 alone += some
             lo, size = hi, 0
         for at in range(0, len(alone), 1024):
             some = alone[at:at + 1024]
-            for t, (x, y) in zip(some, self.pair.encode(some)):
+            for t, (x, y) in zip(some, map(_arrays, self.pair.encode(some))):
                 if self.pair.ends_at(x, y, [len(t.encode()) + 1], " " + t):
                     held.append(t)
-                    a += x
-                    b += y
+                    a.append(x)
+                    b.append(y)
                 else:
-                    self.known[t] = len(self.groups)
-                    self.groups.append(None)
-                    self.counts = np.concatenate([self.counts, np.zeros((1, 4), np.int64)])
-                    self.length = np.append(self.length, 0)
+                    self.keep([t], np.zeros((1, 4), np.int64), False, np.zeros(0, np.uint8), np.zeros(1, np.int64),
+                              np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(1, np.int64))
         if held:
-            self.align(held, np.array(a, np.int64), np.array(b, np.int64))
+            self.align(held, np.concatenate(a), np.concatenate(b))
+
+    def keep(self, held: list[str], counts: np.ndarray, good: bool, text: np.ndarray, stops: np.ndarray,
+             keys: np.ndarray, links: np.ndarray, n: np.ndarray) -> None:
+        """Segments into the memo, with the ends of their texts in ``text`` and their numbers of pairs."""
+        self.stops.add(stops + self.text.size)
+        self.ends.add(np.cumsum(n) + self.keys.size)
+        self.known.update(zip(held, range(len(self.known), len(self.known) + len(held))))
+        self.chars += sum(map(len, held))
+        for column, more in ((self.counts, counts), (self.used, np.zeros(len(held), np.int64)), (self.good, np.full(len(held), good)),
+                             (self.plain, np.fromiter(map(plain, held), bool, len(held))), (self.text, text), (self.keys, keys), (self.links, links)):
+            column.add(more)
 
     def align(self, held: list[str], a: np.ndarray, b: np.ndarray) -> None:
         """Groups and links of segments that stand end to end."""
@@ -202,73 +298,68 @@ class Aligner:
         place = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
         mine = a[(i - n_a + 1)[group] + place // n_b[group]]
         theirs = b[(j - n_b + 1)[group] + place % n_b[group]]
-        pairs, links = _summed((of_group[group].astype(np.uint64) << SHIFT) | (mine.astype(np.uint64) << np.uint64(16))
-                               | theirs.astype(np.uint64), np.ones(len(group), np.int64))
+        pairs, links = np.unique((of_group[group].astype(np.uint64) << SHIFT) | (mine.astype(np.uint64) << np.uint64(16))
+                                 | theirs.astype(np.uint64), return_counts=True)
         m = len(held)
         count = lambda weights: np.bincount(of_group, weights, m).astype(np.int64)
-        self.counts = np.concatenate([self.counts, np.stack([count(n_a), count(n_b), count(None), count(n)], axis=1)])
-        self.length = np.concatenate([self.length, np.bincount((pairs >> SHIFT).astype(np.int64), minlength=m)])
-        self.keys = np.concatenate([self.keys, (pairs & LOW).astype(np.uint32)])
-        self.links = np.concatenate([self.links, links])
-
         text, stops = written(a, b, n_a, n_b)
         last = np.searchsorted(of_group, np.arange(m), "right") - 1  # the last group of each segment
-        stops, first = stops[last].tolist(), len(self.groups)
-        self.known.update(zip(held, range(first, first + m)))
-        self.groups += [text[x:y] for x, y in zip([0, *stops], stops)]
+        self.keep(held, np.stack([count(n_a), count(n_b), count(None), count(n)], axis=1), True, text, stops[last],
+                  (pairs & LOW).astype(np.uint32), links, np.bincount((pairs >> SHIFT).astype(np.int64), minlength=m))
 
-    def measures(self, docs: list[list[int]]) -> list[tuple[int, int, int, int, str]]:
+    def measures(self, flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[str]]:
         """n_a, n_b, n_groups, n_links, groups_sha256 of each text."""
-        out = []
-        for numbers in docs:
-            texts = [self.groups[k] for k in numbers]
-            if not texts or None in texts:
-                out.append((0, 0, 0, 0, ""))
-            else:
-                out.append((*self.counts[numbers].sum(axis=0).tolist(),
-                            hashlib.sha256(b"".join(texts)[:-1]).hexdigest()))
-        return out
-
-    def records(self, docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, pair, links) of all documents, each pair of a document once."""
-        sizes = np.array([len(d) for d in docs], np.int64)
-        flat = np.fromiter((k for d in docs for k in d), np.uint64, int(sizes.sum()))
-        both, times = np.unique((np.repeat(np.arange(len(docs), dtype=np.uint64), sizes) << SHIFT) | flat, return_counts=True)
-        doc, seg = both >> SHIFT, (both & LOW).astype(np.int64)
-        n = self.length[seg]
-        at = np.repeat(self.begin[seg] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        key, links = _summed((np.repeat(doc, n) << SHIFT) | self.keys[at].astype(np.uint64), self.links[at] * np.repeat(times, n))
+        upto = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(
+            np.column_stack([self.counts.all()[flat], ~self.good.all()[flat]]), axis=0)])
+        sums = np.diff(upto[bounds], axis=0)
+        good = (np.diff(bounds) > 0) & (sums[:, 4] == 0)
+        text, begin = self.texts_of(flat)
+        view, begin = memoryview(text), begin[bounds].tolist()
+        return np.where(good[:, None], sums[:, :4], 0), [
+            hashlib.sha256(view[lo:hi - 1]).hexdigest() if g else "" for g, lo, hi in zip(good.tolist(), begin, begin[1:])]
+
+    def records(self, flat: np.ndarray, bounds: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, pair, links) of all good documents, each pair of a document once."""
+        doc = np.repeat(np.arange(len(good), dtype=np.uint64), np.diff(bounds))
+        there = np.repeat(good, np.diff(bounds))
+        both, times = np.unique((doc[there] << SHIFT) | flat[there].astype(np.uint64), return_counts=True)
+        n, at = self.pairs_of((both & LOW).astype(np.int64))
+        key, links = _summed((np.repeat(both >> SHIFT, n) << SHIFT) | self.keys.all()[at].astype(np.uint64),
+                             self.links.all()[at] * np.repeat(times, n))
         return (key >> SHIFT).astype(np.uint32), (key & LOW).astype(np.uint32), links
 
 
+def _arrays(both: tuple[list[int], list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array(both[0], np.int64), np.array(both[1], np.int64)
+
+
+@lru_cache(maxsize=2)
+def aligner(a_name: str, b_name: str) -> Aligner:
+    """Once per worker, so that a later task finds what an earlier one has encoded."""
+    return Aligner(load(a_name, b_name))
+
+
 @lru_cache(maxsize=1)
-def decimals(below: int) -> tuple[np.ndarray, np.ndarray]:
-    """The digits of each number, one row a number, and how many there are."""
-    texts = np.array([str(k) for k in range(below)], dtype="S7")
-    return texts.view(np.uint8).reshape(below, 7), np.char.str_len(texts).astype(np.int64)
+def decimals(below: int) -> pa.LargeBinaryArray:
+    """The digits of each number with a comma behind it, then with a bar, then with a semicolon."""
+    return pa.array([b"%d%s" % (k, mark) for mark in (b",", b"|", b";") for k in range(below)], pa.large_binary())
 
 
-def written(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+def written(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All groups as ``a1,a2|b1;`` one after the other, and where each ends."""
     start = np.cumsum(n_a + n_b) - (n_a + n_b)
-    ids, sep = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+    ids = np.empty(len(a) + len(b), np.int64)
     ids[np.repeat(start - (np.cumsum(n_a) - n_a), n_a) + np.arange(len(a))] = a
     ids[np.repeat(start + n_a - (np.cumsum(n_b) - n_b), n_b) + np.arange(len(b))] = b
-    sep[start + n_a - 1], sep[start + n_a + n_b - 1] = ord("|"), ord(";")
-    digits, length = decimals(IDS)
-    size = length[ids]
-    ends = np.cumsum(size + 1)
-    out = np.empty(int(ends[-1]), np.uint8)
-    out[ends - 1] = sep
-    for d in range(int(size.max())):
-        there = np.flatnonzero(size > d)
-        out[(ends[there] - 1 - size[there]) + d] = digits[ids[there], d]
-    return out.tobytes(), ends[start + n_a + n_b - 1]
+    ids[start + n_a - 1] += IDS
+    ids[start + n_a + n_b - 1] += 2 * IDS
+    text, begin = taken(decimals(IDS), ids)
+    return np.frombuffer(text, np.uint8), begin[start + n_a + n_b]
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, with the sum of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(values[order], first) if len(keys) else values
@@ -320,7 +411,7 @@ def encode_and_spill(docs: DataFrame, a_vocabulary: str, b_vocabulary: str, spil
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(load(a_vocabulary, b_vocabulary))
+        memo = aligner(a_vocabulary, b_vocabulary)
         base, place, held = TaskContext.get().partitionId() << 32, 0, []
         schema = None
 
@@ -339,16 +430,16 @@ def encode_and_spill(docs: DataFrame, a_vocabulary: str, b_vocabulary: str, spil
                                    + [(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
                                    + [("groups_sha256", pa.string()), ("part", pa.int32()), ("run", pa.int64()),
                                       ("head", pa.binary()), ("body", pa.binary())])
-            parts = aligner.numbers([(t or b"").decode() for t in as_bytes(batch.column("text"))])
-            measures = aligner.measures(parts)
-            doc, key, links = aligner.records([p if m[0] else [] for p, m in zip(parts, measures)])
+            flat, bounds = memo.numbers(batch.column("text"))
+            measures, digests = memo.measures(flat, bounds)
+            doc, key, links = memo.records(flat, bounds, measures[:, 0] > 0)
             if len(doc):
                 held.append((doc + np.uint32(place), key, links))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(base + place, base + place + n)), batch.column("doc_id")]
-                + [pa.array([m[i] for m in measures], pa.int64()) for i in range(4)]
-                + [pa.array([m[4] for m in measures], pa.string())]
+                + [pa.array(measures[:, i]) for i in range(4)]
+                + [pa.array(digests, pa.string())]
                 + [pa.nulls(n, f.type) for f in list(schema)[7:]], schema=schema)
             place += n
             if sum(len(h[0]) for h in held) >= spill_records:

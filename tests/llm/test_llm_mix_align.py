@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,6 +165,34 @@ def test_segments_encode_like_whole_texts():
         assert [x for _, b in both for x in b] == pair.b.encode(t)
 
 
+@pytest.mark.parametrize("memo,pairs,chars", [(300, 1 << 20, 1 << 20), (1 << 20, 3000, 1 << 20), (1 << 20, 1 << 20, 4000), (0, 0, 0)])
+def test_full_memo_keeps_what_is_used_most(monkeypatch, memo, pairs, chars):
+    monkeypatch.setattr(alignment, "MEMO", memo)
+    monkeypatch.setattr(alignment, "MEMO_PAIRS", pairs)
+    monkeypatch.setattr(alignment, "MEMO_CHARS", chars)
+    pair, asked = alignment.load(alignment.A_VOCABULARY, alignment.B_VOCABULARY), Counter()
+    encode = pair.encode
+    monkeypatch.setattr(pair, "encode", lambda texts: asked.update(" ".join(texts).split(" ")) or encode(texts))
+    common, odd, kept = "Apfel Birne, Quitte's (Traube) Feige.".split(), odd_texts(), alignment.Aligner(pair)
+    for i in range(30):
+        texts = [" ".join([w for j in range(8) for w in (*common, f"once{i}x{k}x{j}")]) for k in range(8)]
+        texts += [None, "", " ", *(odd[i * 5:i * 5 + 5] if i % 3 == 0 else [])]
+        flat, bounds = kept.numbers(pa.array(["left out", *texts], pa.string())[1:])
+        measures, digests = kept.measures(flat, bounds)
+        want, count = plain_alignment(texts)
+        assert [(*m, d) for m, d in zip(measures.tolist(), digests)] == [(*w[:4], w[6]) for w in want]
+        doc, key, links = kept.records(flat, bounds, measures[:, 0] > 0)
+        assert Counter((int(k) >> 16, int(k) & 0xFFFF) for k in key) == count
+        assert np.bincount(doc, links, len(texts)).tolist() == measures[:, 3].tolist()
+    if memo:  # before, a full memo was emptied and every word encoded anew
+        assert sum(asked.values()) > 2000 and {asked[w] for w in common} == {1}
+
+
+def test_memo_outlives_its_task():
+    names = alignment.A_VOCABULARY, alignment.B_VOCABULARY
+    assert alignment.aligner(*names) is alignment.aligner(*names)
+
+
 @pytest.mark.parametrize("spill,fan,group", [(1 << 20, 64, 32 << 20), (200, 2, 500)])
 def test_alignment_is_the_plain_one(spark, spill, fan, group):
     texts = [None, "", " ", *odd_texts()[:150], "the same text", "the same text"]
