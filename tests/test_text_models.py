@@ -7,11 +7,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparkcare.operators import cost as C
 from sparkcare.operators import quality as Q
 from sparkcare.operators import runs as RUN
 from sparkcare.operators import svm
 from sparkcare.operators import text as TX
 from sparkcare.operators.combine import SchemaMismatch
+from sparkcare.plans import models
 
 LEX = [("good", 2.0), ("bad", -2.0), ("pain", -1.0), ("not", -9.0)]
 
@@ -135,6 +137,18 @@ def test_all_pairs_are_the_single_fits(spark):
     assert {r.prediction for r in svm.predict(lone, df.where("label = 2")).collect()} == {2}
 
 
+def test_classifier_is_fitted_on_all_training_documents(spark, monkeypatch):
+    seen, fit = [], TX.train_classifier
+    monkeypatch.setattr(TX, "train_classifier", lambda train, **k: seen.append(train.count()) or fit(train, max_iter=2, **k))
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 5 < 3, "aa bb").otherwise("cc dd").alias("text"),
+        F.when(F.col("id") % 100 == 99, None).when(F.col("id") % 5 < 3, "x").otherwise("y").alias("lang"))
+    vectors = spark.createDataFrame([(i, [float(i == j) for j in range(8)]) for i in range(8)], "vec_id long, embedding array<float>")
+    got = models.q_text_classify({"documents": docs, "embeddings": vectors}, spark).first()
+    assert seen == [C.hash_split(docs.where("lang is not null"), "doc_id").where("is_train").count()] and seen[0] > 20_000
+    assert (got.n_documents, got.n_unknown_class, got.better_than_majority) == (30_000, 0, True)
+
+
 def test_registry_follows_snapshots(spark):
     days = [F.lit(dt.datetime(2024, 1, d)).cast("timestamp_ntz") for d in range(1, 5)]
     snap = lambda rows: spark.createDataFrame(rows, "program string, sys long")
