@@ -50,6 +50,20 @@ def test_pairs_of_a_hot_bucket_spread_over_tasks(spark, monkeypatch):
     assert len(tasks) > 20 and max(tasks.values()) < len(pairs) / 5
 
 
+def test_dense_buckets_are_shuffled_once(spark, monkeypatch):
+    sent, kind = [], type(spark.range(0))
+    for name in ("repartition", "repartitionById"):
+        deal = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda self, *a, deal=deal: sent.append(self.count()) or deal(self, *a))
+    left = spark.range(240_000).select("id", (F.col("id") % 40 * 100).alias("lo"), (F.col("id") % 40 * 100 + 99).alias("hi"))
+    right = spark.range(240_000).select("id", (F.col("id") % 40 * 100).alias("k"))
+    out = interval_join(left, right, "lo", "hi", "k", 100, "l_", "r_")
+    assert sent == [240_000, 240_000]  # 6,000 rows a side in each bucket: more than a cell
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan
+    assert out.count() == 0  # the only keys lie at lo
+
+
 def test_interval_edges_and_asof(spark):
     day = 86_400
     left = spark.createDataFrame([(1, 100), (2, 10_000)], "id long, s long").withColumn("h", F.col("s") + 5 * day)
