@@ -13,10 +13,14 @@ the few hits, so no text is shuffled.  A longer list is joined to the exploded t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -287,20 +291,156 @@ def _whole(vector: str, dims: int, item: Callable[[Column], Column]) -> Column:
         "array<bigint>")).otherwise(of)
 
 
+WORD = re.compile("[a-z']+")  # of a lower-cased text: the words of ``tokens``
+COMMON_WORDS = 1 << 16      # words whose vectors go to every task, at most
+BLOCK_REST = 1 << 19        # other words of a block of texts, about
+BLOCK_TEXTS = 1 << 16
+
+
+def _lowered(text_col: str) -> Column:
+    return F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def _least_count(words: DataFrame, count_col: str, most: int) -> int:
+    """A count that at most ``most`` words reach: the smallest one of three binary digits before zeros."""
+    cut = F.greatest(F.length(F.bin(count_col)) - 3, F.lit(0))
+    steps = words.where(F.col(count_col) > 0).groupBy(F.call_function(
+        "shiftleft", F.call_function("shiftright", F.col(count_col), cut), cut).alias("step")).count()
+    least, held = 1, 0
+    for step, n in sorted(((r["step"], r["count"]) for r in steps.collect()), reverse=True):  # at most 250 rows
+        held += n
+        if held > most:
+            return least
+        least = step
+    return 1
+
+
+def _add_words(sums: np.ndarray, counts: np.ndarray, text: np.ndarray, place: np.ndarray, vecs: np.ndarray, copies: np.ndarray) -> None:
+    """Adds ``vecs[place]`` to the rows ``text`` (ascending) of ``sums``, and the copies to ``counts``."""
+    for lo in range(0, len(text), SLICE_WORDS):
+        mine = text[lo:lo + SLICE_WORDS]
+        starts = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+        sums[mine[starts]] += np.add.reduceat(vecs[place[lo:lo + SLICE_WORDS]], starts)
+    np.add.at(counts, text, copies[place])
+
+
+def _listed(words: list[str], vectors: np.ndarray, unit: bool) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+    """Place of each word, vectors by place (of length 1 or 0 with ``unit``; those of a word listed twice are added),
+    and how often it is listed."""
+    x = vectors.astype(np.float64)
+    if unit:
+        x /= np.maximum(np.sqrt((x * x).sum(axis=1)), 1.0)[:, None]
+    places: dict[str, int] = {}
+    at = np.array([places.setdefault(w, len(places)) for w in words], np.int64)
+    vecs, copies = np.zeros((len(places), x.shape[1])), np.zeros(len(places), np.int64)
+    np.add.at(vecs, at, x)
+    np.add.at(copies, at, 1)
+    return places, vecs, copies
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
+
+
+def _lists(x: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+
+def _sums_by_frequency(docs: DataFrame, id_col: str, text_col: str, known: DataFrame, dims: int, unit: bool) -> DataFrame:
+    """(_key, _all, _sums) as in ``_vector_sums``, a row for each text with such words.  ``known``: _w (the word),
+    _v, _n.  The COMMON_WORDS commonest words go to every task and are added up where the texts lie; only the
+    other words of a text travel, with its sum, to blocks as in ``_vector_sums``."""
+    spark = docs.sparkSession
+    least = _least_count(known, "_n", COMMON_WORDS)
+    common = known.where(F.col("_n") >= least).toArrow()  # COMMON_WORDS rows
+    table = spark.sparkContext.broadcast((common.column("_w").to_pylist(), _matrix(common.column("_v"), dims)))
+    others = known.where(F.col("_n") < least)
+    rest, texts = others.agg(F.sum("_n")).first()[0] or 0, docs.count()
+    blocks = max(1, -(-rest // BLOCK_REST), -(-texts // BLOCK_TEXTS))
+    rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).alias("_block"), F.col(id_col).alias("_key"),
+                       _lowered(text_col).alias("_text"))
+    key = rows.schema["_key"].dataType.simpleString()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, vecs, copies = _listed(*table.value, unit)
+        get, rare = places.get, len(places)
+        for batch in batches:
+            sums, counts = np.zeros((batch.num_rows, dims)), np.zeros(batch.num_rows, np.int64)
+            left = []
+            for i, text in enumerate(batch.column("_text")):
+                words = WORD.findall(text.as_py())
+                at = np.fromiter((get(w, rare) for w in words), np.int64, len(words))
+                left.append(" ".join([words[j] for j in np.flatnonzero(at == rare)]))
+                at = at[at < rare]
+                _add_words(sums, counts, np.full(len(at), i), at, vecs, copies)
+            out = pa.RecordBatch.from_arrays(
+                [batch.column("_block"), batch.column("_key"), pa.array(counts), _lists(sums), pa.array(left, pa.string())],
+                names=["_block", "_key", "_all", "_sums", "_rest"])
+            yield out.filter(pa.array((counts > 0) | np.array([r != "" for r in left], bool)))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed, seen = set(table.value[0]), {}
+        for batch in batches:
+            for block, text in zip(batch.column("_block").to_pylist(), batch.column("_text")):
+                seen.setdefault(block, set()).update(w for w in WORD.findall(text.as_py()) if w not in listed)
+                if sum(map(len, seen.values())) > HELD_WORDS:
+                    yield pairs(seen)
+                    seen.clear()
+        yield pairs(seen)
+
+    def pairs(seen: dict[int, set[str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b for b, ws in seen.items() for _ in ws], pa.int64()),
+                                           pa.array([w for ws in seen.values() for w in ws], pa.string())], names=["_for", "_w"])
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        places, vecs, copies = _listed(found.column("_w").to_pylist(), _matrix(found.column("_v"), dims), unit)
+        sums, counts = _matrix(texts.column("_sums"), dims).copy(), texts.column("_all").to_numpy().copy()
+        text, place = [], []
+        for i, words in enumerate(texts.column("_rest")):
+            mine = [places[w] for w in words.as_py().split(" ") if w in places]
+            text += [i] * len(mine)
+            place += mine
+        _add_words(sums, counts, np.array(text, np.int64), np.array(place, np.int64), vecs, copies)
+        return pa.table([texts.column("_key"), pa.array(counts), _lists(sums)], names=["_key", "_all", "_sums"])
+
+    first = rows.mapInArrow(added, f"_block bigint, _key {key}, _all bigint, _sums array<double>, _rest string")
+    needed = (rows.select("_block", "_text").mapInArrow(wanted, "_for bigint, _w string").distinct()
+              .join(others.select("_w", "_v"), "_w").select("_for", "_w", "_v"))
+    return first.groupBy("_block").cogroup(needed.groupBy("_for")).applyInArrow(run, f"_key {key}, _all bigint, _sums array<double>")
+
+
 def document_vectors(docs: DataFrame, id_col: str, text_col: str, word_vectors: DataFrame,
-                     word_col: str = "word", vector_col: str = "vector") -> DataFrame:
+                     word_col: str = "word", vector_col: str = "vector", count_col: str | None = None,
+                     unit: bool = False, rows: DataFrame | None = None) -> DataFrame:
     """Document vector = mean of its word vectors (words without a vector are
     skipped; a document without any has the zero vector).  Words are looked up by their 64-bit
     hash, block by block (``_vector_sums``); blocks' sums are added by id, so no document's tokens
-    need be in one place."""
+    need be in one place.  ``count_col``, how frequent a word is, lets the commonest words be added up where
+    the texts lie (``_sums_by_frequency``, by the words themselves).  ``unit`` divides a word's vector by its length if that is over
+    1.  ``rows`` (with the id) get the vectors, instead of the ids of ``docs``."""
     dims = max(word_vectors.agg(F.max(F.size(vector_col))).first()[0] or 0, 0)
-    known = word_vectors.where(F.col(word_col).isNotNull()).select(
-        F.xxhash64(F.col(word_col).cast("string")).alias("_w"), F.col(vector_col).cast("array<double>").alias("_v"))
-    known = known.select("_w", _whole("_v", dims, lambda x: x).alias("_v"))
-    sums = _vector_sums(docs, id_col, text_col, lambda w: F.xxhash64(w), known, dims, "double")
+    listed = word_vectors.where(F.col(word_col).isNotNull()).select(
+        F.col(word_col).cast("string").alias("_w"), F.col(vector_col).cast("array<double>").alias("_v"),
+        F.lit(0).alias("_n") if count_col is None else F.coalesce(F.col(count_col).cast("bigint"), F.lit(0)).alias("_n"))
+    if count_col is None:
+        known = listed.select(F.xxhash64("_w").alias("_w"), _whole("_v", dims, lambda x: x).alias("_v"))
+        if unit:
+            norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, x: s + x * x))
+            known = known.select("_w", F.transform("_v", lambda x: x / F.greatest(norm, F.lit(1.0))).alias("_v"))
+        sums = _vector_sums(docs, id_col, text_col, lambda w: F.xxhash64(w), known, dims, "double")
+        same = F.col(id_col).eqNullSafe(F.col("_key"))
+    else:
+        whole = dict(word_vectors.dtypes)[vector_col] in ("array<int>", "array<bigint>")  # they are smaller compressed
+        known = listed.select("_w", _whole("_v", dims, lambda x: x.cast("bigint") if whole else x).alias("_v"), "_n")
+        # A struct of a null equals another: sums are dealt once, for their groups and for the join.
+        sums = _sums_by_frequency(docs, id_col, text_col, known, dims, unit).where("_all > 0").groupBy(
+            F.struct("_key").alias("_key")).agg(
+            F.sum("_all").alias("_all"), *(F.sum(F.get("_sums", F.lit(i))).alias(f"_d{i}") for i in range(dims)))
+        same = F.struct(F.col(id_col).alias("_key")) == F.col("_key")
     mean = F.array(*(F.coalesce(F.col(f"_d{i}") / F.col("_all"), F.lit(0.0)) for i in range(dims))).cast("array<double>")
-    return docs.select(id_col).join(sums, F.col(id_col).eqNullSafe(F.col("_key")), "left").select(
-        id_col, array_to_vector(mean).alias("features"))
+    rows = docs.select(id_col) if rows is None else rows
+    return rows.join(sums, same, "left").select(*rows.columns, array_to_vector(mean).alias("features"))
 
 
 VECTOR_SCALE = 1 << 20
@@ -327,6 +467,89 @@ def hashed_document_vectors(docs: DataFrame, id_col: str, text_col: str, vectors
         id_col, mean.alias("features"))
 
 
+FREQUENT_WORDS = 1 << 18    # words whose weights go to every task, at most
+HELD_WORDS = 1 << 17        # words whose sums a task holds at once
+
+
+class _Sums:
+    """Vectors of whole numbers added up by word."""
+
+    def __init__(self, dims: int) -> None:
+        self.places: dict[str, int] = {}
+        self.sums = np.zeros((1 << 10, dims), np.int64)
+
+    def add(self, words: list[str], vectors: np.ndarray) -> None:
+        at = np.array([self.places.setdefault(w, len(self.places)) for w in words], np.int64)
+        while len(self.places) > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+        if len(set(words)) == len(words):
+            self.sums[at] += vectors
+        else:
+            np.add.at(self.sums, at, vectors)
+
+    def flush(self, least: int = 0) -> Iterator[tuple[pa.Array, pa.Array]]:
+        """Words and vectors, if there are more than ``least``; they are forgotten."""
+        if len(self.places) > least:
+            yield from _packed(np.array([*self.places], object), self.sums[:len(self.places)])
+            self.places.clear()
+            self.sums = np.zeros((1 << 10, self.sums.shape[1]), np.int64)
+
+
+def _packed(words: np.ndarray, x: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Words and vectors; a vector's numbers have the fewest bytes that hold them all, zero vectors are left out."""
+    top, before = np.abs(x).max(axis=1, initial=0), 0
+    for kind in (np.int8, np.int16, np.int32, np.int64):
+        most = np.iinfo(kind).max
+        mine = (top > before) & (top <= most)
+        before = most
+        if mine.any():
+            data = x[mine].astype(kind)
+            ends = pa.array(np.arange(len(data) + 1, dtype=np.int32) * (data.itemsize * data.shape[1]))
+            yield (pa.array(words[mine], pa.string()),
+                   pa.Array.from_buffers(pa.binary(), len(data), [None, ends.buffers()[1], pa.py_buffer(data.tobytes())]))
+
+
+def _unpacked(column: pa.Array, dims: int) -> np.ndarray:
+    """What ``_packed`` made of vectors; nulls are zero vectors."""
+    out = np.zeros((len(column), dims), np.int64)
+    long = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for kind in (np.int8, np.int16, np.int32, np.int64):
+        mine = np.flatnonzero(long == dims * np.dtype(kind).itemsize)
+        if len(mine) and dims:
+            out[mine] = np.frombuffer(b"".join(column.take(pa.array(mine)).to_pylist()), kind).reshape(-1, dims)
+    return out
+
+
+def _by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, list[str]]]:
+    """Rows sorted by ``word``: batches of whole words, each with the row at which a word begins and the words."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if table.num_rows:
+            table = table.combine_chunks()
+            runs = pc.run_end_encode(table.column("word").chunk(0))
+            ends = runs.run_ends.to_numpy()
+            whole = int(ends[-2]) if len(ends) > 1 else 0
+            if whole:
+                yield table.slice(0, whole), np.concatenate([[0], ends[:-2]]), runs.values.to_pylist()[:-1]
+            table = table.slice(whole)
+        rest = table
+    if rest is not None and rest.num_rows:
+        yield rest, np.array([0]), [rest.column("word")[0].as_py()]
+
+
+def _projected(words: list[str], counts: list[int], total: int, dims: int, nonzeros: int, seed: int) -> np.ndarray:
+    """A row per word: its weight as ``nonzeros`` signs at places that its hash gives."""
+    out = np.zeros((len(words), dims), np.int16)
+    for i, (w, n) in enumerate(zip(words, counts)):
+        digest, weight = hashlib.md5(f"{seed}:{w}".encode()).digest(), (total // n).bit_length()
+        for j in range(0, 2 * nonzeros, 2):
+            x = digest[j] << 8 | digest[j + 1]
+            out[i, x % dims] += -weight if x // dims % 2 else weight
+    return out
+
+
 def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int = 2, min_count: int = 5,
                     nonzeros: int = 4, seed: int = 7) -> DataFrame:
     """M12, vectors learned from the corpus: word, n, vector (array<bigint> of ``dims``).
@@ -338,39 +561,127 @@ def learned_vectors(docs: DataFrame, text_col: str, dims: int = 64, window: int
 
     The vocabulary is every word with ``min_count`` occurrences over all texts; rarer words have no
     vector (``document_vectors`` skips them) but count as contexts.  The weight of a context
-    is the number of binary digits of (tokens of the corpus div its occurrences).  Pairs are counted
-    before they meet the vocabulary and the projection: a frequent pair is one row per task, and no
-    token travels with its neighbours."""
-    texts = docs.select(tokens(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("all")).where(F.size("all") > 0)
-    counts = texts.select(F.explode("all").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = stored_copy(counts.withColumn("w", F.xxhash64("word")))  # words are counted and joined by their hash
-    known = counts.where(F.col("n") >= min_count)
-
-    total = counts.agg(F.sum("n").alias("total"))  # one row
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col("word")))
-    number = lambda i: F.conv(F.substring("digest", 1 + 4 * i, 4), 16, 10).cast("bigint")
-    spots = F.array(*(F.struct((number(i) % dims).cast("int").alias("dim"), F.when(
-        F.floor(number(i) / dims) % 2 == 0, F.col("weight")).otherwise(-F.col("weight")).alias("x")) for i in range(nonzeros)))
-    contexts = (counts.join(F.broadcast(total), F.lit(True))
-                .select(F.col("w").alias("c"), digest.alias("digest"),
-                        F.length(F.bin(F.expr("total div n"))).cast("bigint").alias("weight"))
-                .select("c", spots.alias("spots")))
-
-    # A pair is counted once, from its first word on, by its two hashes in order; each of the two is
-    # then the other's context.
-    hashes = texts.select(F.transform("all", lambda w: F.xxhash64(w)).alias("_0"))
-    ahead = [F.slice("_0", d + 1, F.size("_0")).alias(f"_{d}") for d in range(1, window + 1)]
-    zipped = hashes.select("_0", *ahead).select(F.inline(F.arrays_zip("_0", *(f"_{d}" for d in range(1, window + 1)))))
-    meet = (zipped.select("_0", F.explode(F.array(*(f"_{d}" for d in range(1, window + 1)))).alias("o")).where("o is not null")
-            .groupBy(F.least("_0", "o").alias("a"), F.greatest("_0", "o").alias("b")).agg(F.count(F.lit(1)).alias("k")))
-    sides = F.array(F.struct(F.col("a").alias("w"), F.col("b").alias("c")), F.struct(F.col("b").alias("w"), F.col("a").alias("c")))
-    pairs = meet.select("k", F.inline(sides)).join(known.select("w"), "w")
-    sums = (pairs.join(contexts, "c").select("w", "k", F.inline("spots"))
-            .groupBy("w", "dim").agg(F.sum(F.col("k") * F.col("x")).alias("x")))
-    held = sums.groupBy("w").agg(F.map_from_entries(F.collect_list(F.struct("dim", "x"))).alias("m"))  # dims entries
-    vector = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("bigint")))
-    return (known.join(held, "w", "left").withColumn("m", F.coalesce("m", F.create_map().cast("map<int,bigint>")))
-            .select("word", "n", vector.alias("vector")))
+    is the number of binary digits of (tokens of the corpus div its occurrences).  The weights of the
+    FREQUENT_WORDS most frequent words go to every task, which adds up the contexts of its texts by word: a
+    word is a row per task.  Another word travels with its neighbours, once for each occurrence; where
+    they meet, they are counted, which gives its weight, and added to the neighbours' vectors."""
+    texts = docs.select(_lowered(text_col).alias("text"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(WORD.findall(text.as_py()))
+                if len(seen) > HELD_WORDS:
+                    yield pa.RecordBatch.from_pydict({"word": [*seen], "n": [*seen.values()]})
+                    seen.clear()
+        if seen:
+            yield pa.RecordBatch.from_pydict({"word": [*seen], "n": [*seen.values()]})
+
+    counts = stored_copy(texts.mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0  # one number
+    least = _least_count(counts, "n", FREQUENT_WORDS)
+    frequent = counts.where(F.col("n") >= least).toArrow()  # FREQUENT_WORDS rows
+    table = docs.sparkSession.sparkContext.broadcast(("\n".join(frequent.column("word").to_pylist()), frequent.column("n").to_numpy()))
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, n = table.value
+        names = names.split("\n") if names else []
+        places = {w: i for i, w in enumerate(names)}
+        get, gap = places.get, len(names)
+        known = np.append(n >= min_count, False)
+        weights = np.concatenate([_projected(names, n.tolist(), total, dims, nonzeros, seed), np.zeros((1, dims), np.int16)])
+        held, words, lone, near = _Sums(dims), [], [], []
+        maybe = lambda w: w is not None and (known[i] if (i := get(w)) is not None else least > min_count)
+
+        def added() -> None:
+            """Adds up ``words``, whole texts with gaps of ``window`` Nones after them."""
+            at = np.fromiter((get(w, gap) for w in words), np.int64, len(words))
+            for lo in range(0, len(words), SLICE_WORDS):
+                a, z = max(lo - window, 0), min(lo + SLICE_WORDS, len(words))
+                ids = at[a:z + window]
+                rows = weights[ids].astype(np.int32)
+                sums = np.zeros_like(rows)
+                for d in range(1, window + 1):
+                    sums[:-d] += rows[d:]
+                    sums[d:] += rows[:-d]
+                ids, sums = ids[lo - a:z - a], sums[lo - a:z - a]
+                mine = np.flatnonzero(known[ids])
+                mine = mine[np.argsort(ids[mine], kind="stable")]
+                if len(mine):
+                    starts = np.flatnonzero(np.concatenate([[True], ids[mine[1:]] != ids[mine[:-1]]]))
+                    held.add([names[i] for i in ids[mine[starts]].tolist()], np.add.reduceat(sums[mine], starts, dtype=np.int32))
+                rare = [p for p in np.flatnonzero(ids == gap).tolist() if words[lo + p] is not None]
+                if rare and least > min_count:
+                    held.add([words[lo + p] for p in rare], sums[rare])
+                for p in rare:
+                    p += lo
+                    lone.append(words[p])
+                    near.append(" ".join([w for w in (*words[max(p - window, 0):p], *words[p + 1:p + 1 + window]) if maybe(w)]))
+            words.clear()
+
+        def out(least: int) -> Iterator[pa.RecordBatch]:
+            for w, v in held.flush(least):
+                yield pa.RecordBatch.from_arrays([w, v, pa.nulls(len(w), pa.string())], names=["word", "v", "near"])
+            if len(lone) > least // 4:
+                yield pa.RecordBatch.from_arrays([pa.array(lone, pa.string()), pa.nulls(len(lone), pa.binary()), pa.array(near, pa.string())],
+                                                 names=["word", "v", "near"])
+                lone.clear()
+                near.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                words += WORD.findall(text.as_py())
+                words += [None] * window
+                if len(words) > SLICE_WORDS:
+                    added()
+                    yield from out(HELD_WORDS)
+        added()
+        yield from out(0)
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Sums(dims)
+        for rows, starts, words in _by_word(batches):
+            near = rows.column("near").combine_chunks()
+            n = np.add.reduceat(near.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), starts)
+            sums = np.add.reduceat(_unpacked(rows.column("v").combine_chunks(), dims), starts)
+            own = (n == 0) | (n >= min_count)
+            for w, v in _packed(np.array(words, object)[own], sums[own]):
+                yield pa.RecordBatch.from_arrays([w, v], names=["word", "v"])
+            rare = np.flatnonzero(n)
+            weights = _projected([words[i] for i in rare], n[rare].tolist(), total, dims, nonzeros, seed)
+            spot = np.full(len(words), -1)
+            spot[rare] = np.arange(len(rare))
+            of = np.repeat(spot, np.diff(np.append(starts, rows.num_rows)))
+            to, by = [], []
+            for i, ws in enumerate(near):
+                if ws.is_valid and (mine := ws.as_py().split()):
+                    to += mine
+                    by += [of[i]] * len(mine)
+            if to:
+                held.add(to, weights[by])
+            for w, v in held.flush(HELD_WORDS):
+                yield pa.RecordBatch.from_arrays([w, v], names=["word", "v"])
+        for w, v in held.flush():
+            yield pa.RecordBatch.from_arrays([w, v], names=["word", "v"])
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts, words in _by_word(batches):
+            n = np.maximum.reduceat(rows.column("n").fill_null(0).to_numpy(), starts)
+            sums = np.add.reduceat(_unpacked(rows.column("v").combine_chunks(), dims), starts)
+            mine = n >= min_count
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(words, object)[mine], pa.string()), pa.array(n[mine]), _lists(sums[mine])],
+                                             names=["word", "n", "vector"])
+
+    def sorted_by_word(df: DataFrame) -> DataFrame:
+        return df.repartition("word").sortWithinPartitions("word")
+
+    found = texts.mapInArrow(contexts, "word string, v binary, near string")
+    if least > 1:  # else every word is listed
+        found = sorted_by_word(found).mapInArrow(weighed, "word string, v binary")
+    found = found.select("word", "v", F.lit(None).cast("bigint").alias("n"))
+    known = counts.where(F.col("n") >= min_count).select("word", F.lit(None).cast("binary").alias("v"), "n")
+    return sorted_by_word(found.unionByName(known)).mapInArrow(vectors, "word string, n bigint, vector array<bigint>")
 
 
 def with_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -178,14 +178,12 @@ def q_text_classify_pairs(t, spark):
 
 def _voted(docs):
     """doc_id, label, is_train, prediction, votes of every document, and the labels."""
-    words = TX.learned_vectors(docs, "text")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-    unit = words.select("word", F.transform("vector", lambda x: x / F.greatest(norm, F.lit(1.0))).alias("vector"))
-    vectors = TX.document_vectors(docs.select("doc_id", "text"), "doc_id", "text", stored_copy(unit))
+    words = stored_copy(TX.learned_vectors(docs, "text"))
     classes = [r.lang for r in docs.select("lang").dropna().distinct().orderBy("lang").collect()]  # the label set
     label = F.array_position(F.array(*map(F.lit, classes)), F.col("lang")) - 1
-    rows = vectors.select("doc_id", vector_to_array("features").alias("features")).join(
-        docs.select("doc_id", label.cast("int").alias("label")), "doc_id")
+    rows = docs.select("doc_id").join(docs.select("doc_id", label.cast("int").alias("label")), "doc_id")
+    rows = TX.document_vectors(docs.select("doc_id", "text"), "doc_id", "text", words, count_col="n", unit=True, rows=rows)
+    rows = rows.select("doc_id", vector_to_array("features").alias("features"), "label")
     rows = stored_copy(C.hash_split(rows, "doc_id"))
     model = fit_pairs(rows.where("is_train"), len(classes))
     return predict(model, rows).select("doc_id", "label", "is_train", "prediction", "votes"), classes

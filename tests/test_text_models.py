@@ -1,7 +1,9 @@
 """Rule sentiment, learned vectors, pairwise machines, registry sync, the checked concat flow."""
 
 import datetime as dt
+import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -137,6 +139,51 @@ def test_all_pairs_are_the_single_fits(spark):
     assert {r.prediction for r in svm.predict(lone, df.where("label = 2")).collect()} == {2}
 
 
+def test_vectors_of_rare_and_frequent_words(spark, monkeypatch):
+    rnd = random.Random(5)
+    vocabulary = ["the", "a'b"] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    texts = [" ".join(rnd.choices(vocabulary, [40, 20] + [6] * 10 + [1] * 50, k=rnd.randint(0, 300))) for _ in range(40)]
+    texts += [None, "", "...", "lone", "The THE\nthe"]
+    docs = spark.createDataFrame([(i if i else None, t) for i, t in enumerate(texts)] + [(None, "wab the"), (3, "waa waa")], "id long, text string")
+    words = [TX.WORD.findall((r.text or "").lower()) for r in docs.collect()]
+    n = Counter(w for ws in words for w in ws)
+    spots = {}
+    for w, k in n.items():
+        weight, digest = (sum(n.values()) // k).bit_length(), hashlib.md5(f"7:{w}".encode()).hexdigest()
+        x = [int(digest[4 * j:4 * j + 4], 16) for j in range(4)]
+        spots[w] = np.zeros(64, np.int64)
+        for v in x:
+            spots[w][v % 64] += -weight if v // 64 % 2 else weight
+    want = {w: sum((spots[ws[j]] for ws in words for i in range(len(ws)) if ws[i] == w
+                    for j in range(max(i - 2, 0), min(i + 3, len(ws))) if j != i), np.zeros(64, np.int64)) for w, k in n.items() if k >= 5}
+    found = TX.learned_vectors(docs, "text")
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()  # no row for each word or pair
+    for most in (1 << 18, 3):
+        for name, value in (("FREQUENT_WORDS", most), ("HELD_WORDS", 16), ("SLICE_WORDS", 50)):
+            monkeypatch.setattr(TX, name, value)
+        got = TX.learned_vectors(docs, "text").collect()
+        assert len(got) == len(want) and {r.word: r.n for r in got} == {w: n[w] for w in want}
+        assert all(r.vector == want[r.word].tolist() for r in got)
+
+    unit = {w: v / max(np.sqrt((v.astype(float) ** 2).sum()), 1) for w, v in want.items()}
+    mean = {}
+    for i in {r.id for r in docs.collect()}:
+        mine = [unit[w] for r, ws in zip(docs.collect(), words) if r.id == i for w in ws if w in unit]
+        mean[i] = sum(mine) / len(mine) if mine else np.zeros(64)
+    vectors = spark.createDataFrame([(r.word, r.n, r.vector) for r in got], "word string, n long, vector array<long>")
+    for most in (1 << 16, 7):
+        monkeypatch.setattr(TX, "COMMON_WORDS", most)
+        monkeypatch.setattr(TX, "BLOCK_TEXTS", 15)
+        out = TX.document_vectors(docs, "id", "text", vectors, count_col="n", unit=True).collect()
+        assert Counter(r.id for r in out) == Counter(r.id for r in docs.collect())
+        assert all(np.allclose(r.features.toArray(), mean[r.id], atol=1e-12) for r in out)
+    plain = TX.document_vectors(docs, "id", "text", vectors, unit=True, rows=docs.select("id", "text")).collect()
+    assert len(plain) == len(texts) + 2 and all(np.allclose(r.features.toArray(), mean[r.id], atol=1e-12) for r in plain)
+    none = TX.document_vectors(docs, "id", "text", vectors.limit(0), count_col="n").collect()
+    assert len(none) == len(texts) + 2 and all(len(r.features) == 0 for r in none)
+    assert TX.learned_vectors(docs.limit(0), "text").count() == 0
+
+
 def test_classifier_is_fitted_on_all_training_documents(spark, monkeypatch):
     seen, fit = [], TX.train_classifier
     monkeypatch.setattr(TX, "train_classifier", lambda train, **k: seen.append(train.count()) or fit(train, max_iter=2, **k))
